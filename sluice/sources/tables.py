@@ -135,6 +135,15 @@ class Lake:
         with _dynamic_overwrite(self.spark):
             rows.select(*columns).write.insertInto(target, overwrite=overwrite)
 
+    def replace_days(self, rows: DataFrame, layer: str, table: str, day: str) -> None:
+        """Write rows partitioned by ``day``; the days that get rows are replaced."""
+        target = self.name(layer, table)
+        if self.exists(layer, table):
+            self._insert(rows, target, overwrite=True)
+        else:
+            self.ensure_layer(layer)
+            rows.write.format(self.fmt).partitionBy(day).saveAsTable(target)
+
     # -- append and upsert -------------------------------------------------
 
     def ensure_table(
