@@ -21,6 +21,7 @@ from sluice.streaming.contract import (
 )
 
 FATAL = "events violate the contract"
+LANES = 8
 
 
 def bronze_rows(records: DataFrame, as_of: datetime | Column | None = None) -> DataFrame:
@@ -94,17 +95,31 @@ def all_valid_or_fail(bronze: DataFrame) -> DataFrame:
     return parsed_rows(bronze).where(clean).select(*SILVER_FIELDS)
 
 
-def silver_rows(bronze: DataFrame) -> DataFrame:
-    """Checked events, the first copy per event id within the watermark.
+def first_copies(events: DataFrame, lanes: int = LANES) -> DataFrame:
+    """The first copy per event id within the watermark (streaming only).
 
-    The check stands before the stateful operator, so no bad event can vanish as
+    A streaming deduplication has no partial step before its shuffle. With
+    ``lanes > 1`` copies are first reduced per (id, input task modulo lanes), so
+    an id that fills a third of a micro-batch is spread over that many tasks and
+    the final step sees at most ``lanes`` copies of it.
+    """
+    timed = events.withWatermark("event_time", WATERMARK)
+    if lanes > 1:
+        timed = (
+            timed.withColumn("_lane", F.pmod(F.spark_partition_id(), F.lit(lanes)))
+            .dropDuplicatesWithinWatermark(["event_id", "_lane"])
+            .drop("_lane")
+        )
+    return timed.dropDuplicatesWithinWatermark(["event_id"])
+
+
+def silver_rows(bronze: DataFrame, lanes: int = LANES) -> DataFrame:
+    """Checked events without repeated copies.
+
+    The check stands before the stateful operators, so no bad event can vanish as
     a duplicate or as late data.
     """
-    return (
-        all_valid_or_fail(bronze)
-        .withWatermark("event_time", WATERMARK)
-        .dropDuplicatesWithinWatermark(["event_id"])
-    )
+    return first_copies(all_valid_or_fail(bronze), lanes)
 
 
 def producer_breaches(bronze: DataFrame) -> DataFrame:
