@@ -95,10 +95,21 @@ def align_to_parent(
     return joined.withColumn(column, F.col("__aligned")).drop("__link", "__aligned")
 
 
+def truncated(column: str) -> Column:
+    """Numeric text as BIGINT without its fraction."""
+    return number(column).try_cast("bigint")
+
+
+def reference(column: str) -> Column:
+    """A reference as BIGINT; a fractional number refers to nothing."""
+    value = number(column)
+    return F.when(value == F.floor(value), value.try_cast("bigint"))
+
+
 def with_positive_key(frame: DataFrame, key: str) -> DataFrame:
     """Rows with a numeric key above zero, the key as BIGINT."""
-    value = number(key)
-    return frame.where(value > 0).withColumn(key, value.cast("bigint"))
+    positive = frame.where((number(key) > 0) & truncated(key).isNotNull())
+    return positive.withColumn(key, truncated(key))
 
 
 def keep_last(frame: DataFrame, key: str, position: Sequence[str]) -> DataFrame:
@@ -132,38 +143,32 @@ def _sane_hospitals(frame: DataFrame, now: Column) -> DataFrame:
     valid = frame.withColumn("state", _code("state")).where(
         F.col("state").rlike(STATE_CODE) & number("capacity").between(*CAPACITY)
     )
-    return valid.withColumn("capacity", number("capacity").cast("bigint"))
+    return valid.withColumn("capacity", truncated("capacity"))
 
 
 def _sane_doctors(frame: DataFrame, now: Column) -> DataFrame:
-    valid = frame.where(number("hospital_id").isNotNull() & (number("crm") > 0))
-    return valid.withColumns(
-        {c: number(c).cast("bigint") for c in ("hospital_id", "crm")}
-    )
+    valid = frame.where(number("crm") > 0)
+    return valid.withColumns({"hospital_id": reference("hospital_id"), "crm": truncated("crm")})
 
 
 def _sane_diseases(frame: DataFrame, now: Column) -> DataFrame:
     valid = frame.where(number("severity_level").between(*SEVERITY))
-    return valid.withColumn("severity_level", number("severity_level").cast("bigint"))
+    return valid.withColumn("severity_level", truncated("severity_level"))
 
 
 def _sane_attendance(frame: DataFrame, now: Column) -> DataFrame:
     flag = number("discharge_flag")
     typed = frame.withColumns(
         {
-            **{c: number(c) for c in ("patient_id", "doctor_id", "hospital_id", "disease_id")},
+            **{c: reference(c) for c in ("patient_id", "doctor_id", "hospital_id", "disease_id")},
             "attendance_date": _utc_time("attendance_date"),
-            "severity_score": number("severity_score"),
             "wait_time_minutes": null_out_of_range("wait_time_minutes", *WAIT_MINUTES),
             "cost": null_out_of_range("cost", 0),
             "discharge_flag": null_unless(flag, flag.isin(*FLAGS)),
         }
     )
-    valid = typed.where(
-        (F.col("attendance_date") <= now) & F.col("severity_score").between(*SEVERITY)
-    )
-    whole = ("patient_id", "doctor_id", "disease_id", "severity_score")
-    return valid.withColumns({c: F.col(c).cast("bigint") for c in whole})
+    valid = typed.where((F.col("attendance_date") <= now) & number("severity_score").between(*SEVERITY))
+    return valid.withColumn("severity_score", truncated("severity_score"))
 
 
 _SANITIZERS = {

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from sluice.functions.clock import instant
 from sluice.operators.checks import ERRORS, annotate, rejected
+from sluice.operators.once import with_columns_once
 from sluice.operators.rules import row_failed
 from sluice.streaming.contract import (
     PAYLOAD_DDL,
+    PAYLOAD_FIELDS,
     QUARANTINE_FIELDS,
     SILVER_FIELDS,
     WATERMARK,
@@ -40,37 +42,26 @@ def bronze_rows(records: DataFrame, as_of: datetime | Column | None = None) -> D
 
 
 def parsed_rows(bronze: DataFrame) -> DataFrame:
-    """Payload fields trimmed and typed; the timestamp texts are kept beside."""
-
-    def field(name: str) -> Column:
-        return F.col(f"_parsed_payload.{name}")
-
-    def time_text(name: str) -> Column:
-        return F.trim(field(name))
-
-    special = {
-        "event_id": F.lower(F.trim(field("event_id"))),
-        "event_type": F.trim(field("event_type")),
-        "producer_run_id": F.lower(F.trim(field("producer_run_id"))),
-        "source": F.trim(field("source")),
-        "event_time": F.try_to_timestamp(time_text("event_time")),
-        "produced_at": F.try_to_timestamp(time_text("produced_at")),
-    }
-    names = [part.split()[0] for part in PAYLOAD_DDL.split(", ")]
-    opened = bronze.withColumns(
+    """Payload fields trimmed and typed; the timestamp texts are kept beside.
+
+    Parsing and typing happen once per event, however many rules look at a field.
+    """
+    opened = with_columns_once(
+        bronze,
         {
             "_parsed_payload": F.from_json("raw_payload", PAYLOAD_DDL),
             "_payload_keys": F.json_object_keys("raw_payload"),
-        }
-    )
-    return opened.select(
-        *bronze.columns,
-        "_parsed_payload",
-        "_payload_keys",
-        *(special.get(name, field(name)).alias(name) for name in names),
-        time_text("event_time").alias("_event_time_raw"),
-        time_text("produced_at").alias("_produced_at_raw"),
+        },
     )
+    fields = {name: F.col(f"_parsed_payload.{name}") for name in PAYLOAD_FIELDS}
+    for name in ("event_id", "producer_run_id"):
+        fields[name] = F.lower(F.trim(fields[name]))
+    for name in ("event_type", "source"):
+        fields[name] = F.trim(fields[name])
+    for name in ("event_time", "produced_at"):
+        fields[f"_{name}_raw"] = F.trim(fields[name])
+        fields[name] = F.try_to_timestamp(fields[f"_{name}_raw"])
+    return with_columns_once(opened, fields)
 
 
 def classified_rows(bronze: DataFrame) -> DataFrame:

@@ -221,7 +221,9 @@ def _payload(d) -> str:
         "', \"oxygen_saturation_pct\": '",
         text(whole("100 - value / 8")),
         "', \"temperature_c\": '",
-        text(whole("35 + value / 60")) + f" || '.' || right({text('user_id')}, 1)",
+        # Quarter degrees: sums of them are exact, so averages do not depend on order.
+        text(whole("35 + value / 60"))
+        + f" || CASE length({text('user_id')}) WHEN 1 THEN '.0' WHEN 2 THEN '.25' ELSE '.5' END",
         "', \"blood_pressure_systolic_mmhg\": '",
         text(whole("100 + value / 3")),
         "', \"blood_pressure_diastolic_mmhg\": '",
