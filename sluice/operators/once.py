@@ -15,5 +15,6 @@ def with_columns_once(frame: DataFrame, columns: dict[str, Column]) -> DataFrame
     attributes: nothing is inlined, and the row count does not change.
     """
     row = F.struct(*(value.alias(name) for name, value in columns.items()))
-    kept = [F.col(name) for name in frame.columns if name not in columns]
-    return frame.select(*kept, F.inline(F.array(row)))
+    kept = [name for name in frame.columns if name not in columns]
+    added = [name for name in columns if name not in frame.columns]
+    return frame.select(*kept, F.inline(F.array(row))).select(*frame.columns, *added)

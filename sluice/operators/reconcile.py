@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sluice.functions.clock import instant
 from sluice.model import ENTITIES
 from sluice.operators.dedup import keep_latest
+from sluice.operators.once import with_columns_once
 from sluice.plans.rulebook import (
     CAPACITY,
     FLAGS,
@@ -43,15 +44,20 @@ def null_out_of_range(column: str, low: float, high: float | None = None) -> Col
     return null_unless(value, value >= low if high is None else value.between(low, high))
 
 
+def _keys(parents: DataFrame, parent_key: str) -> DataFrame:
+    """Each parent key once: copies are reduced before the join's own shuffle."""
+    return parents.select(F.col(parent_key).alias("__parent")).distinct()
+
+
 def existing(frame: DataFrame, column: str, parents: DataFrame, parent_key: str) -> DataFrame:
     """Rows whose reference exists among the parents (NULL references do not)."""
-    keys = parents.select(F.col(parent_key).alias("__parent"))
+    keys = _keys(parents, parent_key)
     return frame.join(keys, on=F.col(column) == F.col("__parent"), how="left_semi")
 
 
 def orphans(frame: DataFrame, column: str, parents: DataFrame, parent_key: str) -> DataFrame:
     """Rows whose reference is NULL or missing among the parents."""
-    keys = parents.select(F.col(parent_key).alias("__parent"))
+    keys = _keys(parents, parent_key)
     return frame.join(keys, on=F.col(column) == F.col("__parent"), how="left_anti")
 
 
@@ -86,10 +92,11 @@ def align_to_parent(
 ) -> DataFrame:
     """Replace ``column`` by the value its linked parent carries.
 
-    ``parents`` has one row per key. Rows without a parent get NULL.
+    Rows without a parent get NULL. Parents are expected once per key; should a
+    key be repeated, its greatest value is taken, so rows never multiply.
     """
-    mapping = parents.select(
-        F.col(parent_key).alias("__link"), F.col(column).alias("__aligned")
+    mapping = parents.groupBy(F.col(parent_key).alias("__link")).agg(
+        F.max(column).alias("__aligned")
     )
     joined = frame.join(mapping, on=F.col(link) == F.col("__link"), how="left")
     return joined.withColumn(column, F.col("__aligned")).drop("__link", "__aligned")
@@ -106,10 +113,15 @@ def reference(column: str) -> Column:
     return F.when(value == F.floor(value), value.try_cast("bigint"))
 
 
-def with_positive_key(frame: DataFrame, key: str) -> DataFrame:
-    """Rows with a numeric key above zero, the key as BIGINT."""
-    positive = frame.where((number(key) > 0) & truncated(key).isNotNull())
-    return positive.withColumn(key, truncated(key))
+def valid_number(column: str, low: float, high: float | None = None) -> Column:
+    """The truncated number if it lies in range before truncation, else NULL."""
+    value = number(column)
+    inside = value >= low if high is None else value.between(low, high)
+    return null_unless(truncated(column), inside)
+
+
+def positive(column: str) -> Column:
+    return null_unless(truncated(column), number(column) > 0)
 
 
 def keep_last(frame: DataFrame, key: str, position: Sequence[str]) -> DataFrame:
@@ -119,71 +131,64 @@ def keep_last(frame: DataFrame, key: str, position: Sequence[str]) -> DataFrame:
     return keep_latest(frame, [key], order, tie_break=others)
 
 
-def _utc_time(column: str) -> Column:
-    return F.col(column).try_cast("timestamp")
-
-
 def _code(column: str) -> Column:
     return F.upper(F.trim(F.col(column)))
 
 
-def _sane_patients(frame: DataFrame, now: Column) -> DataFrame:
-    typed = frame.withColumns(
-        {"gender": _code("gender"), "state": _code("state"), "birth_date": _utc_time("birth_date")}
-    )
-    valid = typed.where(
-        F.col("gender").isin(*GENDERS)
-        & F.col("state").rlike(STATE_CODE)
-        & (F.col("birth_date") <= now)
-    )
-    return valid.withColumn("birth_date", F.col("birth_date").cast("date"))
-
-
-def _sane_hospitals(frame: DataFrame, now: Column) -> DataFrame:
-    valid = frame.withColumn("state", _code("state")).where(
-        F.col("state").rlike(STATE_CODE) & number("capacity").between(*CAPACITY)
-    )
-    return valid.withColumn("capacity", truncated("capacity"))
-
-
-def _sane_doctors(frame: DataFrame, now: Column) -> DataFrame:
-    valid = frame.where(number("crm") > 0)
-    return valid.withColumns({"hospital_id": reference("hospital_id"), "crm": truncated("crm")})
-
-
-def _sane_diseases(frame: DataFrame, now: Column) -> DataFrame:
-    valid = frame.where(number("severity_level").between(*SEVERITY))
-    return valid.withColumn("severity_level", truncated("severity_level"))
-
-
-def _sane_attendance(frame: DataFrame, now: Column) -> DataFrame:
-    flag = number("discharge_flag")
-    typed = frame.withColumns(
-        {
-            **{c: reference(c) for c in ("patient_id", "doctor_id", "hospital_id", "disease_id")},
-            "attendance_date": _utc_time("attendance_date"),
-            "wait_time_minutes": null_out_of_range("wait_time_minutes", *WAIT_MINUTES),
-            "cost": null_out_of_range("cost", 0),
-            "discharge_flag": null_unless(flag, flag.isin(*FLAGS)),
-        }
-    )
-    valid = typed.where((F.col("attendance_date") <= now) & number("severity_score").between(*SEVERITY))
-    return valid.withColumn("severity_score", truncated("severity_score"))
-
-
-_SANITIZERS = {
-    "patients": _sane_patients,
-    "hospitals": _sane_hospitals,
-    "doctors": _sane_doctors,
-    "diseases": _sane_diseases,
-    "attendance": _sane_attendance,
+def _valid_values(entity: str, now: Column) -> dict[str, Column]:
+    """Typed columns of an entity; a value that must not occur becomes NULL."""
+
+    def past(column: str) -> Column:
+        moment = F.col(column).try_cast("timestamp")
+        return null_unless(moment, moment <= now)
+
+    def state() -> Column:
+        return null_unless(_code("state"), _code("state").rlike(STATE_CODE))
+
+    match entity:
+        case "patients":
+            return {
+                "gender": null_unless(_code("gender"), _code("gender").isin(*GENDERS)),
+                "state": state(),
+                "birth_date": past("birth_date").cast("date"),
+            }
+        case "hospitals":
+            return {"state": state(), "capacity": valid_number("capacity", *CAPACITY)}
+        case "doctors":
+            return {"hospital_id": reference("hospital_id"), "crm": positive("crm")}
+        case "diseases":
+            return {"severity_level": valid_number("severity_level", *SEVERITY)}
+        case "attendance":
+            flag = number("discharge_flag")
+            owners = ("patient_id", "doctor_id", "hospital_id", "disease_id")
+            return {
+                **{column: reference(column) for column in owners},
+                "attendance_date": past("attendance_date"),
+                "severity_score": valid_number("severity_score", *SEVERITY),
+                "wait_time_minutes": null_out_of_range("wait_time_minutes", *WAIT_MINUTES),
+                "cost": null_out_of_range("cost", 0),
+                "discharge_flag": null_unless(flag, flag.isin(*FLAGS)),
+            }
+    raise ValueError(f"unknown entity {entity!r}")
+
+
+# Columns without which a row is dropped, besides the key.
+_NEEDED = {
+    "patients": ("gender", "state", "birth_date"),
+    "hospitals": ("state", "capacity"),
+    "doctors": ("hospital_id", "crm"),
+    "diseases": ("severity_level",),
+    "attendance": ("patient_id", "doctor_id", "disease_id", "attendance_date", "severity_score"),
 }
 
 
-def sanitize_rows(frame: DataFrame, entity: str, as_of: datetime | Column | None = None) -> DataFrame:
-    """Contract columns, valid key and valid values of one entity, before dedup."""
-    keyed = with_positive_key(frame, ENTITIES[entity].key)
-    return _SANITIZERS[entity](keyed, instant(as_of))
+def sanitize_rows(
+    frame: DataFrame, entity: str, as_of: datetime | Column | None = None
+) -> DataFrame:
+    """Rows of one entity with a valid key and valid values, before dedup."""
+    key = ENTITIES[entity].key
+    typed = {key: positive(key), **_valid_values(entity, instant(as_of))}
+    return with_columns_once(frame, typed).na.drop(subset=[key, *_NEEDED[entity]])
 
 
 def sanitize_entity(

@@ -49,6 +49,6 @@ def run_alerts(runs: DataFrame, limits: Mapping[str, int]) -> DataFrame:
 
 def missing_ingestions(expected_dates: DataFrame, ingestions: DataFrame) -> DataFrame:
     """Expected dates without a succeeded ingestion run for that date."""
-    done = ingestions.where(F.upper(F.col("status")) == "SUCCEEDED").select("odate")
+    done = ingestions.where(F.upper(F.col("status")) == "SUCCEEDED").select("odate").distinct()
     missing = expected_dates.select("odate").distinct().join(done, on="odate", how="left_anti")
     return missing.select(F.lit(ON_MISSING).alias("event_type"), "odate")

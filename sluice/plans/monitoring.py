@@ -281,7 +281,9 @@ def latest_quality_rows(metrics: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 
 def latest_quality_runs(metrics: DataFrame, approved: DataFrame, as_of: AsOf = None) -> DataFrame:
-    marks = approved.select(*RUN_KEY, F.lit(True).alias("__approved"))
+    # The control table holds one row per stage and date; distinct keeps a broken
+    # one from multiplying metric rows.
+    marks = approved.select(*RUN_KEY).distinct().withColumn("__approved", F.lit(True))
     balanced = (F.col("input_rows") >= F.col("checked_rows")) & (
         F.col("checked_rows") == F.col("valid_rows") + F.col("quarantined_rows")
     )
@@ -348,8 +350,8 @@ def gold_freshness(tables: Mapping[str, DataFrame], as_of: AsOf = None) -> DataF
 
 def metrics_of_date(metrics: DataFrame, odate) -> DataFrame:
     chosen = metrics.where(F.col("odate") == F.lit(odate))
-    return chosen.orderBy(F.col("checked_at").desc())
+    return chosen.orderBy(F.col("checked_at").desc(), "dq_stage", "source_table", "dq_run_id")
 
 
 def approvals_sorted(approved: DataFrame) -> DataFrame:
-    return approved.orderBy("dq_stage", F.col("odate").desc())
+    return approved.orderBy("dq_stage", F.col("odate").desc(), "dq_run_id")

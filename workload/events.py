@@ -245,7 +245,8 @@ def stream_silver(spark, sf_dir) -> DataFrame:
     return _drained(spark, first_copies(valid), "stream-silver")
 
 
-register("stream_silver", stream_silver, SILVER_SQL)
+_FIRST_SQL = f"SELECT DISTINCT ON (event_id) * FROM ({SILVER_SQL}) f"
+register("stream_silver", stream_silver, _FIRST_SQL)
 register(
     "stream_quarantine",
     lambda s, d: _drained(
@@ -265,6 +266,6 @@ register(
     ),
     "SELECT patient_id, time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start, "
     "count(event_id) AS measurement_count, "
-    f"CAST(sum(CAST({_ABNORMAL} AS INT)) AS BIGINT) AS abnormal_count FROM ({SILVER_SQL}) s "
+    f"CAST(sum(CAST({_ABNORMAL} AS INT)) AS BIGINT) AS abnormal_count FROM ({_FIRST_SQL}) s "
     "GROUP BY ALL",
 )

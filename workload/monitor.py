@@ -212,7 +212,7 @@ _QUALITY_RUNS_SQL = (
     "q.quarantined_rows, q.status, (q.input_rows >= q.checked_rows AND "
     "q.checked_rows = q.valid_rows + q.quarantined_rows) AS reconciliation_ok, "
     f"p.dq_run_id IS NOT NULL AS promotion_approved FROM ({_LATEST_METRICS_SQL}) q "
-    f"LEFT JOIN ({sql('run_approvals')}) p USING (dq_stage, odate, dq_run_id)"
+    f"LEFT JOIN (SELECT DISTINCT dq_stage, odate, dq_run_id FROM ({sql('run_approvals')}) d) p USING (dq_stage, odate, dq_run_id)"
 )
 _QUALITY_HEALTH_SQL = (
     "SELECT count(*) FILTER (WHERE status = 'FAILED') AS failed_batch_tables, "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -643,7 +644,8 @@ register(
     "align_parent",
     _aligned,
     "SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey AS doctor_id, "
-    "CAST(p_size AS BIGINT) AS hospital_id FROM lineitem LEFT JOIN part ON l_partkey = p_partkey",
+    "CAST(p_size AS BIGINT) AS hospital_id FROM lineitem LEFT JOIN "
+    "(SELECT p_partkey, max(p_size) AS p_size FROM part GROUP BY 1) p ON l_partkey = p_partkey",
 )
 
 
@@ -738,8 +740,6 @@ register(
 
 def _previous(spark, sf_dir) -> DataFrame:
     history = load(spark, sf_dir, "orders").withColumn("odate", F.col("o_orderdate").cast("date"))
-    from datetime import date
-
     return previous_snapshot(history, date(1999, 6, 15)).drop("o_orderdate")
 
 
