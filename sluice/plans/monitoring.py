@@ -50,14 +50,19 @@ def roll_up_slices(slices: DataFrame, keys: Sequence[str], as_of: AsOf = None) -
     return recent.groupBy(*keys).agg(*measures)
 
 
+def _newest(run_key: str) -> list[Column]:
+    """Newest first; the id keeps runs of one instant apart when sorting by range."""
+    return [F.col("started_at").desc(), F.col(run_key)]
+
+
 def pipeline_updates(timeline: DataFrame, pipeline_id: str, as_of: AsOf = None) -> DataFrame:
     mine = timeline.where(F.col("pipeline_id") == pipeline_id).drop("termination_code")
-    return roll_up_slices(mine, ["update_id"], as_of).orderBy(F.col("started_at").desc())
+    return roll_up_slices(mine, ["update_id"], as_of).orderBy(*_newest("update_id"))
 
 
 def job_runs(timeline: DataFrame, job_id: str, as_of: AsOf = None) -> DataFrame:
     mine = timeline.where(F.col("job_id") == job_id)
-    return roll_up_slices(mine, ["run_id"], as_of).orderBy(F.col("started_at").desc())
+    return roll_up_slices(mine, ["run_id"], as_of).orderBy(*_newest("run_id"))
 
 
 def job_label(labels: Mapping[str, str], job_id: str = "job_id") -> Column:
@@ -89,7 +94,7 @@ def batch_runs(
             "termination_code",
             "duration_seconds",
         )
-        .orderBy(F.col("started_at").desc())
+        .orderBy(*_newest("run_id"))
     )
 
 

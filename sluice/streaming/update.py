@@ -7,8 +7,9 @@ restart continues from the checkpoints.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,16 +26,18 @@ from sluice.streaming.events import (
     population_hourly,
     silver_rows,
 )
+from sluice.streaming.journal import OUTCOMES, WRITTEN, log_rows, timeline_row
 
 BRONZE = ("bronze", "vital_events_raw")
 QUARANTINE = ("quarantine", "vital_events")
 SILVER = ("silver", "vital_events")
 PATIENT_5M = ("gold", "vital_patient_5m")
 POPULATION_HOURLY = ("gold", "vital_population_hourly")
+EVENT_LOG = ("observability", "vital_pipeline_events")
+TIMELINE = ("observability", "pipeline_update_timeline")
 
 # Upper bound of files per micro-batch; it also bounds the rows of one hot event id.
 MAX_FILES = 1_000
-OUTCOMES = "rule_outcomes"
 
 
 @dataclass(frozen=True)
@@ -44,6 +47,7 @@ class VitalStream:
     lake: Lake
     checkpoints: str
     max_files: int = MAX_FILES
+    pipeline_id: str = "vitals"
 
     def _follow(self, layer: str, table: str) -> DataFrame:
         reader = self.lake.spark.readStream.option("maxFilesPerTrigger", self.max_files)
@@ -54,8 +58,9 @@ class VitalStream:
         self.lake.ensure_layer(target[0])
         flow = "_".join(target)
         dated = rows.withColumn(f"{day}_date", F.col(day).cast("date"))
+        counted = dated.observe(WRITTEN, F.count(F.lit(1)).alias("rows"))
         return (
-            dated.writeStream.queryName(flow)
+            counted.writeStream.queryName(flow)
             .format("parquet")
             .partitionBy(f"{day}_date")
             .outputMode("append")
@@ -104,29 +109,37 @@ class VitalStream:
         dated = rows.withColumn("window_date", F.col("window_start").cast("date"))
         self.lake.replace_days(dated, *target, day="window_date")
 
-    def run(self, records: DataFrame, as_of=None) -> dict[str, StreamingQuery]:
-        """A whole update. Raises if Silver met a bad event, after quarantining it."""
-        queries = {"bronze": self.start_bronze(records, as_of)}
-        queries["bronze"].awaitTermination()
-        queries["quarantine"] = self.start_quarantine()
-        queries["quarantine"].awaitTermination()
-        queries["silver"] = self.start_silver()
-        queries["silver"].awaitTermination()
-        self.refresh_gold()
-        return queries
-
-
-def rule_outcomes(query: StreamingQuery) -> dict[str, dict[str, int]]:
-    """Passed and failed events per rule, added up over the reported micro-batches."""
-    totals: dict[str, dict[str, int]] = {}
-    for progress in query.recentProgress:
-        seen = progress["observedMetrics"].get(OUTCOMES) if progress["observedMetrics"] else None
-        if seen is None:
-            continue
-        values = seen.asDict() if hasattr(seen, "asDict") else dict(seen)
-        checked = values.pop("checked")
-        for rule, failed in values.items():
-            total = totals.setdefault(rule, {"passed_records": 0, "failed_records": 0})
-            total["passed_records"] += checked - failed
-            total["failed_records"] += failed
-    return totals
+    def run(self, records: DataFrame, as_of=None) -> str:
+        """A whole update; returns its id.
+
+        Raises if Silver met a bad event, after quarantining it. Either way the
+        update is entered into the event log and the timeline.
+        """
+        update_id = uuid.uuid4().hex
+        started = datetime.now(timezone.utc)
+        queries: dict[str, StreamingQuery] = {}
+        state = "FAILED"
+        try:
+            queries["bronze"] = self.start_bronze(records, as_of)
+            queries["bronze"].awaitTermination()
+            queries["quarantine"] = self.start_quarantine()
+            queries["quarantine"].awaitTermination()
+            queries["silver"] = self.start_silver()
+            queries["silver"].awaitTermination()
+            self.refresh_gold()
+            state = "COMPLETED"
+        finally:
+            self._journal(queries, update_id, started, state)
+        return update_id
+
+    def _journal(
+        self, queries: dict[str, StreamingQuery], update_id: str, started: datetime, state: str
+    ) -> None:
+        spark, finished = self.lake.spark, datetime.now(timezone.utc)
+        tables = {"bronze": BRONZE, "quarantine": QUARANTINE, "silver": SILVER}
+        names = {flow: ".".join(table) for flow, table in tables.items()}
+        if queries:
+            entries = log_rows(spark, queries, names, self.pipeline_id, update_id, finished)
+            self.lake.append(entries, *EVENT_LOG)
+        slice_row = timeline_row(spark, self.pipeline_id, update_id, started, finished, state)
+        self.lake.append(slice_row, *TIMELINE)

@@ -26,7 +26,9 @@ from sluice.streaming.events import (
     valid_rows,
 )
 from sluice.streaming.publish import publish_files, to_records
-from sluice.streaming.update import VitalStream, rule_outcomes
+from sluice.plans.monitoring import expectation_metrics, flow_metrics, pipeline_updates
+from sluice.streaming.journal import rule_outcomes
+from sluice.streaming.update import VitalStream
 
 QUEUED = START + timedelta(hours=1)
 
@@ -175,10 +177,10 @@ def test_consumer_options():
 
 @pytest.fixture
 def stream(spark):
-    for layer in ("bronze", "silver", "gold", "quarantine"):
+    for layer in ("bronze", "silver", "gold", "quarantine", "observability"):
         spark.sql(f"DROP SCHEMA IF EXISTS {layer} CASCADE")
     yield VitalStream(Lake(spark), scratch_path(spark, "checkpoints"), max_files=1)
-    for layer in ("bronze", "silver", "gold", "quarantine"):
+    for layer in ("bronze", "silver", "gold", "quarantine", "observability"):
         spark.sql(f"DROP SCHEMA IF EXISTS {layer} CASCADE")
 
 
@@ -194,6 +196,11 @@ def test_update_deduplicates_resumes_and_fails_closed(spark, stream):
     stream.run(read_replay(spark, folder, 1))
     assert stream.silver().count() == 18
     assert stream.quarantine().count() == 0
+    log = spark.table("observability.vital_pipeline_events")
+    flows = {r["flow_name"]: r for r in flow_metrics(log, "vitals").collect()}
+    assert {n: r["output_rows"] for n, r in flows.items()} == {"bronze": 25, "quarantine": 0, "silver": 18}
+    rules = expectation_metrics(log, "vitals").collect()
+    assert len(rules) == 23 and {r["passed_records"] for r in rules} == {25}
     gold = spark.table("gold.vital_population_hourly").collect()
     assert [r["event_count"] for r in gold] == [18]
 
@@ -211,6 +218,9 @@ def test_update_deduplicates_resumes_and_fails_closed(spark, stream):
         assert stream.silver().count() == 18
         assert spark.table("bronze.vital_events_raw").count() == 27
         assert [r["_dq_errors"] for r in stream.quarantine().collect()] == [["heart_rate_in_range"]]
+    timeline = spark.table("observability.pipeline_update_timeline")
+    states = [r["result_state"] for r in pipeline_updates(timeline, "vitals").collect()]
+    assert states == ["FAILED", "FAILED", "COMPLETED", "COMPLETED"]
 
 
 def test_progress_counts_rules(spark, stream):

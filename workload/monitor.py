@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.operators.dedup import keep_latest
 from sluice.plans import alerts, charts
 from sluice.plans import monitoring as m
 from sluice.sources.raw import expected_landings, landed_from_paths, missing_landings
@@ -206,13 +207,19 @@ _LATEST_METRICS_SQL = (
     f"FROM ({sql('run_metrics')}) y WHERE checked_at >= {_QUALITY_NOW} - INTERVAL 365 DAY "
     "GROUP BY ALL) r USING (dq_stage, odate, dq_run_id)"
 )
+# The control table holds the last approval of each stage and date.
+_CONTROL_SQL = (
+    "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY dq_stage, odate ORDER BY "
+    f"approved_at DESC NULLS LAST, dq_run_id DESC NULLS LAST) AS rn FROM ({sql('run_approvals')}) a"
+    ") k WHERE rn = 1"
+)
 _QUALITY_RUNS_SQL = (
     "SELECT q.checked_at, q.odate, q.dq_stage, q.dq_run_id, q.source_table, q.input_rows, "
     "q.checked_rows, q.input_rows - q.checked_rows AS removed_by_cleaning, q.valid_rows, "
     "q.quarantined_rows, q.status, (q.input_rows >= q.checked_rows AND "
     "q.checked_rows = q.valid_rows + q.quarantined_rows) AS reconciliation_ok, "
     f"p.dq_run_id IS NOT NULL AS promotion_approved FROM ({_LATEST_METRICS_SQL}) q "
-    f"LEFT JOIN (SELECT DISTINCT dq_stage, odate, dq_run_id FROM ({sql('run_approvals')}) d) p USING (dq_stage, odate, dq_run_id)"
+    f"LEFT JOIN ({_CONTROL_SQL}) p USING (dq_stage, odate, dq_run_id)"
 )
 _QUALITY_HEALTH_SQL = (
     "SELECT count(*) FILTER (WHERE status = 'FAILED') AS failed_batch_tables, "
@@ -225,9 +232,13 @@ def _quality_clock():
     return F.lit("2007-01-22 00:00:00")
 
 
+def _control(s, d):
+    newest = [F.col(c).desc_nulls_last() for c in ("approved_at", "dq_run_id")]
+    return keep_latest(frame(s, d, "run_approvals"), ["dq_stage", "odate"], newest)
+
+
 def _quality_runs(s, d):
-    metrics, approved = frame(s, d, "run_metrics"), frame(s, d, "run_approvals")
-    return m.latest_quality_runs(metrics, approved, _quality_clock())
+    return m.latest_quality_runs(frame(s, d, "run_metrics"), _control(s, d), _quality_clock())
 
 
 def _quality_health(s, d):
@@ -244,8 +255,8 @@ register(
 )
 register(
     "approvals_sorted",
-    lambda s, d: m.approvals_sorted(frame(s, d, "run_approvals")),
-    sql("run_approvals"),
+    lambda s, d: m.approvals_sorted(_control(s, d)),
+    _CONTROL_SQL,
 )
 
 # -- charts ----------------------------------------------------------------

@@ -403,8 +403,13 @@ def _visits(spark, sf_dir) -> DataFrame:
 
 
 def _facilities(spark, sf_dir) -> DataFrame:
-    """Suppliers as hospitals; those in debt are unknown."""
-    return load(spark, sf_dir, "supplier").selectExpr(
+    """Suppliers as hospitals, one row per key; those in debt have no city."""
+    suppliers = keep_latest(
+        load(spark, sf_dir, "supplier"),
+        ["s_suppkey"],
+        [F.col(c).desc_nulls_last() for c in ("s_name", "s_nationkey", "s_acctbal")],
+    )
+    return suppliers.selectExpr(
         "DATE '2024-01-31' AS odate",
         "s_suppkey AS hospital_id",
         "s_name AS hospital_name",
@@ -426,7 +431,8 @@ _FACILITIES_SQL = (
     "CASE WHEN s_acctbal < 3000 THEN 'Public' ELSE 'Private' END AS hospital_type, "
     "CAST(s_nationkey AS VARCHAR) AS state, "
     "CASE WHEN s_acctbal >= 0 THEN 'City ' || CAST(s_nationkey AS VARCHAR) END AS city "
-    "FROM supplier"
+    "FROM (SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY s_name DESC NULLS LAST, "
+    "s_nationkey DESC NULLS LAST, s_acctbal DESC NULLS LAST) AS rn FROM supplier) k WHERE rn = 1"
 )
 
 
