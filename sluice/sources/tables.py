@@ -66,25 +66,28 @@ class Lake:
 
         The rows are computed once: a row of another date raises inside the write
         job, before anything is committed, and an empty result replaces nothing
-        and is reported afterwards. Other dates are never touched.
+        and is reported afterwards. Other dates are never touched. Only a schema
+        change, possible while no other date is stored, checks the rows beforehand.
         """
         target = self.name(layer, table)
-        fresh = not self.exists(layer, table)
-        if not fresh:
+        existed = self.exists(layer, table)
+        recreate = False
+        if existed:
             self._check_partitioning(target)
-            if not self._same_schema(target, frame):
-                if not self._only_holds(target, odate):
-                    raise PartitionContract(
-                        f"refusing to change the schema of {target}: other dates are present"
-                    )
-                fresh = True
+            recreate = not self._same_schema(target, frame)
+            if recreate and not self._only_holds(target, odate):
+                raise PartitionContract(
+                    f"refusing to change the schema of {target}: other dates are present"
+                )
+        if existed and (recreate or self.fmt == "delta"):
+            # These writes drop old rows before the new ones are known to be good.
+            _check_first(frame, target, odate)
 
         written = Observation()
         rows = _clustered(_only_date(frame, target, odate), cluster_by)
         rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-        existed = self.exists(layer, table)
         try:
-            if fresh:
+            if recreate or not existed:
                 self._create(rows, layer, target)
             elif self.fmt == "delta":
                 (
@@ -96,6 +99,8 @@ class Lake:
             else:
                 self._insert(rows, target, overwrite=True)
         except PySparkException as error:
+            if not existed:
+                self.spark.sql(f"DROP TABLE IF EXISTS {target}")
             if OUTSIDE in str(error):
                 raise PartitionContract(f"refusing to write {target}: {OUTSIDE}") from error
             raise
@@ -211,6 +216,14 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
+def _check_first(frame: DataFrame, target: str, odate: date) -> None:
+    """The checks of a write ahead of it, for writes that cannot be undone."""
+    require_rows(frame, target, odate)
+    inside = F.col(BUSINESS_DATE).eqNullSafe(F.lit(odate).cast("date"))
+    if not frame.where(~inside).isEmpty():
+        raise PartitionContract(f"refusing to write {target}: {OUTSIDE}")
+
+
 def _only_date(frame: DataFrame, target: str, odate: date) -> DataFrame:
     """The same rows; a row of another date fails the job that reads it."""
     inside = F.col(BUSINESS_DATE).eqNullSafe(F.lit(odate).cast("date"))

@@ -48,6 +48,9 @@ def test_rows_of_another_date_are_refused(spark, lake, layer):
         mixed = rows(spark, ODATE, [5]).unionByName(rows(spark, other, [6]))
         with pytest.raises(PartitionContract):
             lake.replace_partition(mixed, layer, "t", ODATE)
+        with pytest.raises(PartitionContract):
+            lake.replace_partition(mixed, layer, "fresh", ODATE)
+        assert not lake.exists(layer, "fresh")
     assert stored(lake, layer) == {ODATE: [1]}
 
 
@@ -72,6 +75,11 @@ def test_schema_change_needs_a_table_without_other_dates(spark, lake, layer):
     lake.replace_partition(rows(spark, ODATE, [1]), layer, "t", ODATE)
     lake.replace_partition(rows(spark, ODATE, [2], name="w"), layer, "t", ODATE)
     assert lake.read(layer, "t").columns == ["w", "odate"]
+    with pytest.raises(EmptyPartition):
+        lake.replace_partition(rows(spark, ODATE, [], name="x"), layer, "t", ODATE)
+    with pytest.raises(PartitionContract):
+        lake.replace_partition(rows(spark, NEXT, [5], name="x"), layer, "t", ODATE)
+    assert stored(lake, layer) == {ODATE: [2]}
     lake.replace_partition(rows(spark, NEXT, [3], name="w"), layer, "t", NEXT)
     with pytest.raises(PartitionContract, match="schema"):
         lake.replace_partition(rows(spark, ODATE, [4], name="x"), layer, "t", ODATE)
