@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sluice.operators.checks import ERRORS, annotate
+from sluice.operators.checks import ERRORS, rejected
 from sluice.operators.rules import row_rules
 from sluice.sources.tables import Lake
 from sluice.streaming.contract import QUARANTINE_FIELDS, SILVER_FIELDS, event_rules
@@ -80,10 +80,8 @@ class VitalStream:
             F.count(F.lit(1)).alias("checked"),
             *(F.count_if(rule.failed).alias(rule.name) for rule in row_rules(rules)),
         )
-        bad = annotate(counted, rules).where(F.size(ERRORS) > 0)
-        return self._start(
-            bad.select(*QUARANTINE_FIELDS, ERRORS), QUARANTINE, "eventhub_enqueued_at"
-        )
+        bad = rejected(counted, rules).select(*QUARANTINE_FIELDS, ERRORS)
+        return self._start(bad, QUARANTINE, "eventhub_enqueued_at")
 
     def start_silver(self) -> StreamingQuery:
         return self._start(silver_rows(self._follow(*BRONZE)), SILVER, "event_time")

@@ -239,8 +239,8 @@ def _payload(d) -> str:
         f"CASE WHEN event_type = 'view' AND {low} THEN '\", \"extra\": \"1\"}}' ELSE '\"}}' END",
     ]
     whole_text = " || ".join(f"({part})" for part in parts)
-    cut = f"event_type = 'click' AND {low}"
-    return f"CASE WHEN {cut} THEN substr({whole_text}, 1, 60) ELSE {whole_text} END"
+    spoilt = f"event_type = 'click' AND {low}"
+    return f"CASE WHEN {spoilt} THEN '!' ELSE '' END || {whole_text}"
 
 
 def records(d) -> tuple[str, dict[str, str]]:
