@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.operators.once import with_columns_once
 from sluice.operators.rules import (
     Rule,
     any_failed,
@@ -85,9 +86,18 @@ def rejected(
 
 
 def accepted(frame: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Only the rows that break no rule.
+
+    With key rules the verdict is computed above the join. Its parts would else be
+    pushed into one side of it only, and that side could no longer share the
+    shuffle of ``frame`` with the search for repeated keys.
+    """
+    if not key_rules(rules):
+        return frame.where(~row_failed(rules))
     flagged, flags = _flag_repeated(frame, rules, None)
     bad = any_failed(failed for _, failed in _failures(rules, flags))
-    return flagged.where(~bad).select(*frame.columns)
+    judged = with_columns_once(flagged, {"__bad": bad})
+    return judged.where(~F.col("__bad")).select(*frame.columns)
 
 
 def split(frame: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:

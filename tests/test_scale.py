@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.operators.checks import rejected, tally
+from sluice.operators.checks import accepted, rejected, tally
 from sluice.operators.dedup import keep_latest
 from sluice.operators.reconcile import existing
 from sluice.operators.rules import sql_rule, unique_key
@@ -70,3 +70,13 @@ def test_latest_update_needs_no_single_task_window(spark):
     )
     text = plan(latest_update_id(log, "p"))
     assert "Window" not in text and "partial_max" in text
+
+
+def test_split_shares_one_dedup_shuffle(spark, hot):
+    rules = [unique_key("t", "t"), sql_rule("t_present", "t IS NOT NULL")]
+    text = hot.select(F.col("k").cast("string").alias("raw"), "v")
+    kept = keep_latest(text, ["raw"], [F.col("v").desc_nulls_last()])
+    typed = kept.select(F.col("raw").try_cast("bigint").alias("t"), "v")
+    for part in (accepted(typed, rules), rejected(typed, rules)):
+        part.collect()
+        assert "ReusedExchange" in plan(part)
