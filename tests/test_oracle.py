@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as driver
 from oracle import connect, difference
+from workload.registry import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not mounted")
@@ -17,14 +18,14 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     frame = driver.queries()[name](spark, SF_DIR)
     assert difference(frame, duck, driver.oracle_sql()[name]) is None
 
 
 def test_no_plan_has_a_cross_join(spark):
-    for name, query in driver.queries().items():
+    for name, query in QUERIES.items():
         if name.startswith("stream_"):
             continue
         text = query(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
