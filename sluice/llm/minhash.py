@@ -5,10 +5,11 @@ Texts are compared as sets of word shingles. A signature keeps the lowest ``BITS
 share of equal b-bit lanes, corrected for lanes that are equal by chance, estimates the similarity;
 pairs clearly below the threshold end there, all others are confirmed on their full sets.
 
-Equal sets are collapsed first. Candidates of a band are then compared in two steps that write no
-more than a few pairs per row, however many rows share the band: every row with the band's smallest
-id, and after that only rows of different components among themselves. Rows already known to be
-connected need no comparison, because only the component is asked for.
+Equal sets are collapsed first. Candidates of a band are then compared in three steps: every row
+with the band's smallest id; the rows outside the band's largest component with a few rows of it;
+and what is still outside with every row of another component. Rows already known to be connected
+need no comparison, because only the component is asked for, so a large group costs a few pairs a
+row while no candidate pair of different components goes unchecked.
 
 Lower-casing is by bytes A-Z. Null, empty and blank texts have no shingles, link with nothing and
 stay. Texts shorter than a shingle have their whole word sequence as only shingle. Rows with a null
@@ -22,14 +23,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import (
     as_signed,
     components,
     flat,
-    list_array,
     mapped,
     mixed,
     run_hashes,
@@ -47,6 +47,8 @@ LANES = 64 // BITS
 DEVIATIONS = 6.0
 SHINGLE_WORDS = 5
 PERCENT = 80
+#: Rows of a band's largest component that the rows outside it meet before all others.
+PIVOTS = 6
 
 _random = np.random.default_rng(7)
 _FACTOR = _random.integers(0, 2**32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
@@ -149,35 +151,79 @@ def lowest_estimate(percent: int) -> float:
     return real - DEVIATIONS * spread
 
 
-def _sets(words: int):
+def _agreeing(words: int, percent: int):
     def rows(batch: pa.RecordBatch):
-        found = [shingle_set(text, words) for text in text_bytes(batch["text"])]
-        yield {
-            "doc_id": batch["doc_id"],
-            "shingles": list_array(
-                as_signed(flat(found, np.uint64)), [len(x) for x in found], pa.int64()
-            ),
-        }
+        left, right, known, last = [], [], None, None
+        texts = zip(text_bytes(batch["text_a"]), text_bytes(batch["text_b"]))
+        for a, b, (text_a, text_b) in zip(
+            batch["a"].to_pylist(), batch["b"].to_pylist(), texts
+        ):
+            if (a, text_a) != last:
+                known, last = shingle_set(text_a, words), (a, text_a)
+            other = shingle_set(text_b, words)
+            both = len(np.intersect1d(known, other, assume_unique=True))
+            if both and 100 * both >= percent * (len(known) + len(other) - both):
+                left.append(a)
+                right.append(b)
+        yield {"a": left, "b": right}
 
     return rows
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = (
-        docs.select(F.col("doc_id").cast("bigint"), "text")
-        .where("doc_id IS NOT NULL")
-        .join(ids, "doc_id")
-    )
-    sets = staged(mapped(texts, _sets(words), "doc_id bigint, shingles array<bigint>"), "sets")
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("in_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("in_b"))
-    both = F.size(F.array_intersect("in_a", "in_b"))
-    either = F.size("in_a") + F.size("in_b") - both
-    return (
-        pairs.join(left, "a").join(right, "b").where(100 * both >= percent * either).select("a", "b")
-    )
+class _Candidates:
+    """Rows that share a band with another row, and what is needed to compare them."""
+
+    def __init__(self, docs: DataFrame, reps: DataFrame, words: int, percent: int):
+        self.words, self.percent = words, percent
+        keyed = reps.select("doc_id", F.explode("bands").alias("band"))
+        # A band with one row gives no candidate; the smallest row of a band is its centre.
+        centres = (
+            keyed.groupBy("band")
+            .agg(F.min("doc_id").alias("centre"), F.count("*").alias("n"))
+            .where("n > 1")
+        )
+        self.bands = staged(keyed.join(centres, "band"), "bands")
+        ids = self.bands.select("doc_id").distinct()
+        self.signatures = reps.select("doc_id", "signature")
+        texts = docs.select(F.col("doc_id").cast("bigint"), "text").where("doc_id IS NOT NULL")
+        self.texts = staged(texts.join(ids, "doc_id"), "texts")
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that pass the estimate and then the test on full sets."""
+        pairs = pairs.distinct()
+        for side in ("a", "b"):
+            named = self.signatures.select(
+                F.col("doc_id").alias(side), F.col("signature").alias(f"sig_{side}")
+            )
+            pairs = pairs.join(named, side)
+        likely = pairs.where(estimate("sig_a", "sig_b") >= lowest_estimate(self.percent))
+        likely = staged(likely.select("a", "b"), "likely")
+        for side in ("b", "a"):
+            named = self.texts.select(
+                F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")
+            )
+            likely = likely.join(named, side)
+        found = mapped(likely, _agreeing(self.words, self.percent), "a bigint, b bigint")
+        return staged(found, "links")
+
+    def unsettled(self, known: DataFrame) -> DataFrame:
+        """Rows of bands that hold several components, with the band's largest one as home."""
+        placed = self.bands.where("n > 2").join(
+            known.withColumnRenamed("id", "doc_id"), "doc_id", "left"
+        ).select("band", "centre", "doc_id", F.coalesce("component", "doc_id").alias("part"))
+        homes = (
+            placed.groupBy("band", "part")
+            .agg(F.count("*").alias("size"))
+            .groupBy("band")
+            .agg(F.max(F.struct("size", "part")).alias("home"), F.count("*").alias("parts"))
+            .where("parts > 1")
+            .select("band", F.col("home.part").alias("home"))
+        )
+        return staged(placed.join(homes, "band"), "unsettled")
+
+
+def _ordered(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
 def near_duplicate_groups(
@@ -189,79 +235,53 @@ def near_duplicate_groups(
     similarity; ``kept`` marks the row with that id.
     """
     rows = staged(signatures(docs, words), "signatures")
-    named = rows.where("set_a IS NOT NULL")
     # One representative for every distinct set.
     by_set = staged(
-        named.groupBy("set_a", "set_b", "n_shingles").agg(
-            F.min(F.struct("doc_id", "bands", "signature")).alias("rep")
-        ),
+        rows.where("set_a IS NOT NULL")
+        .groupBy("set_a", "set_b", "n_shingles")
+        .agg(F.min(F.struct("doc_id", "bands", "signature")).alias("rep")),
         "sets-once",
     )
-    reps = by_set.select("rep.*")
-    keyed = reps.select("doc_id", "signature", F.explode("bands").alias("band"))
-    # A band with one row gives no candidate; the smallest row of a band is its centre.
-    centres = (
-        keyed.groupBy("band")
-        .agg(F.min(F.struct("doc_id", "signature")).alias("centre"), F.count("*").alias("n"))
-        .where("n > 1")
-        .select("band", F.col("centre.doc_id").alias("a"), F.col("centre.signature").alias("sig_a"))
-    )
-    shared = staged(
-        keyed.withColumnRenamed("doc_id", "b").withColumnRenamed("signature", "sig_b").join(
-            centres, "band"
-        ),
-        "bands",
-    )
-    likely = estimate("sig_a", "sig_b") >= lowest_estimate(percent)
-    stars = staged(
-        shared.where((F.col("a") < F.col("b")) & likely).select("a", "b").distinct(), "stars"
-    )
-    linked = staged(_confirmed(stars, docs, words, percent), "links")
-    known = components(linked, "components")
-    # Bands whose rows still lie in several components.
-    placed = shared.join(known.withColumnRenamed("id", "b"), "b", "left").select(
-        "band",
-        F.col("a").alias("centre"),
-        F.col("b").alias("doc_id"),
-        F.col("sig_b").alias("signature"),
-        F.coalesce("component", "b").alias("part"),
-    )
-    mixed_bands = (
-        placed.groupBy("band")
-        .agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n"))
-        # With two rows the pair was compared already.
-        .where("low <> high AND n > 2")
-        .select("band")
-    )
-    left_over = staged(placed.join(mixed_bands, "band"), "left-over")
-    # The centre's component was compared with its centre; the others meet all rows of the band.
-    home = left_over.where("doc_id = centre").select("band", F.col("part").alias("home"))
-    outside = (
-        left_over.join(home, "band")
-        .where("part <> home")
-        .select("band", F.col("doc_id").alias("x"), F.col("signature").alias("sig_x"),
-                F.col("part").alias("part_x"))
-    )
-    inside = left_over.where("doc_id <> centre").select(
-        "band", F.col("doc_id").alias("y"), F.col("signature").alias("sig_y"),
-        F.col("part").alias("part_y"),
-    )
-    more = (
-        outside.join(inside, "band")
-        .where("part_x <> part_y")
-        .where(estimate("sig_x", "sig_y") >= lowest_estimate(percent))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-    )
-    more = staged(more, "second-pairs")
-    late = _confirmed(more, docs, words, percent)
-    whole = components(linked.union(staged(late, "late-links")), "components")
-    reached = by_set.select("set_a", "set_b", "n_shingles", F.col("rep.doc_id").alias("id")).join(
-        whole, "id", "left"
-    ).select("set_a", "set_b", "n_shingles", F.coalesce("component", "id").alias("group"))
-    found = rows.join(reached, ["set_a", "set_b", "n_shingles"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("group", "doc_id").alias("component_id")
+    search = _Candidates(docs, by_set.select("rep.*"), words, percent)
+    # First every row with its band's centre.
+    links = search.linked(
+        search.bands.where("centre < doc_id").select(
+            F.col("centre").alias("a"), F.col("doc_id").alias("b")
+        )
     )
+    groups = components(links, "components")
+    # Then the rows outside a band's largest component: with a few rows of that component, which
+    # settles almost all of a large group, and at last with every row of another component.
+    for pivots in (PIVOTS, None):
+        open_rows = search.unsettled(groups)
+        if not open_rows.limit(1).count():
+            break
+        outside = open_rows.where("part <> home").select(
+            "band", F.col("doc_id").alias("x"), F.col("part").alias("part_x")
+        )
+        inside = open_rows.select(
+            "band", "home", F.col("doc_id").alias("y"), F.col("part").alias("part_y")
+        )
+        if pivots:
+            order = Window.partitionBy("band").orderBy(F.xxhash64("y"), "y")
+            inside = (
+                inside.where("part_y = home")
+                .withColumn("place", F.row_number().over(order))
+                .where(F.col("place") <= pivots)
+            )
+        more = search.linked(
+            outside.join(inside, "band").where("part_x <> part_y").select(*_ordered("x", "y"))
+        )
+        links = links.union(more)
+        groups = components(links, "components")
+    reached = by_set.select(
+        "set_a", "set_b", "n_shingles", F.col("rep.doc_id").alias("id")
+    ).join(groups, "id", "left")
+    found = rows.join(
+        reached.select("set_a", "set_b", "n_shingles", F.coalesce("component", "id").alias("group")),
+        ["set_a", "set_b", "n_shingles"],
+        "left",
+    ).select("doc_id", "n_shingles", F.coalesce("group", "doc_id").alias("component_id"))
     return found.withColumn("kept", F.coalesce(F.expr("doc_id = component_id"), F.lit(True)))
 
 
