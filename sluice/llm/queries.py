@@ -5,6 +5,7 @@ from __future__ import annotations
 from sluice.llm.common import table
 from sluice.llm.minhash import near_duplicate_groups
 from sluice.llm.registry import register
+from sluice.llm.vectors import near_duplicate_vectors
 
 #: Components of a link table ``links(a, b)`` over ``nodes(id)``: smallest id reachable.
 _REACHED = """
@@ -46,3 +47,25 @@ register(
     lambda s, d: near_duplicate_groups(table(s, d, "documents"), words=2, percent=80),
     OP6,
 )
+
+OP3 = f"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y
+    ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.98
+), nodes AS (SELECT vec_id AS id FROM embeddings),
+links AS (SELECT a, b FROM pairs WHERE a < b), {_REACHED},
+counted AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, g.component_id, e.vec_id = g.component_id AS kept
+FROM embeddings e JOIN groups g ON g.id = e.vec_id LEFT JOIN counted c ON c.a = e.vec_id
+"""
+register(
+    "op3_vector_range_join",
+    lambda s, d: near_duplicate_vectors(table(s, d, "embeddings"), cosine=0.98),
+    OP3,
+)
