@@ -5,6 +5,7 @@ from __future__ import annotations
 from sluice.llm.common import table
 from sluice.llm.minhash import near_duplicate_groups
 from sluice.llm.registry import register
+from sluice.llm.substrings import without_repeats
 from sluice.llm.vectors import near_duplicate_vectors
 
 #: Components of a link table ``links(a, b)`` over ``nodes(id)``: smallest id reachable.
@@ -69,3 +70,30 @@ register(
     lambda s, d: near_duplicate_vectors(table(s, d, "embeddings"), cosine=0.98),
     OP3,
 )
+
+OP2 = f"""
+WITH toks AS (
+  SELECT doc_id, CASE WHEN text IS NULL THEN []::VARCHAR[]
+    ELSE {_WORDS.format("text")} END AS w FROM documents
+), windows AS (
+  SELECT doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) AS h FROM (
+    SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM toks WHERE len(w) >= 50)
+), first_seen AS (SELECT h, min(doc_id) AS low FROM windows GROUP BY h),
+gone AS (
+  SELECT DISTINCT w.doc_id, unnest(range(w.s, w.s + 50)) AS p
+  FROM windows w JOIN first_seen f ON f.h = w.h AND f.low < w.doc_id
+), listed AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT t.doc_id, len(t.w) AS n_words, coalesce(len(l.ps), 0) AS n_removed,
+    list_filter(t.w, lambda x, i: NOT coalesce(list_contains(l.ps, i), false)) AS k
+  FROM toks t LEFT JOIN listed l USING (doc_id)
+)
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
+"""
+register(
+    "op2_substring_dedup",
+    lambda s, d: without_repeats(table(s, d, "documents"), width=50).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    ),
+    OP2,
+)
