@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from sluice.llm.common import table
+from sluice.llm.language import identify
+from sluice.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES, license_scan
 from sluice.llm.minhash import near_duplicate_groups
 from sluice.llm.registry import register
 from sluice.llm.substrings import without_repeats
@@ -97,3 +99,48 @@ register(
     ),
     OP2,
 )
+
+register(
+    "op9_language_profiles",
+    lambda s, d: identify(table(s, d, "documents")).select(
+        "doc_id", "held_out", "lang_pred", "score"
+    ),
+)
+
+_PHRASE_ROWS = ", ".join(f"('{p}', '{l}', {len(p.split())})" for p, l in PHRASES.items())
+_TEMPLATE_ROWS = ", ".join(
+    f"({n}, '{label}', ['" + "', '".join(sorted(set(text.split()))) + "'])"
+    for n, (label, text) in enumerate(TEMPLATES)
+)
+_PARTS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP8 = f"""
+WITH phrases(phrase, label, n) AS (VALUES {_PHRASE_ROWS}),
+templates(id, label, t) AS (VALUES {_TEMPLATE_ROWS}),
+lowered AS (SELECT doc_id, coalesce({_LOWER}, '') AS text FROM documents),
+toks AS (SELECT doc_id, {_PARTS.format("text")} AS w FROM lowered),
+places AS (
+  SELECT doc_id, label, s FROM (
+    SELECT doc_id, label, phrase, n, w, unnest(range(0, len(w) - n + 1)) AS s
+    FROM toks JOIN phrases ON contains(array_to_string(w, ' '), phrase)
+  ) p WHERE array_to_string(w[s + 1:s + n], ' ') = phrase
+), based AS (
+  SELECT doc_id, count(*) AS n_base, min(s) AS first_word, max(s) AS last_word,
+    list_sort(list(DISTINCT label)) AS base FROM places GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, list_distinct({_PARTS.format("line")}) AS b FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM lowered)
+), held AS (
+  SELECT doc_id, label, len(list_intersect(b, t)) AS both_n, len(t) AS size
+  FROM lines CROSS JOIN templates
+), more AS (
+  SELECT doc_id, list(DISTINCT label) AS labels, max(both_n / size) AS best FROM held
+  WHERE both_n >= ceil({CONTAINMENT} * size - 1e-9) GROUP BY doc_id
+)
+SELECT t.doc_id, len(t.w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(array_to_string(base, ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []),
+    coalesce(m.labels, [])))), ','), '') AS labels,
+  CAST(CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(best, 0.0) END AS DOUBLE) AS score
+FROM toks t LEFT JOIN based USING (doc_id) LEFT JOIN more m USING (doc_id)
+"""
+register("op8_license_scan", lambda s, d: license_scan(table(s, d, "documents")), OP8)
