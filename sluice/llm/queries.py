@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from sluice.llm.common import table
+from sluice.llm.encoding import encode_texts
 from sluice.llm.language import identify
 from sluice.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES, license_scan
 from sluice.llm.minhash import near_duplicate_groups
 from sluice.llm.registry import register
 from sluice.llm.substrings import without_repeats
+from sluice.llm.token_counts import with_token_counts
 from sluice.llm.vectors import near_duplicate_vectors
 
 #: Components of a link table ``links(a, b)`` over ``nodes(id)``: smallest id reachable.
@@ -144,3 +146,13 @@ SELECT t.doc_id, len(t.w) AS n_words, coalesce(n_base, 0) AS n_base, first_word,
 FROM toks t LEFT JOIN based USING (doc_id) LEFT JOIN more m USING (doc_id)
 """
 register("op8_license_scan", lambda s, d: license_scan(table(s, d, "documents")), OP8)
+register(
+    "op4_token_counts",
+    lambda s, d: with_token_counts(table(s, d, "documents")).select("doc_id", "n_tokens"),
+)
+register(
+    "op5_sentencepiece",
+    lambda s, d: encode_texts(table(s, d, "documents")).selectExpr(
+        "doc_id", "CAST(coalesce(size(ids), 0) AS BIGINT) AS n_tokens", "ids", "round_trip"
+    ),
+)
