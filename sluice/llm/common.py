@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -65,6 +66,29 @@ def mapped(frame: DataFrame, rows: Callable[[pa.RecordBatch], Iterable[dict]], s
     return frame.mapInArrow(run, schema)
 
 
+def counted(frame: DataFrame, update: Callable, schema: str, limit: int = 200_000) -> DataFrame:
+    """Partial counts: rows (key, n) of what ``update(counter, batch)`` adds, emptied at ``limit``."""
+    key, kind = schema.split(",")[0].split()
+    first = pa.field(key, {"string": pa.string(), "binary": pa.binary()}[kind])
+    arrow = pa.schema([first, ("n", pa.int64())])
+
+    def emptied(seen: Counter) -> pa.RecordBatch:
+        columns = [pa.array(list(seen), first.type), pa.array(list(seen.values()), pa.int64())]
+        seen.clear()
+        return pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                update(seen, batch.slice(start, 64))
+                if len(seen) >= limit:
+                    yield emptied(seen)
+        yield emptied(seen)
+
+    return frame.mapInArrow(run, schema)
+
+
 def text_bytes(column: pa.Array) -> Iterator[bytes | None]:
     """The UTF-8 bytes of every text, None for null."""
     for value in column.cast(pa.binary()):
