@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import mapped, staged
+from sluice.llm.common import counted, mapped, staged
 from sluice.llm.pieces import MODEL, SPACE, Pieces, load_pieces, words_of
 
 FREQUENT = 500_000
@@ -177,11 +177,9 @@ def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     )
 
 
-def _counted_words(batch: pa.RecordBatch):
-    seen: Counter = Counter()
+def _count_words(seen: Counter, batch: pa.RecordBatch) -> None:
     for text in batch["text"].to_pylist():
         seen.update(words_of(text))
-    yield {"word": list(seen), "n": list(seen.values())}
 
 
 def decode_ids(encoded: DataFrame, model: str = MODEL) -> DataFrame:
@@ -210,7 +208,7 @@ def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT)
     spark = docs.sparkSession
     pieces = load_pieces(model)
     counts = (
-        mapped(docs.select("text"), _counted_words, "word string, n bigint")
+        counted(docs.select("text"), _count_words, "word string, n bigint")
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
     )

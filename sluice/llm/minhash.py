@@ -287,6 +287,7 @@ def near_duplicate_groups(
 
 def one_per_group(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without those that another document of their group represents."""
-    gone = near_duplicate_groups(docs, words, percent).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone.withColumnRenamed("doc_id", "_gone"), F.col("_gone") == F.col("doc_id"),
-                     "left_anti")
+    gone = near_duplicate_groups(docs, words, percent).where("NOT kept")
+    # Written first: its size is then known when the join with the texts is planned.
+    gone = staged(gone.select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    return docs.join(gone, F.col("_gone") == docs["doc_id"].cast("bigint"), "left_anti")

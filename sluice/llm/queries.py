@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from sluice.llm.common import table
+from sluice.llm.contamination import contamination
 from sluice.llm.encoding import encode_texts
 from sluice.llm.language import identify
 from sluice.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES, license_scan
 from sluice.llm.minhash import near_duplicate_groups
 from sluice.llm.registry import register
+from sluice.llm.scoring import language_scores
+from sluice.llm.sharding import LIMIT, with_shards
 from sluice.llm.substrings import without_repeats
 from sluice.llm.token_counts import with_token_counts
 from sluice.llm.vectors import near_duplicate_vectors
@@ -156,3 +159,76 @@ register(
         "doc_id", "CAST(coalesce(size(ids), 0) AS BIGINT) AS n_tokens", "ids", "round_trip"
     ),
 )
+
+_ITEM_WORDS = r"regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP7 = f"""
+WITH toks AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents WHERE text IS NOT NULL),
+items AS (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+doc_words AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM toks),
+item_words AS (
+  SELECT item_id, len(w) AS n, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS j FROM items
+), same AS (
+  SELECT d.doc_id, t.item_id, t.n, d.i - t.j AS shift, t.j
+  FROM doc_words d JOIN item_words t ON d.x = t.x WHERE t.n >= 6
+), windows AS (
+  SELECT doc_id, item_id, shift, j AS s, n, count(*) OVER (
+    PARTITION BY doc_id, item_id, shift ORDER BY j
+    RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS agree FROM same
+  UNION ALL
+  -- A window may begin with up to two words that differ.
+  SELECT doc_id, item_id, shift, j - e AS s, n, count(*) OVER (
+    PARTITION BY doc_id, item_id, shift, e ORDER BY j
+    RANGE BETWEEN CURRENT ROW AND 12 - e FOLLOWING) AS agree
+  FROM same, (VALUES (1), (2)) v(e)
+), matched AS (
+  SELECT w.doc_id, item_id, s + shift AS a, s + shift + least(13, n) - 1 AS b
+  FROM windows w JOIN toks t USING (doc_id)
+  WHERE s >= 0 AND s + shift >= 0 AND s + least(13, n) <= n
+    AND s + shift + least(13, n) <= len(t.w)
+    AND agree >= CASE WHEN n >= 13 THEN 11 ELSE n END
+)
+SELECT d.doc_id, count(m.item_id) > 0 AS contaminated, count(DISTINCT m.item_id) AS n_items,
+  coalesce(array_to_string(list_sort(list(DISTINCT m.item_id)), ','), '') AS items,
+  min(a) AS first_word, max(b) AS last_word
+FROM documents d LEFT JOIN matched m USING (doc_id) GROUP BY d.doc_id
+"""
+register(
+    "op7_spaced_seeds",
+    lambda s, d: contamination(table(s, d, "documents"), table(s, d, "benchmark")),
+    OP7,
+)
+
+register(
+    "op10_backoff_scores",
+    lambda s, d: language_scores(table(s, d, "documents")),
+)
+
+_HALF = "(CAST('0x' || substr(md5({0}), 1, 8) AS BIGINT) >> 2)"
+_KEY = "coalesce(CAST(doc_id AS VARCHAR), '')"
+_KEYS = _HALF.format(f"{_KEY} || '|' || coalesce(text, '')")
+OP1 = f"""
+WITH hashed AS (
+  SELECT doc_id, ({_HALF.format(_KEY)} << 30) | {_KEYS} AS bits,
+    coalesce(strlen(text), 0) AS n_bytes FROM documents
+), levels AS (SELECT *, unnest(range(0, 61)) AS level FROM hashed),
+nodes AS (
+  SELECT level, bits >> (60 - level) AS node, sum(n_bytes) AS total FROM levels GROUP BY ALL
+), placed AS (
+  SELECT doc_id, bits, n_bytes, min(level) AS depth FROM levels l
+  JOIN nodes n USING (level) WHERE n.node = l.bits >> (60 - level)
+    AND (total <= {LIMIT} OR level = 60) GROUP BY ALL
+)
+SELECT doc_id, n_bytes, substr(lpad(bin(bits), 60, '0'), 1, depth) AS shard,
+  CAST(total AS BIGINT) AS shard_bytes, total > {LIMIT} AS oversized
+FROM placed p JOIN nodes n ON n.level = p.depth AND n.node = p.bits >> (60 - p.depth)
+"""
+register(
+    "op1_extendible_shards",
+    lambda s, d: with_shards(
+        table(s, d, "documents"), key=["doc_id"], spread=["text"], size="text"
+    ).selectExpr(
+        "doc_id", "CAST(coalesce(octet_length(text), 0) AS BIGINT) AS n_bytes", "shard",
+        "shard_bytes", "oversized",
+    ),
+    OP1,
+)
