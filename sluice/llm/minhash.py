@@ -47,8 +47,8 @@ LANES = 64 // BITS
 DEVIATIONS = 6.0
 SHINGLE_WORDS = 5
 PERCENT = 80
-#: Rows of a band's largest component that the rows outside it meet before all others.
-PIVOTS = 6
+#: Rows of a component that rows outside it, but in a band with it, meet before all others.
+PIVOTS = 12
 
 _random = np.random.default_rng(7)
 _FACTOR = _random.integers(0, 2**32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
@@ -256,22 +256,28 @@ def near_duplicate_groups(
         open_rows = search.unsettled(groups)
         if not open_rows.limit(1).count():
             break
-        outside = open_rows.where("part <> home").select(
-            "band", F.col("doc_id").alias("x"), F.col("part").alias("part_x")
-        )
-        inside = open_rows.select(
-            "band", "home", F.col("doc_id").alias("y"), F.col("part").alias("part_y")
-        )
+        outside = open_rows.where("part <> home")
         if pivots:
-            order = Window.partitionBy("band").orderBy(F.xxhash64("y"), "y")
-            inside = (
-                inside.where("part_y = home")
+            # The same rows lie in many bands; each needs a component's pivots only once.
+            homes = open_rows.select("home").distinct()
+            order = Window.partitionBy("home").orderBy(F.xxhash64("y"), "y")
+            pivot = (
+                groups.join(homes, groups["component"] == homes["home"])
+                .select("home", F.col("id").alias("y"))
                 .withColumn("place", F.row_number().over(order))
                 .where(F.col("place") <= pivots)
             )
-        more = search.linked(
-            outside.join(inside, "band").where("part_x <> part_y").select(*_ordered("x", "y"))
-        )
+            pairs = outside.select("home", F.col("doc_id").alias("x")).distinct().join(pivot, "home")
+        else:
+            inside = open_rows.select(
+                "band", F.col("doc_id").alias("y"), F.col("part").alias("part_y")
+            )
+            pairs = (
+                outside.select("band", F.col("doc_id").alias("x"), F.col("part").alias("part_x"))
+                .join(inside, "band")
+                .where("part_x <> part_y")
+            )
+        more = search.linked(pairs.select(*_ordered("x", "y")))
         links = links.union(more)
         groups = components(links, "components")
     reached = by_set.select(
