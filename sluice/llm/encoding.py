@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from sluice.llm.common import counted, mapped, staged
 from sluice.llm.pieces import MODEL, SPACE, Pieces, load_pieces, words_of
 
-FREQUENT = 500_000
+FREQUENT = 200_000
 #: Back pointers are collected in blocks of this size, so a long word is not copied at each step.
 _BLOCK = 256
 
