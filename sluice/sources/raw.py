@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,16 +60,21 @@ def landed_from_paths(paths: DataFrame, path: str = "path") -> DataFrame:
     return found.where(F.col("odate").isNotNull()).distinct()
 
 
-def list_landed(spark: SparkSession, root: str) -> DataFrame:
-    """Landed (dataset, odate) pairs; file contents are never read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .load(root)
-        .select("path")
-    )
-    return landed_from_paths(files)
+def list_landed(spark: SparkSession, root: str, odate: date | None = None) -> DataFrame:
+    """Landed (dataset, odate) pairs; file contents are never read.
+
+    With ``odate`` only the folders of that date are listed, not the history.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+    if odate is None:
+        return landed_from_paths(files.option("recursiveFileLookup", True).load(root).select("path"))
+    try:
+        found = files.load(f"{root.rstrip('/')}/*/odate={odate.isoformat()}/").select("path")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = spark.createDataFrame([], "path string")
+    return landed_from_paths(found)
 
 
 def expected_landings(dates: DataFrame, datasets: Sequence[str]) -> DataFrame:
@@ -96,7 +102,7 @@ def require_landed(spark: SparkSession, root: str, odate: date) -> None:
     """Fail with the expected path of every dataset that has no file for ``odate``."""
     day = spark.range(1).select(F.lit(odate).cast("date").alias("odate"))
     missing = missing_landings(
-        expected_landings(day, list(ENTITIES)), list_landed(spark, root), root
+        expected_landings(day, list(ENTITIES)), list_landed(spark, root, odate), root
     )
     # At most one row per entity.
     paths = sorted(row["expected_path"] for row in missing.collect())

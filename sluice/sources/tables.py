@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date
+from threading import Lock
+from weakref import WeakKeyDictionary
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -204,16 +206,32 @@ class Lake:
             self._insert(frame, target, overwrite=True)
 
 
+# Writes that are under way in each session, and the setting to return to after the last one.
+_WRITES: WeakKeyDictionary[SparkSession, tuple[int, str]] = WeakKeyDictionary()
+_WRITES_LOCK = Lock()
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """``insertInto`` ignores the writer option, so the session setting is used."""
+    """``insertInto`` ignores the writer option, so the session setting is used.
+
+    It stays until the last of several writes at once has ended, then returns to what it was.
+    """
     setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
+    with _WRITES_LOCK:
+        count, before = _WRITES.get(spark, (0, ""))
+        if not count:
+            before = spark.conf.get(setting)
+            spark.conf.set(setting, "dynamic")
+        _WRITES[spark] = (count + 1, before)
     try:
         yield
     finally:
-        spark.conf.set(setting, before)
+        with _WRITES_LOCK:
+            count, before = _WRITES[spark]
+            _WRITES[spark] = (count - 1, before)
+            if count == 1:
+                spark.conf.set(setting, before)
 
 
 def _check_first(frame: DataFrame, target: str, odate: date) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,14 +54,32 @@ def observed(progress, name: str) -> dict[str, int] | None:
     return found.asDict() if hasattr(found, "asDict") else dict(found)
 
 
-def rule_outcomes(query: StreamingQuery) -> dict[str, dict[str, int]]:
-    """Passed and failed events per rule, added up over the reported micro-batches.
+def drained(query: StreamingQuery, every: float = 0.1) -> list:
+    """Wait for the end of a query and return the progress of all its micro-batches.
+
+    The query itself keeps only its latest entries, so they are picked up while it runs, by batch
+    id. A batch id missing between two others would mean lost counts and fails.
+    """
+    batches: dict[int, object] = {}
+    while query.isActive:
+        batches.update((p["batchId"], p) for p in query.recentProgress)
+        # A failure is left to the caller, who still needs the counts.
+        time.sleep(every)
+    batches.update((p["batchId"], p) for p in query.recentProgress)
+    ids = sorted(batches)
+    if ids and ids != list(range(ids[0], ids[-1] + 1)):
+        raise RuntimeError(f"progress of {query.name} has gaps; counters would be short")
+    return [batches[i] for i in ids]
+
+
+def rule_outcomes(batches: list) -> dict[str, dict[str, int]]:
+    """Passed and failed events per rule, added up over the given micro-batches.
 
     Progress counters serve monitoring: a retried task may be counted twice. Exact
     counts come from ``operators.checks.rule_outcomes`` over the stored rows.
     """
     totals: dict[str, dict[str, int]] = {}
-    for progress in query.recentProgress:
+    for progress in batches:
         values = observed(progress, OUTCOMES)
         if values is None:
             continue
@@ -72,16 +91,16 @@ def rule_outcomes(query: StreamingQuery) -> dict[str, dict[str, int]]:
     return totals
 
 
-def _details(query: StreamingQuery, dataset: str, status: str) -> str:
-    written = [observed(p, WRITTEN) for p in query.recentProgress]
+def _details(batches: list, dataset: str, status: str) -> str:
+    written = [observed(p, WRITTEN) for p in batches]
     dropped = [
         operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
+        for progress in batches
         for operator in progress["stateOperators"]
     ]
     expectations = [
         {"name": rule, "dataset": dataset, **counts}
-        for rule, counts in rule_outcomes(query).items()
+        for rule, counts in rule_outcomes(batches).items()
     ]
     quality = {"dropped_records": sum(dropped), "expectations": expectations}
     return json.dumps(
@@ -98,6 +117,7 @@ def _details(query: StreamingQuery, dataset: str, status: str) -> str:
 def log_rows(
     spark: SparkSession,
     queries: dict[str, StreamingQuery],
+    batches: dict[str, list],
     datasets: dict[str, str],
     pipeline_id: str,
     update_id: str,
@@ -115,7 +135,9 @@ def log_rows(
             "event_type": "flow_progress",
             "timestamp": at,
             "details": _details(
-                query, datasets[flow], "FAILED" if query.exception() else "COMPLETED"
+                batches.get(flow, []),
+                datasets[flow],
+                "FAILED" if query.exception() else "COMPLETED",
             ),
         }
         for flow, query in queries.items()

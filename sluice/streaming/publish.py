@@ -9,23 +9,30 @@ from pyspark.sql.types import TimestampNTZType, TimestampType
 NO_KEY = "an event without a key cannot be published"
 
 
-def utc_text(column: str) -> Column:
-    """ISO 8601 in UTC with ``Z``; the fraction is left out when it is zero.
+def utc_text(events: DataFrame, column: str) -> Column:
+    """ISO 8601 in UTC with ``Z``, whatever the session's zone; a zero fraction is left out.
 
     Timestamps without a zone are read as UTC.
     """
-    value = F.col(column)
-    whole = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")
-    fraction = F.date_format(value, "SSSSSS")
+    kind = dict(events.dtypes)[column]
+    value = f"`{column}`"
+    if kind == "timestamp":
+        seconds = f"CAST(CAST(unix_micros({value}) AS DECIMAL(20, 0)) / 1000000 AS DECIMAL(18, 6))"
+        value = f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds})"
+    text = F.expr(f"CAST({value} AS STRING)")
+    whole = F.replace(F.substring(text, 1, 19), F.lit(" "), F.lit("T"))
+    fraction = F.rpad(F.substring(text, 21, 6), 6, "0")
     return F.concat(
-        whole, F.when(fraction == "000000", "").otherwise(F.concat(F.lit("."), fraction)), F.lit("Z")
+        whole,
+        F.when(F.length(text) > 19, F.concat(F.lit("."), fraction)).otherwise(""),
+        F.lit("Z"),
     )
 
 
 def to_records(events: DataFrame, key: str = "patient_id") -> DataFrame:
     """(key, value) text pairs; NULL fields stay in the JSON, a NULL key fails."""
     texts = [
-        utc_text(f.name).alias(f.name)
+        utc_text(events, f.name).alias(f.name)
         if isinstance(f.dataType, TimestampType | TimestampNTZType)
         else F.col(f.name)
         for f in events.schema.fields

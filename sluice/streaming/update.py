@@ -26,7 +26,7 @@ from sluice.streaming.events import (
     population_hourly,
     silver_rows,
 )
-from sluice.streaming.journal import OUTCOMES, WRITTEN, log_rows, timeline_row
+from sluice.streaming.journal import OUTCOMES, WRITTEN, drained, log_rows, timeline_row
 
 BRONZE = ("bronze", "vital_events_raw")
 QUARANTINE = ("quarantine", "vital_events")
@@ -116,28 +116,39 @@ class VitalStream:
         update_id = uuid.uuid4().hex
         started = datetime.now(timezone.utc)
         queries: dict[str, StreamingQuery] = {}
+        batches: dict[str, list] = {}
         state = "FAILED"
+
+        def finish(flow: str, query: StreamingQuery) -> None:
+            queries[flow] = query
+            batches[flow] = drained(query)
+            query.awaitTermination()
+
         try:
-            queries["bronze"] = self.start_bronze(records, as_of)
-            queries["bronze"].awaitTermination()
-            queries["quarantine"] = self.start_quarantine()
-            queries["quarantine"].awaitTermination()
-            queries["silver"] = self.start_silver()
-            queries["silver"].awaitTermination()
+            finish("bronze", self.start_bronze(records, as_of))
+            finish("quarantine", self.start_quarantine())
+            finish("silver", self.start_silver())
             self.refresh_gold()
             state = "COMPLETED"
         finally:
-            self._journal(queries, update_id, started, state)
+            self._journal(queries, batches, update_id, started, state)
         return update_id
 
     def _journal(
-        self, queries: dict[str, StreamingQuery], update_id: str, started: datetime, state: str
+        self,
+        queries: dict[str, StreamingQuery],
+        batches: dict[str, list],
+        update_id: str,
+        started: datetime,
+        state: str,
     ) -> None:
         spark, finished = self.lake.spark, datetime.now(timezone.utc)
         tables = {"bronze": BRONZE, "quarantine": QUARANTINE, "silver": SILVER}
         names = {flow: ".".join(table) for flow, table in tables.items()}
         if queries:
-            entries = log_rows(spark, queries, names, self.pipeline_id, update_id, finished)
+            entries = log_rows(
+                spark, queries, batches, names, self.pipeline_id, update_id, finished
+            )
             self.lake.append(entries, *EVENT_LOG)
         slice_row = timeline_row(spark, self.pipeline_id, update_id, started, finished, state)
         self.lake.append(slice_row, *TIMELINE)

@@ -229,7 +229,7 @@ def test_progress_counts_rules(spark, stream):
     stream.start_bronze(read_replay(spark, folder)).awaitTermination()
     query = stream.start_quarantine()
     query.awaitTermination()
-    totals = rule_outcomes(query)
+    totals = rule_outcomes(query.recentProgress)
     assert totals["heart_rate_in_range"] == {"passed_records": 1, "failed_records": 1}
     assert totals["source_present"] == {"passed_records": 2, "failed_records": 0}
 
