@@ -1,11 +1,11 @@
 """SentencePiece encoding and decoding by a relational lattice.
 
-The distinct words of all texts (see ``pieces``) are a table. Every word is exploded into its
-substrings of bounded length, which an equi-join with the piece table turns into the edges of the
+The distinct words of all texts are a table; a word is a part of a text that no piece crosses (see
+``pieces.Cutter``). Every word is exploded into its substrings of bounded length, which an equi-join with the piece table turns into the edges of the
 word's lattice; a character without a piece gets an edge of its own. Edges are grouped by word and
 folded with the higher-order function ``aggregate``: a Viterbi search from left to right that carries
-the best scores of the last few positions and each position's best last piece, and then a walk back.
-Ties go to the piece that starts earliest, as in the tokenizer. Grouping needs no further shuffle,
+the best score and path of every position. Words of more than ``_BLOCK`` characters carry only the
+scores of the last few positions and each position's best last piece, and walk back. Ties go to the piece that starts earliest, as in the tokenizer. Grouping needs no further shuffle,
 because the words are already partitioned by word.
 
 Texts are put together from the encoded words. The ``FREQUENT`` most frequent words, a bounded
@@ -19,18 +19,17 @@ alike. Words of any length are handled, in time a little above proportional.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import counted, mapped, staged
-from sluice.llm.pieces import MODEL, SPACE, Pieces, load_pieces, words_of
+from sluice.llm.pieces import MODEL, SPACE, Cutter, Pieces, load_pieces
 
 FREQUENT = 200_000
-#: Back pointers are collected in blocks of this size, so a long word is not copied at each step.
+#: Back pointers are collected in blocks of this size, so a long word is not copied at each step; up
+#: to this length whole paths are carried instead.
 _BLOCK = 256
 
 
@@ -48,6 +47,42 @@ def _appended(cur: Column, done: Column, item: Column) -> tuple[Column, Column]:
     )
 
 
+def _best_path(edges: Column) -> Column:
+    """The ids on the best path of a short word."""
+    path = "struct<best:double,ids:array<int>>"
+    start = F.struct(
+        F.lit(0).alias("end"),
+        F.lit(0.0).cast("double").alias("best"),
+        F.array().cast("array<int>").alias("ids"),
+        F.array().cast(f"array<{path}>").alias("closed"),
+    )
+
+    def step(state: Column, edge: Column) -> Column:
+        # Positions before the current one are closed; an edge starts at one of them or here.
+        before = F.get(state["closed"], edge["start"])
+        score = before["best"] + edge["score"]
+        one_more = F.array(edge["id"])
+        # A later edge of the same position: better only if strictly higher.
+        better = F.struct(
+            state["end"].alias("end"),
+            score.alias("best"),
+            F.concat(before["ids"], one_more).alias("ids"),
+            state["closed"].alias("closed"),
+        )
+        here = edge["start"] == state["end"]
+        reached = F.struct(state["best"].alias("best"), state["ids"].alias("ids"))
+        opened = F.struct(
+            edge["end"].alias("end"),
+            (F.when(here, state["best"]).otherwise(before["best"]) + edge["score"]).alias("best"),
+            F.concat(F.when(here, state["ids"]).otherwise(before["ids"]), one_more).alias("ids"),
+            F.concat(state["closed"], F.array(reached)).alias("closed"),
+        )
+        same = F.when(score > state["best"], better).otherwise(state)
+        return F.when(edge["end"] == state["end"], same).otherwise(opened)
+
+    return F.aggregate(edges, start, step, lambda s: s["ids"])
+
+
 def _best_pieces(edges: Column, window: int) -> Column:
     """For every position the length and id of the last piece of its best path."""
     pointer = "struct<len:int,id:int>"
@@ -159,8 +194,17 @@ def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
             F.coalesce("id", -F.ascii("piece") - 1).alias("id"),
         ).alias("edge"),
     )
-    lattice = edges.groupBy(*named).agg(F.array_sort(F.collect_list("edge")).alias("edges"))
-    found = lattice.select(*named, _walked_back(_best_pieces(F.col("edges"), window)).alias("ids"))
+    # Sorting by a hash first is cheaper than by text; the rows stay where they are.
+    lattice = (
+        edges.groupBy(F.xxhash64("word").alias("_hash"), *named)
+        .agg(F.array_sort(F.collect_list("edge")).alias("edges"))
+        .select(*named, "edges")
+    )
+    short = F.length("word") <= _BLOCK
+    walked = _walked_back(_best_pieces(F.col("edges"), window))
+    found = lattice.select(
+        *named, F.when(short, _best_path(F.col("edges"))).otherwise(walked).alias("ids")
+    )
     first = pieces.byte_ids[0]
     if pieces.byte_ids != tuple(range(first, first + 256)):
         raise ValueError("byte pieces are not in order")
@@ -177,11 +221,6 @@ def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     )
 
 
-def _count_words(seen: Counter, batch: pa.RecordBatch) -> None:
-    for text in batch["text"].to_pylist():
-        seen.update(words_of(text))
-
-
 def decode_ids(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """``encoded`` with ``decoded``: the text of its column ``ids``, null for null."""
     # As large as the vocabulary file.
@@ -207,8 +246,15 @@ def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT)
     """``docs`` with ``ids array<int>`` and ``round_trip``: whether they decode to the text."""
     spark = docs.sparkSession
     pieces = load_pieces(model)
+    # As large as the vocabulary file, like the pieces' bytes below.
+    cutter = spark.sparkContext.broadcast(Cutter(pieces))
+
+    def count_words(seen, batch: pa.RecordBatch) -> None:
+        for text in batch["text"].to_pylist():
+            seen.update(cutter.value.parts(text))
+
     counts = (
-        counted(docs.select("text"), _count_words, "word string, n bigint")
+        counted(docs.select("text"), count_words, "word string, n bigint")
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
     )
@@ -221,7 +267,7 @@ def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT)
     def missing(batch: pa.RecordBatch):
         keys, words = [], []
         for key, text in zip(batch["_key"].to_pylist(), batch["text"].to_pylist()):
-            rare = {w for w in words_of(text) if w not in known.value}
+            rare = {w for w in cutter.value.parts(text) if w not in known.value}
             keys.extend([key] * len(rare))
             words.extend(rare)
         yield {"_key": keys, "word": words}
@@ -242,7 +288,7 @@ def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT)
         for text, listed in zip(batch["text"].to_pylist(), batch["_rare"].to_pylist()):
             own = {r["word"]: np.array(r["ids"], dtype=np.int32).tobytes() for r in listed or ()}
             table = known.value
-            parts = [table.get(w) or own[w] for w in words_of(text)]
+            parts = [table.get(w) or own[w] for w in cutter.value.parts(text)]
             ids = np.frombuffer(b"".join(parts), dtype=np.int32)
             out.append(None if text is None else ids)
             fine.append(

@@ -7,7 +7,8 @@ piece and becomes its UTF-8 bytes.
 
 A text is prefixed by a space, and spaces become U+2581. No piece contains U+2581 behind another
 character and none contains a line feed, so the best segmentation of a text is that of its words: a
-run of U+2581 with what follows up to the next one, or a line feed.
+run of U+2581 with what follows up to the next one, or a line feed. By the same reasoning ``Cutter``
+cuts words further, wherever no piece holds two neighbouring characters side by side.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import numpy as np
+
 #: Where the vocabulary lies unless the caller names another file.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -68,3 +71,31 @@ def load_pieces(model: str = MODEL) -> Pieces:
 def words_of(text: str | None) -> list[str]:
     """The words of a text; null and empty texts have none."""
     return _WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
+
+
+class Cutter:
+    """Cuts texts into the parts that the best segmentation treats one by one.
+
+    A part ends wherever no piece has the two neighbouring characters in this order, so no piece
+    crosses a cut and the parts' segmentations together are the text's.
+    """
+
+    def __init__(self, pieces: Pieces):
+        pairs = {p[i : i + 2] for p in pieces.scores for i in range(len(p) - 1)}
+        numbers = {c: i for i, c in enumerate(sorted(set("".join(pairs))), 1)}
+        # Number 0 stands for characters that are only pieces of their own, or none.
+        self._number = np.zeros(0x110000, dtype=np.uint16)
+        for character, number in numbers.items():
+            self._number[ord(character)] = number
+        self._together = np.zeros((len(numbers) + 1, len(numbers) + 1), dtype=bool)
+        for first, second in pairs:
+            self._together[numbers[first], numbers[second]] = True
+
+    def parts(self, text: str | None) -> list[str]:
+        """The parts of a text in order; null and empty texts have none."""
+        if not text:
+            return []
+        text = SPACE + text.replace(" ", SPACE)
+        numbers = self._number[np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)]
+        cuts = (np.flatnonzero(~self._together[numbers[:-1], numbers[1:]]) + 1).tolist()
+        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]

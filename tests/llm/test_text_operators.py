@@ -19,7 +19,7 @@ from sluice.llm.common import components, word_hashes
 from sluice.llm.contamination import MASKS, MISSES, WINDOW
 from sluice.llm.language import grams, identify, ranked
 from sluice.llm.licenses import license_scan
-from sluice.llm.pieces import load_pieces, words_of
+from sluice.llm.pieces import SPACE, Cutter, load_pieces, words_of
 from sluice.llm.registry import ORACLE, QUERIES
 from sluice.llm.token_counts import with_token_counts
 
@@ -261,7 +261,7 @@ def test_licenses(docs, empty):
     assert license_scan(empty).count() == 0
 
 
-def test_tokens_match_the_tokenizer(docs, empty):
+def test_tokens_match_the_tokenizer(docs, empty, monkeypatch):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2 as proto
 
@@ -275,7 +275,9 @@ def test_tokens_match_the_tokenizer(docs, empty):
             piece.score = pieces.scores[piece.piece]
     tokenizer = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
     counts = sorted(((r.doc_id, r.text, r.n_tokens) for r in with_token_counts(docs).collect()), key=repr)
-    for frequent in (1000, 3):
+    for frequent, block in ((1000, 256), (3, 4)):
+        # A small block makes almost every word a long one.
+        monkeypatch.setattr(encoding, "_BLOCK", block)
         encoded = encoding.encode_texts(docs, frequent=frequent)
         got = encoding.decode_ids(encoded).collect()
         for r in got:
@@ -291,6 +293,23 @@ def test_tokens_match_the_tokenizer(docs, empty):
     assert words_of(None) == words_of("") == []
 
 
+def test_no_piece_crosses_a_cut():
+    pieces = load_pieces()
+    cutter, longest = Cutter(pieces), pieces.longest
+    assert cutter.parts(None) == cutter.parts("") == []
+    for text in (r[1] for r in rows() if r[1]):
+        spaced = SPACE + text.replace(" ", SPACE)
+        parts = cutter.parts(text)
+        assert "".join(parts) == spaced and all(parts)
+        for start in itertools.accumulate(map(len, parts[:-1])):
+            around = range(max(0, start - longest), start)
+            assert not any(
+                spaced[a:b] in pieces.scores
+                for a in around
+                for b in range(start + 1, min(len(spaced), a + longest) + 1)
+            )
+
+
 def test_scores(docs, empty, monkeypatch):
     texts = [(d, [*words((t or "").lower()), ""]) for d, t, *_ in rows()]
 
