@@ -10,7 +10,8 @@ because the words are already partitioned by word.
 
 Texts are put together from the encoded words. The ``FREQUENT`` most frequent words, a bounded
 number, are broadcast; for the rest each text's rare words are joined with the encoded words and come
-back to it. All words are encoded by the lattice.
+back to it. A rare word is at most every ``FREQUENT``-th of all words, so the join has no hot key.
+Texts travel to their rare words compressed. All words are encoded by the lattice.
 
 Null and empty texts have no ids. A literal U+2581 decodes to a space, as in the tokenizer. Other
 columns pass through; those with a name of an added column are replaced. Repeated rows are encoded
@@ -19,15 +20,20 @@ alike. Words of any length are handled, in time a little above proportional.
 
 from __future__ import annotations
 
+from math import ceil
+
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import counted, mapped, staged
+from sluice.llm.common import counted, mapped, staged, text_bytes
 from sluice.llm.pieces import MODEL, SPACE, Cutter, Pieces, load_pieces
 
 FREQUENT = 200_000
+#: Characters of distinct words that one task encodes; their edges are sorted in its memory.
+TASK_CHARACTERS = 300_000
 #: Back pointers are collected in blocks of this size, so a long word is not copied at each step; up
 #: to this length whole paths are carried instead.
 _BLOCK = 256
@@ -239,7 +245,7 @@ def decode_ids(encoded: DataFrame, model: str = MODEL) -> DataFrame:
 
 
 def _decoded(ids: list[int], spelled: dict[int, bytes]) -> str:
-    return b"".join(spelled[i] for i in ids).decode("utf-8", "replace")[1:]
+    return b"".join(map(spelled.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
 def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT) -> DataFrame:
@@ -258,43 +264,62 @@ def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT)
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
     )
-    encoded = staged(encode_words(counts, pieces), "encoded-words")
+    counts = staged(counts, "distinct-words")
+    characters = counts.agg(F.sum(F.length("word"))).first()[0] or 0
+    tasks = max(1, ceil(characters / TASK_CHARACTERS))
+    encoded = staged(encode_words(counts.repartition(tasks, "word"), pieces), "encoded-words")
     # The bound is the number of words; the order is total, so a rerun takes the same ones.
     top = encoded.orderBy(F.desc("n"), "word").limit(frequent).select("word", "ids").toArrow()
     known = spark.sparkContext.broadcast(_packed(top))
     texts = docs.select("text", F.xxhash64("text").alias("_key")).where("text IS NOT NULL")
 
     def missing(batch: pa.RecordBatch):
-        keys, words = [], []
+        keys, words, frequent = [], [], known.value
         for key, text in zip(batch["_key"].to_pylist(), batch["text"].to_pylist()):
-            rare = {w for w in cutter.value.parts(text) if w not in known.value}
+            rare = [w for w in set(cutter.value.parts(text)) if w not in frequent]
             keys.extend([key] * len(rare))
             words.extend(rare)
         yield {"_key": keys, "word": words}
 
-    rare = mapped(texts, missing, "_key bigint, word string").distinct()
+    # Copies of a text ask for the same words; they are united where the word is, before they travel.
     replies = (
-        rare.join(encoded.select("word", "ids"), "word")
+        mapped(texts, missing, "_key bigint, word string")
+        .join(encoded.select("word", "ids"), "word")
         .groupBy("_key")
-        .agg(F.collect_list(F.struct("word", "ids")).alias("_rare"))
+        .agg(F.collect_set(F.struct("word", "ids")).alias("_rare"))
     )
     kept = docs.drop("ids", "round_trip")
-    names = kept.columns
-    joined = kept.withColumn("_key", F.xxhash64("text")).join(replies, "_key", "left").drop("_key")
+    names = [n for n in kept.columns if n != "text"]
+
+    def packed(batch: pa.RecordBatch):
+        press = zstandard.ZstdCompressor(level=1)
+        small = [None if t is None else press.compress(t) for t in text_bytes(batch["text"])]
+        yield {**{n: batch[n] for n in names}, "_key": batch["_key"], "_packed": small}
+
+    plain = ", ".join(f"`{n}` {t}" for n, t in kept.dtypes if n != "text")
+    travelling = mapped(
+        kept.withColumn("_key", F.xxhash64("text")),
+        packed,
+        f"{plain}{', ' if plain else ''}_key bigint, _packed binary",
+    )
+    joined = travelling.join(replies, "_key", "left").drop("_key")
     spelled = spark.sparkContext.broadcast(pieces.bytes_of())
 
     def assembled(batch: pa.RecordBatch):
-        out, fine = [], []
-        for text, listed in zip(batch["text"].to_pylist(), batch["_rare"].to_pylist()):
+        unpack = zstandard.ZstdDecompressor()
+        texts, out, fine = [], [], []
+        for small, listed in zip(batch["_packed"].to_pylist(), batch["_rare"].to_pylist()):
+            text = None if small is None else unpack.decompress(small).decode("utf-8")
             own = {r["word"]: np.array(r["ids"], dtype=np.int32).tobytes() for r in listed or ()}
             table = known.value
             parts = [table.get(w) or own[w] for w in cutter.value.parts(text)]
             ids = np.frombuffer(b"".join(parts), dtype=np.int32)
+            texts.append(text)
             out.append(None if text is None else ids)
             fine.append(
                 not text or _decoded(ids.tolist(), spelled.value) == text.replace(SPACE, " ")
             )
-        yield {**{n: batch[n] for n in names}, "ids": out, "round_trip": fine}
+        yield {**{n: batch[n] for n in names}, "text": texts, "ids": out, "round_trip": fine}
 
     types = ", ".join([*(f"`{n}` {t}" for n, t in kept.dtypes), "ids array<int>, round_trip boolean"])
     return mapped(joined, assembled, types)
