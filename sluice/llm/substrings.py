@@ -9,10 +9,11 @@ broadcast. It is sharded by content instead: a window's minimiser, the smallest
 runs of length ``GRAM`` inside it, is the same in every copy of the window. Neighbouring windows
 with one minimiser form a passage, and all passages with one minimiser form a reference shard;
 equal windows always meet in the same shard. Shards with one document end there. Equal passages
-are collapsed onto the smallest id that has them. For what is left, a task builds a suffix automaton
-of each shard, in the order of the ids: every passage is streamed through the automaton of the
-smaller ids for its matching statistics, the length of the longest earlier match ending at each
-word, and matches of at least ``width`` words mark its windows. Words are compared as they are.
+are collapsed onto the smallest id that has them: under larger ids they go whole. For what is left,
+a task builds a suffix automaton of each shard, in the order of the ids: one text of every passage
+is streamed through the automaton of the smaller ids for its matching statistics, the length of the
+longest earlier match ending at each word, and matches of at least ``width`` words mark its windows.
+The marks hold at every place where the smallest id has the passage. Words are compared as they are.
 
 A shard with more than ``SHARD_PASSAGES`` different passages (a text that stands in very many
 different surroundings) would not fit one task. Its windows are grouped by a 128-bit digest instead,
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import (
@@ -154,10 +155,9 @@ def _passage_words(width: int):
     """The words of the passages listed for a document, joined by a space."""
 
     def rows(batch: pa.RecordBatch):
-        out = {n: [] for n in ("shard", "large", "doc_id", "key", "start", "words")}
-        for doc, key, listed, text in zip(
+        out = {n: [] for n in ("shard", "large", "content", "doc_id", "words")}
+        for doc, listed, text in zip(
             batch["doc_id"].to_pylist(),
-            batch["key"].to_pylist(),
             batch["listed"].to_pylist(),
             text_bytes(batch["text"]),
         ):
@@ -166,9 +166,8 @@ def _passage_words(width: int):
                 start, end = item["start"], item["start"] + item["windows"] + width - 1
                 out["shard"].append(item["shard"])
                 out["large"].append(item["large"])
+                out["content"].append(item["content"])
                 out["doc_id"].append(doc)
-                out["key"].append(key)
-                out["start"].append(start)
                 out["words"].append(b" ".join(words[start:end]))
         yield out
 
@@ -183,14 +182,14 @@ def _runs(marked: list[int]) -> Iterator[tuple[int, int]]:
 
 
 def _matched(width: int):
-    """Repeated windows of whole shards, sorted by shard and document."""
+    """Repeated windows of the passages of whole shards, sorted by shard and document."""
 
     def run(batches):
         shard, doc, automaton, waiting = None, None, None, []
         for batch in batches:
-            out = {"doc_id": [], "key": [], "start": [], "windows": []}
-            columns = [batch[n].to_pylist() for n in ("shard", "doc_id", "key", "start", "words")]
-            for new_shard, new_doc, key, start, text in zip(*columns):
+            out = {"content": [], "doc_id": [], "offset": [], "windows": []}
+            columns = [batch[n].to_pylist() for n in ("shard", "content", "doc_id", "words")]
+            for new_shard, content, new_doc, text in zip(*columns):
                 if new_shard != shard:
                     shard, doc, automaton, waiting = new_shard, new_doc, Automaton(), []
                 elif new_doc != doc:
@@ -203,13 +202,13 @@ def _matched(width: int):
                 waiting.append(words)
                 if ends:
                     for first, count in _runs(ends):
+                        out["content"].append(content)
                         out["doc_id"].append(doc)
-                        out["key"].append(key)
-                        out["start"].append(start + first - width + 1)
+                        out["offset"].append(first - width + 1)
                         out["windows"].append(count)
             yield pa.RecordBatch.from_pydict(
-                out, schema=pa.schema([("doc_id", pa.int64()), ("key", pa.int64()),
-                                       ("start", pa.int32()), ("windows", pa.int32())])
+                out, schema=pa.schema([("content", pa.int64()), ("doc_id", pa.int64()),
+                                       ("offset", pa.int32()), ("windows", pa.int32())])
             )
 
     return run
@@ -217,16 +216,16 @@ def _matched(width: int):
 
 def _digests(width: int):
     def rows(batch: pa.RecordBatch):
-        out = {"digest": [], "doc_id": [], "key": [], "start": []}
-        columns = [batch[n].to_pylist() for n in ("doc_id", "key", "start", "words")]
-        for doc, key, start, text in zip(*columns):
+        out = {"digest": [], "content": [], "doc_id": [], "offset": []}
+        columns = [batch[n].to_pylist() for n in ("content", "doc_id", "words")]
+        for content, doc, text in zip(*columns):
             words = text.split(b" ")
             for place in range(len(words) - width + 1):
                 window = b" ".join(words[place : place + width])
                 out["digest"].append(hashlib.blake2b(window, digest_size=16).digest())
+                out["content"].append(content)
                 out["doc_id"].append(doc)
-                out["key"].append(key)
-                out["start"].append(start + place)
+                out["offset"].append(place)
         yield out
 
     return rows
@@ -268,43 +267,67 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     )
     whole = candidates.join(copied, "content").where("first < doc_id")
     # Passages that may share windows with different passages of their shard.
-    different = contents.where("NOT alike").select("shard", "first.*", "windows")
+    different = contents.where("NOT alike").select("shard", "content", "first.*", "windows")
     sizes = different.groupBy("shard").agg((F.count("*") > SHARD_PASSAGES).alias("large"))
     listed = (
         different.join(sizes, "shard")
         .groupBy("doc_id", "key")
-        .agg(F.collect_list(F.struct("shard", "large", "start", "windows")).alias("listed"))
+        .agg(F.collect_list(F.struct("shard", "large", "content", "start", "windows")).alias("listed"))
     )
     fetched = staged(
         mapped(
             # Rows that repeat an id and a text would only repeat the same passages.
             texts.join(listed, ["doc_id", "key"]),
             _passage_words(width),
-            "shard bigint, large boolean, doc_id bigint, key bigint, start int, words binary",
+            "shard bigint, large boolean, content bigint, doc_id bigint, words binary",
         ),
         "passage-words",
     )
     matched = (
         fetched.where("NOT large")
         .repartition("shard")
-        .sortWithinPartitions("shard", "doc_id", "key", "start")
-        .mapInArrow(_matched(width), place)
+        .sortWithinPartitions("shard", "doc_id")
+        .mapInArrow(_matched(width), "content bigint, doc_id bigint, offset int, windows int")
     )
     digests = mapped(
         fetched.where("large"),
         _digests(width),
-        "digest binary, doc_id bigint, key bigint, start int",
+        "digest binary, content bigint, doc_id bigint, offset int",
     )
     earliest = digests.groupBy("digest").agg(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
     )
-    windows = digests.join(earliest.where("low < high"), "digest").where("low < doc_id")
-    columns = ["doc_id", "key", "start", "windows"]
-    return (
-        whole.select(*columns)
-        .union(matched.select(*columns))
-        .union(windows.withColumn("windows", F.lit(1)).select(*columns))
+    windows = (
+        digests.join(earliest.where("low < high"), "digest")
+        .where("low < doc_id")
+        .select("content", "doc_id", "offset")
+        .distinct()
+    )
+    # At most LONGEST rows of one passage; neighbours have one number and become one mark.
+    number = F.col("offset") - F.row_number().over(
+        Window.partitionBy("content", "doc_id").orderBy("offset")
+    )
+    runs = (
+        windows.withColumn("run", number)
+        .groupBy("content", "doc_id", "run")
+        .agg(F.min("offset").alias("offset"), F.count("*").cast("int").alias("windows"))
     )
+    offsets = ["content", "doc_id", "offset", "windows"]
+    marks = (
+        matched.select(*offsets)
+        .union(runs.select(*offsets))
+        .groupBy("content", "doc_id")
+        .agg(F.collect_set(F.struct("offset", "windows")).alias("marks"))
+    )
+    # A document can have a passage several times, as can rows that share an id.
+    repeated = (
+        candidates.select("content", "doc_id", "key", "start")
+        .join(marks, ["content", "doc_id"])
+        .select("doc_id", "key", "start", F.inline("marks"))
+        .withColumn("start", F.col("start") + F.col("offset"))
+    )
+    columns = ["doc_id", "key", "start", "windows"]
+    return whole.select(*columns).union(repeated.select(*columns))
 
 
 def _cut(text: bytes, spans: list[dict], width: int) -> tuple[bytes, list[bytes], int]:

@@ -173,6 +173,42 @@ def test_repeated_passages(docs, empty, most, monkeypatch):
     assert substrings.without_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("most", [500, 1])
+def test_passages_repeated_inside_a_document(spark, most, monkeypatch):
+    monkeypatch.setattr(substrings, "SHARD_PASSAGES", most)
+    passage = prose(11, 90).split()
+    twice = [*prose(12, 20).split(), *passage, *prose(13, 30).split(), *passage, *prose(14, 9).split()]
+    texts = [
+        (1, ["a"] * 60),
+        (2, ["a"] * 2000),
+        (3, ["b", "c"] * 40),
+        (4, ["b", "c"] * 900),
+        (5, [*prose(15, 8).split(), *passage[10:75], *prose(16, 8).split()]),
+        (6, twice),
+        # Another row of the id, with the passage in it.
+        (6, [*prose(17, 12).split(), *passage]),
+        (7, twice[5:]),
+    ]
+    seen, expected = {}, []
+    for doc, parts in texts:
+        for i in range(len(parts) - 49):
+            seen.setdefault(tuple(parts[i : i + 50]), doc)
+    for doc, parts in texts:
+        gone = {
+            i + n
+            for i in range(len(parts) - 49)
+            if seen[tuple(parts[i : i + 50])] < doc
+            for n in range(50)
+        }
+        kept = " ".join(w for i, w in enumerate(parts) if i not in gone)
+        expected.append((doc, len(parts), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    frame = spark.createDataFrame(
+        [(doc, " ".join(parts)) for doc, parts in texts], "doc_id bigint, text string"
+    )
+    found = substrings.without_repeats(frame).drop("text").collect()
+    assert sorted(tuple(r) for r in found) == sorted(expected)
+
+
 def test_vectors(spark, monkeypatch):
     pick = np.random.default_rng(3)
     data = []
