@@ -1,9 +1,11 @@
 """Scan of texts for license notices: fixed phrases, and an exact set-similarity join.
 
 Words are runs of letters, digits and non-ASCII characters after lower-casing A-Z. A phrase counts
-wherever its words stand one after the other. Beyond the phrases, every text block (a line) is
-compared with every template as a set of words: a template's label is given where the block contains
-at least ``CONTAINMENT`` of the template's distinct words.
+wherever its words stand one after the other. Beyond the phrases, every text block is compared with
+every template as a set of words: a template's label is given where the block contains at least
+``CONTAINMENT`` of the template's distinct words. Blocks are the lines and, as notices are usually
+wrapped, the runs of words over line ends that are ``SLACK`` times as long as the template. Every
+run that begins with a template word is taken; others hold no more template words than one of these.
 
 The join is exact. Template words are ordered by the number of blocks that contain them, rarest
 first. To hold ``need`` of a template's words, a block must hold one of its first
@@ -48,6 +50,7 @@ TEMPLATES = (
         "you may not use this file except in compliance with the license you may obtain a copy "
         "of the license at apache org",
     ),
+    ("gpl", "licensed under the gnu general public license version"),
     ("cc-by-nc", "licensed under a creative commons attribution noncommercial license"),
     ("cc-by-nc", "content licensed under cc by nc"),
     (
@@ -62,6 +65,8 @@ TEMPLATES = (
     ),
 )
 CONTAINMENT = 0.9
+#: Words of a run for each word of the template: room for comment marks and changed words.
+SLACK = 1.25
 
 _KEEP = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(0x80, 0x100))
 _TABLE = bytes(
@@ -95,22 +100,44 @@ def word_order(texts: DataFrame, templates) -> list[str]:
 
 
 def _index(templates, order: list[str], containment: float) -> list[tuple]:
-    """(word, template, label, position, size, need, words) of every prefix word."""
+    """(word, template, label, position, size, need, words, run) of every prefix word."""
     rank = {word: place for place, word in enumerate(order)}
     rows = []
     for number, (label, text) in enumerate(templates):
         words = sorted(set(text.split()), key=rank.__getitem__)
         need = math.ceil(containment * len(words) - 1e-9)
+        run = math.ceil(SLACK * len(text.split()))
         for position, word in enumerate(words[: len(words) - need + 1]):
-            rows.append((word, number, label, position, len(words), need, words))
+            rows.append((word, number, label, position, len(words), need, words, run))
     return rows
 
 
+def _runs(words: list[bytes], vocabulary: set[bytes], width: int, least: int):
+    """Sets of at least ``least`` template words of the runs that begin with one."""
+    places = [place for place, word in enumerate(words) if word in vocabulary]
+    counts: Counter = Counter()
+    end, fresh = 0, False
+    for first, place in enumerate(places):
+        while end < len(places) and places[end] < place + width:
+            counts[words[places[end]]] += 1
+            end, fresh = end + 1, True
+        # A run without a new word is a part of the one before it.
+        if fresh and len(counts) >= least:
+            yield frozenset(counts)
+        fresh = False
+        counts[words[place]] -= 1
+        if not counts[words[place]]:
+            del counts[words[place]]
+
+
 def _scan(order: list[str], index: list[tuple]):
     """Word counts, phrase places, and the template words of blocks that hold a prefix word."""
     rank = {word.encode(): place for place, word in enumerate(order)}
     vocabulary, prefixes = set(rank), {row[0].encode() for row in index}
     shortest = min((row[5] for row in index), default=1)
+    needs: dict[int, int] = {}
+    for row in index:
+        needs[row[7]] = min(row[5], needs.get(row[7], row[5]))
     phrases = [(phrase.encode().split(), label) for phrase, label in PHRASES.items()]
 
     def places(words: list[bytes]):
@@ -131,13 +158,23 @@ def _scan(order: list[str], index: list[tuple]):
                 for line in text.split(b"\n"):
                     held = vocabulary.intersection(words_of(line))
                     if len(held) >= shortest and not prefixes.isdisjoint(held):
-                        blocks.append([w.decode() for w in sorted(held, key=rank.__getitem__)])
+                        blocks.append((0, held))
+                whole = vocabulary.intersection(words)
+                for width, least in needs.items():
+                    if len(whole) >= least and b"\n" in text:
+                        runs = set(_runs(words, vocabulary, width, least))
+                        blocks += [(width, run) for run in runs if not prefixes.isdisjoint(run)]
             out["n_words"].append(len(words))
             out["n_base"].append(len(found))
             out["first_word"].append(min((f[0] for f in found), default=None))
             out["last_word"].append(max((f[0] for f in found), default=None))
             out["base"].append(sorted({f[1] for f in found}))
-            out["blocks"].append(blocks)
+            out["blocks"].append(
+                [
+                    {"run": run, "words": [w.decode() for w in sorted(held, key=rank.__getitem__)]}
+                    for run, held in blocks
+                ]
+            )
         yield {"doc_id": batch["doc_id"], "key": batch["key"], **out}
 
     return rows
@@ -155,22 +192,24 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, containment: float = CONT
             _scan(order, index),
             f"doc_id {dict(docs.dtypes)['doc_id']}, key bigint, n_words bigint, n_base bigint, "
             "first_word bigint, last_word bigint, base array<string>, "
-            "blocks array<array<string>>",
+            "blocks array<struct<run:int,words:array<string>>>",
         ),
         "licenses",
     )
     prefixes = spark.createDataFrame(
         index,
         "word string, template int, label string, at int, size int, need int, "
-        "template_words array<string>",
+        "template_words array<string>, width int",
     )
     blocks = scanned.where(F.size("blocks") > 0).select(
-        "doc_id", "key", F.posexplode("blocks").alias("block", "words")
+        "doc_id", "key", F.inline("blocks")
     ).distinct()
     joined = (
         blocks.select("*", F.posexplode("words").alias("place", "word"))
         # The index has at most one row for each word of the given templates.
         .join(F.broadcast(prefixes), "word")
+        # Lines are compared with every template, runs with templates of their length.
+        .where("run IN (0, width)")
         .where(F.size("words") >= F.col("need"))
         .where(F.col("place") <= F.size("words") - F.col("need"))
         .where(

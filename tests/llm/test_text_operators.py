@@ -297,6 +297,28 @@ def test_licenses(docs, empty):
     assert license_scan(empty).count() == 0
 
 
+def test_wrapped_license_notices(spark):
+    notices = {
+        "mit": "/* Permission is hereby granted, free of charge, to any person obtaining\n"
+        " * a copy of this software and associated documentation files (the\n"
+        ' * "Software"), to deal in the Software without restriction */',
+        "gpl": "# This program is free software: you can redistribute it and/or modify\n"
+        "# it under the terms of the GNU General Public License as published by",
+        "bsd": "Redistribution and use in source and binary forms, with or without\n"
+        "modification, are permitted provided that the following conditions\nare met:",
+        "apache-2": "you may not use this file except in compliance with the License.\n"
+        "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/",
+    }
+    texts = [(label, f"{prose(1, 90)}\n{notice}\n{prose(2, 90)}") for label, notice in notices.items()]
+    texts.append(("gpl", "This work is licensed under the GNU General Public License, version 3."))
+    # The words of a template that stand far apart are no notice.
+    scattered = "released under the mit license".replace(" ", "\n" + prose(3, 20) + "\n")
+    texts.append(("", scattered))
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id bigint, text string")
+    found = {r.doc_id: r.labels for r in license_scan(frame).collect()}
+    assert found == {i: label for i, (label, _) in enumerate(texts)}
+
+
 def test_tokens_match_the_tokenizer(docs, empty, monkeypatch):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2 as proto
