@@ -7,11 +7,13 @@ a state, its continuations are weighted arcs, and a failure arc with the backoff
 state of its longest shorter suffix. A text is scored in one traversal from left to right that
 carries the state and adds up log10 weights.
 
-Word counts cover all training texts and all words. N-grams are kept if they make up at least
-``SHARE`` of all training tokens (and occur twice), words in them likewise, so by counting alone an
-order has at most ``1 / SHARE`` of them: that bounds the automaton that is broadcast, at any size of
-the corpus. Words below that share have no arcs of their own; their unigram weights, which the
-backoff reaches, are joined from the full table of counts.
+Word counts cover all training texts and all words. N-grams are kept from ``LEAST`` occurrences, at
+every size of the corpus, so no model of a bounded size could be broadcast. It is a set of tables
+instead. The weight of a traversal is a sum over the n-grams of the text: a word adds its unigram
+weight and its backoff; a longer kept n-gram adds what its arc weighs more than the arc of the next
+shorter one and the backoff that it spares, and its own backoff. So each n-gram has one value, and
+every chunk of texts is joined with the values of its different n-grams. ``Automaton`` is the same
+model in one process. N-grams are named by 64-bit hashes.
 
 Null and empty texts consist of the end token. Null ids belong to the training texts. Repeated rows
 are learned from and scored one by one. Without training tokens every probability is one. Other
@@ -21,33 +23,32 @@ columns are left out; the result has one row per input row.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import bucket, counted, flat, mapped, staged, text_bytes
+from sluice.llm.common import as_signed, bucket, flat, mapped, mixed, staged, text_bytes, word_hashes
 
 ORDER = 3
-SHARE = 1e-6
+#: Occurrences from which an n-gram is kept, whatever the size of the corpus.
+LEAST = 2
+#: Rows of one chunk.
+CHUNK = 1024
 DISCOUNT = 0.5
 #: No word is empty, so the end token can be; texts begin in the state of ``BEGIN``.
 END = b""
 _WORD_BITS = 32
+_END_HASH, _BEGIN_HASH = np.uint64(1), np.uint64(2)
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
     return [*(text or b"").lower().split(), END]
 
 
-def _count_tokens(seen: Counter, batch: pa.RecordBatch) -> None:
-    for text in text_bytes(batch["text"]):
-        seen.update(tokens_of(text))
-
-
 @dataclass
 class Grams:
     """Kept n-grams of one order: sorted keys (state of the context, word) and their counts."""
@@ -79,32 +80,6 @@ def _text_keys(ids: np.ndarray, orders: list[Grams]) -> np.ndarray:
     raise AssertionError
 
 
-def _gram_counts(texts: DataFrame, words, orders: list[Grams], least: float) -> Grams:
-    """Kept n-grams of the next order."""
-    shared = texts.sparkSession.sparkContext.broadcast(orders)
-
-    def rows(batch: pa.RecordBatch):
-        known, found = words.value, []
-        begin = len(known)
-        for text in text_bytes(batch["text"]):
-            ids = np.array([begin, *(known.get(t, -1) for t in tokens_of(text))], dtype=np.int64)
-            found.append(_text_keys(ids, shared.value))
-        keys, counts = np.unique(flat(found, np.int64), return_counts=True)
-        yield {"gram": keys, "n": counts.astype(np.int64)}
-
-    kept = (
-        mapped(texts, rows, "gram bigint, n bigint")
-        .groupBy("gram")
-        .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= max(2.0, least))
-        .orderBy("gram")
-        .toArrow()
-    )
-    return Grams(
-        kept["gram"].to_numpy().astype(np.int64), kept["n"].to_numpy().astype(np.int64)
-    )
-
-
 class Automaton:
     """States 0 (nothing known), then words and the beginning, then longer n-grams."""
 
@@ -195,83 +170,216 @@ class Automaton:
         return total
 
 
+def _joined(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """The names of n-grams from those of their first and their last words but one."""
+    return mixed(before * _FACTOR + after)
+
+
+def _named(text: bytes | None, order: int) -> list[np.ndarray]:
+    """The names of a text's n-grams by order; the first word is the beginning."""
+    words = word_hashes((text or b"").lower())
+    names = [np.concatenate([[_BEGIN_HASH], words, [_END_HASH]])]
+    for _ in range(order - 1):
+        names.append(_joined(names[-1][:-1], names[-1][1:]))
+    return names
+
+
+def _gram_rows(order: int):
+    """The different n-grams of each chunk and their occurrences in training texts."""
+
+    def rows(chunk: int, texts: pa.Array, held: np.ndarray):
+        by_text = [_named(text, order) for text in text_bytes(texts)]
+        for level in range(order):
+            parts = [names[level] for names in by_text]
+            names = flat(parts, np.uint64)
+            counts = np.repeat(~held, [len(part) for part in parts])
+            found, first, place = np.unique(names, return_index=True, return_inverse=True)
+            if level:
+                lower = [n[level - 1] for n in by_text if len(n[level])]
+                before = flat([n[:-1] for n in lower], np.uint64)[first]
+                after = flat([n[1:] for n in lower], np.uint64)[first]
+            else:
+                before, after = np.zeros(len(found), dtype=np.uint64), found
+            yield {
+                "chunk": np.full(len(found), chunk),
+                "level": np.full(len(found), level + 1, dtype=np.int32),
+                "before": as_signed(before),
+                "after": as_signed(after),
+                "n": np.bincount(place, weights=counts, minlength=len(found)).astype(np.int32),
+            }
+
+    schema = pa.schema(
+        [("chunk", pa.int64()), ("level", pa.int32()), ("before", pa.int64()),
+         ("after", pa.int64()), ("n", pa.int32())]
+    )
+
+    def run(batches):
+        for batch in batches:
+            chunks = batch["chunk"].to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(chunks)]
+            for start, end in zip(edges[:-1], edges[1:]):
+                part = batch.slice(start, end - start)
+                if end > start:
+                    held = part["held_out"].to_numpy(zero_copy_only=False).astype(bool)
+                    for columns in rows(int(chunks[start]), part["text"], held):
+                        yield pa.RecordBatch.from_pydict(columns, schema=schema)
+
+    return run
+
+
+def _gram_names(batch: pa.RecordBatch):
+    before, after = (batch[n].to_numpy().view(np.uint64) for n in ("before", "after"))
+    words = batch["level"].to_numpy() == 1
+    names = as_signed(np.where(words, after, _joined(before, after)))
+    yield {**{n: batch[n] for n in batch.schema.names}, "gram": names}
+
+
+def _gram_values(grams: DataFrame, order: int, mass: int) -> DataFrame:
+    """(gram, word, value) of every kept n-gram; ``word`` is the unigram weight of a word."""
+    begin = F.lit(int(_BEGIN_HASH))
+    known = grams.where("level = 1").select(
+        "gram", "c", ((F.col("c") + 1) / F.lit(float(mass))).alias("p")
+    )
+    arcs = None
+    for level in range(2, order + 1):
+        contexts = known.select(F.col("gram").alias("before"), F.col("c").alias("context"))
+        lower = known.select(F.col("gram").alias("after"), F.col("p").alias("lower"))
+        of_level = staged(
+            grams.where(F.col("level") == level)
+            .select("gram", "before", "after", "c")
+            .join(contexts, "before")
+            .join(lower, "after")
+            .select(
+                "gram", "before", "c", "lower", ((F.col("c") - DISCOUNT) / F.col("context")).alias("p")
+            ),
+            "arcs",
+        )
+        known = of_level.select("gram", "c", "p")
+        part = of_level.select("gram", "before", "p", "lower")
+        arcs = part if arcs is None else arcs.union(part)
+    words = grams.where("level = 1").select(
+        "gram",
+        F.when(F.col("gram") != begin, F.log10((F.col("c") + 1) / F.lit(float(mass)))).alias("word"),
+    )
+    plain = words.select("gram", "word", F.coalesce("word", F.lit(0.0)).alias("value"))
+    if arcs is None:
+        return plain
+
+    def rest(column: str):
+        return F.greatest(1 - F.sum(column), F.lit(1e-12))
+
+    backoff = staged(
+        arcs.groupBy(F.col("before").alias("gram")).agg(
+            F.log10(rest("p") / rest("lower")).alias("backoff")
+        ),
+        "backoff",
+    )
+    spared = backoff.withColumnsRenamed({"gram": "before", "backoff": "spared"})
+    own = arcs.join(spared, "before").select(
+        "gram",
+        F.lit(None).cast("double").alias("word"),
+        (F.log10("p") - F.log10("lower") - F.col("spared")).alias("value"),
+    )
+    return plain.union(own).join(backoff, "gram", "left").select(
+        "gram", "word", (F.col("value") + F.coalesce("backoff", F.lit(0.0))).alias("value")
+    )
+
+
 def language_scores(
-    docs: DataFrame, order: int = ORDER, share: float = SHARE, held: int = 7
+    docs: DataFrame, order: int = ORDER, share: float = 0.0, held: int = 7, least: int = LEAST
 ) -> DataFrame:
-    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    spark = docs.sparkSession
-    marked = docs.select("doc_id", "text", (bucket("doc_id", held) == 2).alias("held_out"))
-    training = marked.where("NOT held_out").select("text")
-    counts = staged(
-        counted(training, _count_tokens, "token binary, n bigint")
-        .groupBy("token")
-        .agg(F.sum("n").alias("c")),
-        "token-counts",
-    )
-    sizes = counts.agg(
-        F.coalesce(F.sum("c"), F.lit(0)).alias("total"),
-        F.count("*").alias("distinct"),
-        F.coalesce(F.max(F.expr("CASE WHEN token = X'' THEN c END")), F.lit(0)).alias("texts"),
-    ).first()
-    total, distinct = sizes["total"], sizes["distinct"]
-    mass = total + distinct + 1
-    # At most 1 / share words, as they make up that share each.
-    frequent = counts.where(F.col("c") >= share * total).orderBy("token").toArrow()
-    words = list(zip(frequent["token"].to_pylist(), frequent["c"].to_pylist()))
-    ids = {word: number for number, (word, _) in enumerate(words)}
-    known_words = spark.sparkContext.broadcast(ids)
-    orders: list[Grams] = []
-    for _ in range(order - 1):
-        orders.append(_gram_counts(training, known_words, orders, share * total))
-    model = spark.sparkContext.broadcast((words, orders, sizes["texts"], total, distinct))
-    built: list[Automaton] = []
-
-    def rows(batch: pa.RecordBatch):
-        if not built:
-            built.append(Automaton(*model.value))
-        automaton = built[0]
-        known = automaton.ids
-        out: dict = {n: [] for n in ("n_tokens", "n_frequent", "base", "path", "rare")}
-        for text in text_bytes(batch["text"]):
-            tokens = tokens_of(text)
-            numbers = [known.get(t, -1) for t in tokens]
-            rare = Counter(t for t, n in zip(tokens, numbers) if n < 0)
-            out["n_tokens"].append(len(tokens))
-            out["n_frequent"].append(len(tokens) - sum(rare.values()))
-            out["base"].append(math.fsum(automaton.unigram[n] for n in numbers if n >= 0))
-            out["path"].append(automaton.traverse(numbers))
-            out["rare"].append([{"token": t, "times": n} for t, n in rare.items()])
-        yield {"row": batch["row"], "doc_id": batch["doc_id"], "held_out": batch["held_out"], **out}
+    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    kind = dict(docs.dtypes)["doc_id"]
+    ``share`` is a further bound of kept n-grams, as a share of the training tokens.
+    """
+    row = F.monotonically_increasing_id()
     # The row number is fixed by the table that is written; it only has to be unique.
-    walked = staged(
+    texts = staged(
+        docs.select(
+            "doc_id",
+            "text",
+            (bucket("doc_id", held) == 2).alias("held_out"),
+            F.floor(row / CHUNK).alias("chunk"),
+        ),
+        "texts",
+    )
+    found = texts.select("chunk", "text", "held_out").mapInArrow(
+        _gram_rows(order), "chunk bigint, level int, before bigint, after bigint, n int"
+    )
+    # An n-gram has one row a chunk.
+    same = Window.partitionBy("level", "before", "after")
+    kept = (
+        found.withColumn("c", F.sum("n").over(same))
+        .withColumn("one", F.row_number().over(same.orderBy("chunk")) == 1)
+        .where((F.col("c") >= least) | ((F.col("level") == 1) & (F.col("c") >= 1)))
+        .drop("n")
+    )
+    kept = staged(
         mapped(
-            marked.withColumn("row", F.monotonically_increasing_id()),
-            rows,
-            f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_frequent bigint, "
-            "base double, path double, rare array<struct<token:binary,times:bigint>>",
+            kept,
+            _gram_names,
+            "chunk bigint, level int, before bigint, after bigint, c bigint, one boolean, gram bigint",
         ),
-        "walked",
+        "grams",
     )
-    rest = (
-        walked.select("row", F.inline("rare"))
-        .join(counts, "token", "left")
-        .groupBy("row")
-        .agg(
-            F.sum(
-                F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(mass)))
-            ).alias("weight"),
-            F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("seen"),
-        )
+    sizes = (
+        kept.where((F.col("level") == 1) & F.col("one") & (F.col("gram") != int(_BEGIN_HASH)))
+        .agg(F.coalesce(F.sum("c"), F.lit(0)).alias("total"), F.count("*").alias("distinct"))
+        .first()
     )
-    weight = F.coalesce("weight", F.lit(0.0))
-    return walked.drop("rare").join(rest, "row", "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_frequent") + F.coalesce("seen", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("bigint").alias("train_tokens"),
-        (F.col("base") + weight).alias("base_score"),
-        (F.col("path") + weight).alias("score"),
+    total = sizes["total"]
+    mass = total + sizes["distinct"] + 1
+    kept = kept.where((F.col("level") == 1) | (F.col("c") >= share * total))
+    values = staged(_gram_values(kept.where("one"), order, mass), "gram-values")
+    wanted = kept.select("chunk", "gram").join(values, "gram")
+    unseen = math.log10(1 / mass)
+    kind = dict(docs.dtypes)["doc_id"]
+
+    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+        grams = left["gram"].to_numpy()
+        by_name = np.argsort(grams)
+        grams = grams[by_name]
+        word, value = (left[n].to_numpy()[by_name] for n in ("word", "value"))
+
+        def at(names):
+            names = as_signed(names)
+            if not len(grams):
+                return np.zeros(len(names), dtype=np.int64), np.zeros(len(names), dtype=bool)
+            places = np.minimum(np.searchsorted(grams, names), len(grams) - 1)
+            return places, grams[places] == names
+
+        out: dict = {n: [] for n in ("n_tokens", "n_known", "base_score", "score")}
+        for text in text_bytes(right["text"].combine_chunks()):
+            levels = _named(text, order)
+            start, started = at(levels[0][:1])
+            places, seen = at(levels[0][1:])
+            out["n_tokens"].append(len(places))
+            out["n_known"].append(int(seen.sum()))
+            missing = unseen * int((~seen).sum())
+            out["base_score"].append(math.fsum(word[places[seen]]) + missing)
+            parts = [value[start[started]], value[places[seen]]]
+            for names in levels[1:]:
+                places, seen = at(names)
+                parts.append(value[places[seen]])
+            out["score"].append(math.fsum(np.concatenate(parts)) + missing)
+        return pa.table(
+            {
+                "doc_id": right["doc_id"],
+                "held_out": right["held_out"],
+                "n_tokens": pa.array(out["n_tokens"], pa.int64()),
+                "n_known": pa.array(out["n_known"], pa.int64()),
+                "train_tokens": pa.array([total] * right.num_rows, pa.int64()),
+                "base_score": pa.array(out["base_score"], pa.float64()),
+                "score": pa.array(out["score"], pa.float64()),
+            }
+        )
+
+    return (
+        wanted.groupBy("chunk")
+        .cogroup(texts.groupBy("chunk"))
+        .applyInArrow(
+            scored,
+            f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, "
+            "train_tokens bigint, base_score double, score double",
+        )
     )

@@ -395,6 +395,37 @@ def test_scores(docs, empty, monkeypatch):
     assert scoring.language_scores(empty).count() == 0
 
 
+def test_scores_keep_rare_grams_of_a_large_corpus(spark):
+    import zlib
+
+    # 3.3 million tokens: an n-gram that occurs twice makes up less than 1e-6 of them.
+    texts = [(i, "x y " * 50_000) for i in range(33)]
+    texts += [(100 + i, f"{prose(21, 30)} x y {prose(22 + i, 20)}") for i in range(60)]
+    texts += [(200, None), (201, "unseen words here"), (202, "only twice"), (203, "only twice")]
+    tokens = {i: [w.encode() for w in words(t)] + [b""] for i, t in texts}
+    train = [i for i in tokens if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = Counter(w for i in train for w in tokens[i])
+    listed = sorted(counts.items())
+    known = {w: n for n, (w, _) in enumerate(listed)}
+    ids = [np.array([len(known), *(known[w] for w in tokens[i])]) for i in train]
+    orders = []
+    for _ in range(2):
+        keys, n = np.unique(
+            np.concatenate([scoring._text_keys(i, orders) for i in ids]), return_counts=True
+        )
+        orders.append(scoring.Grams(keys[n >= 2], n[n >= 2]))
+    total = sum(counts.values())
+    automaton = scoring.Automaton(listed, orders, len(train), total, len(known))
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    found = {r.doc_id: r for r in scoring.language_scores(frame).collect()}
+    assert set(found) == set(tokens)
+    for doc, parts in tokens.items():
+        missing = automaton.unseen * sum(w not in known for w in parts)
+        path = automaton.traverse([known.get(w, -1) for w in parts])
+        assert found[doc].train_tokens == total
+        assert found[doc].score == pytest.approx(path + missing)
+
+
 def test_probabilities_add_up_in_every_state():
     rng = random.Random(4)
     texts = [[rng.randrange(6) for _ in range(rng.randrange(1, 12))] for _ in range(200)]
