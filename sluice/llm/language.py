@@ -7,8 +7,7 @@ distance of a text to a language adds up, over the text's n-grams, how far apart
 or ``SIZE`` where the language lacks the n-gram; the nearest language wins, ties by name.
 
 Profiles are fitted on at most ``FIT_ROWS`` labelled texts of a language, those with the smallest
-hashes of their ids, and for the ``MAX_LANGUAGES`` languages with the most of them; prediction reads
-whole texts of all rows. Null texts and texts without a letter are ``und`` with score 0, as is every
+hashes of their ids, and for all languages; prediction reads whole texts of all rows. Null texts and texts without a letter are ``und`` with score 0, as is every
 text if nothing was learned. Repeated rows are predicted alike; a null lang is never learned from.
 Other columns pass through, those with a name of an added column are replaced.
 """
@@ -24,7 +23,8 @@ from sluice.llm.common import bucket, mapped, staged
 
 SIZE = 300
 FIT_ROWS = 2000
-MAX_LANGUAGES = 1000
+#: A language's rows are picked from in so many groups, from step to step in fewer.
+_GROUPS = (64, 8, 1)
 UNKNOWN = "und"
 _PIECE = 1 << 20
 _BITS = 21
@@ -46,21 +46,28 @@ def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     if not text:
         return found, counts
     text = text.lower()
+    # The last two characters of a piece begin the n-grams that end in the next one.
+    before = np.array([_SPACE])
     for start in range(0, len(text), _PIECE):
-        # Two characters of the next piece complete the n-grams that begin in this one.
         piece = text[start : start + _PIECE]
         codes = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         codes = codes.astype(np.int64)
         codes[~_letters()[codes]] = _SPACE
-        codes = np.concatenate([[_SPACE], codes, [_SPACE]])
+        if start + _PIECE >= len(text):
+            codes = np.append(codes, _SPACE)
+        codes = np.concatenate([before, codes])
         blank = codes == _SPACE
         codes = codes[~(blank & np.concatenate([[False], blank[:-1]]))]
-        if len(codes) < 3:
+        old = len(before)
+        if len(codes) == old:
             continue
         blank = codes == _SPACE
         pairs = (codes[:-1] << _BITS) | codes[1:]
         triples = (pairs[:-1] << _BITS) | codes[2:]
-        every = np.concatenate([codes[~blank], pairs, triples[~blank[1:-1]]])
+        triples[blank[1:-1]] = -1
+        triples = triples[max(0, old - 2) :]
+        every = np.concatenate([codes[old:][~blank[old:]], pairs[old - 1 :], triples[triples >= 0]])
+        before = codes[-2:]
         one, n = np.unique(every, return_counts=True)
         if len(found):
             both = np.concatenate([found, one])
@@ -79,14 +86,18 @@ def ranked(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def fit_profiles(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> dict[str, np.ndarray]:
     """A ranked profile for each language of ``labelled(doc_id, text, lang)``."""
     known = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "key")
-    picked = (
-        known.select("doc_id", F.xxhash64("text").alias("key"), "lang")
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= fit_rows)
+    picked = known.select("doc_id", F.xxhash64("text").alias("key"), "lang").withColumn(
+        "hash", F.xxhash64("doc_id", "key")
     )
-    common = picked.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    picked = staged(picked.join(common, "lang").select("doc_id", "key", "lang").distinct(), "fit")
+    for groups in _GROUPS:
+        # What is not among the first of its group is not among the first of the language.
+        order = Window.partitionBy("lang", F.pmod("hash", F.lit(groups))).orderBy(
+            F.xxhash64("doc_id"), "doc_id", "key"
+        )
+        picked = picked.withColumn("place", F.row_number().over(order)).where(
+            F.col("place") <= fit_rows
+        )
+    picked = staged(picked.select("doc_id", "key", "lang").distinct(), "fit")
     chosen = known.select("doc_id", "text", "lang", F.xxhash64("text").alias("key"))
     sample = chosen.alias("t").join(
         picked.alias("p"),

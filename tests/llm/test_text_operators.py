@@ -14,7 +14,7 @@ from oracle import connect, difference
 from pyspark.sql import functions as F
 
 import sluice.llm.queries  # noqa: F401
-from sluice.llm import contamination, encoding, minhash, scoring, sharding, substrings, vectors
+from sluice.llm import contamination, encoding, language, minhash, scoring, sharding, substrings, vectors
 from sluice.llm.common import components, word_hashes
 from sluice.llm.contamination import MASKS, MISSES, WINDOW
 from sluice.llm.language import grams, identify, ranked
@@ -260,6 +260,24 @@ def test_languages(docs, empty, spark):
         assert right > 0.95
 
 
+def test_languages_are_whole(spark, monkeypatch):
+    texts = ["Ab, ab", prose(5, 40), "x" * 50, "  \n ", "a  b c  ", "12 été 日本語 " * 9, ""]
+    plain = [[part.tolist() for part in grams(text)] for text in texts]
+    for piece in (1, 2, 3, 7):
+        monkeypatch.setattr(language, "_PIECE", piece)
+        assert [[part.tolist() for part in grams(text)] for text in texts] == plain
+    monkeypatch.undo()
+    many = spark.range(1005).selectExpr("id AS doc_id", "'some text' AS text", "concat('l', id) AS lang")
+    assert len(language.fit_profiles(many)) == 1005
+    # The rows with the smallest hashes, whatever groups they are picked from.
+    frame = spark.range(400).selectExpr(
+        "id AS doc_id", "concat(repeat(chr(97 + id % 26), 3), ' ', chr(65 + id % 23)) AS text", "'en' AS lang"
+    )
+    first = frame.orderBy(F.xxhash64("doc_id")).limit(5)
+    few, want = language.fit_profiles(frame, 5), language.fit_profiles(first)
+    assert few["en"].tolist() == want["en"].tolist()
+
+
 def test_every_small_error_is_hit():
     for count in range(MISSES + 1):
         for wrong in itertools.combinations(range(WINDOW), count):
