@@ -53,6 +53,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_tokens"),
         "ids",
         "round_trip",
+        "exact",
     )
 
 

@@ -13,7 +13,8 @@ number, are broadcast; for the rest each text's rare words are joined with the e
 back to it. A rare word is at most every ``FREQUENT``-th of all words, so the join has no hot key.
 Texts travel to their rare words compressed. All words are encoded by the lattice.
 
-Null and empty texts have no ids. A literal U+2581 decodes to a space, as in the tokenizer. Other
+Null and empty texts have no ids. A literal U+2581 decodes to a space, as in the tokenizer; that is
+no fault of the encoding, so ``round_trip`` allows for it, but ``exact`` is false there. Other
 columns pass through; those with a name of an added column are replaced. Repeated rows are encoded
 alike. Words of any length are handled, in time a little above proportional.
 """
@@ -249,7 +250,11 @@ def _decoded(ids: list[int], spelled: dict[int, bytes]) -> str:
 
 
 def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT) -> DataFrame:
-    """``docs`` with ``ids array<int>`` and ``round_trip``: whether they decode to the text."""
+    """``docs`` with ``ids array<int>``, ``round_trip`` and ``exact``.
+
+    ``exact``: whether the ids decode to the text; ``round_trip``: to the text with a space for each
+    literal U+2581.
+    """
     spark = docs.sparkSession
     pieces = load_pieces(model)
     # As large as the vocabulary file, like the pieces' bytes below.
@@ -288,7 +293,7 @@ def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT)
         .groupBy("_key")
         .agg(F.collect_set(F.struct("word", "ids")).alias("_rare"))
     )
-    kept = docs.drop("ids", "round_trip")
+    kept = docs.drop("ids", "round_trip", "exact")
     names = [n for n in kept.columns if n != "text"]
 
     def packed(batch: pa.RecordBatch):
@@ -307,7 +312,7 @@ def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT)
 
     def assembled(batch: pa.RecordBatch):
         unpack = zstandard.ZstdDecompressor()
-        texts, out, fine = [], [], []
+        texts, out, fine, exact = [], [], [], []
         for small, listed in zip(batch["_packed"].to_pylist(), batch["_rare"].to_pylist()):
             text = None if small is None else unpack.decompress(small).decode("utf-8")
             own = {r["word"]: np.array(r["ids"], dtype=np.int32).tobytes() for r in listed or ()}
@@ -316,12 +321,14 @@ def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT)
             ids = np.frombuffer(b"".join(parts), dtype=np.int32)
             texts.append(text)
             out.append(None if text is None else ids)
-            fine.append(
-                not text or _decoded(ids.tolist(), spelled.value) == text.replace(SPACE, " ")
-            )
-        yield {**{n: batch[n] for n in names}, "text": texts, "ids": out, "round_trip": fine}
-
-    types = ", ".join([*(f"`{n}` {t}" for n, t in kept.dtypes), "ids array<int>, round_trip boolean"])
+            decoded = _decoded(ids.tolist(), spelled.value) if text else text
+            fine.append(not text or decoded == text.replace(SPACE, " "))
+            exact.append(decoded == text)
+        added = {"text": texts, "ids": out, "round_trip": fine, "exact": exact}
+        yield {**{n: batch[n] for n in names}, **added}
+
+    added = "ids array<int>, round_trip boolean, exact boolean"
+    types = ", ".join([*(f"`{n}` {t}" for n, t in kept.dtypes), added])
     return mapped(joined, assembled, types)
 
 

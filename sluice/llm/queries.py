@@ -156,7 +156,8 @@ register(
 register(
     "op5_sentencepiece",
     lambda s, d: encode_texts(table(s, d, "documents").select("doc_id", "text")).selectExpr(
-        "doc_id", "CAST(coalesce(size(ids), 0) AS BIGINT) AS n_tokens", "ids", "round_trip"
+        "doc_id", "CAST(coalesce(size(ids), 0) AS BIGINT) AS n_tokens", "ids", "round_trip",
+        "exact",
     ),
 )
 

@@ -369,6 +369,14 @@ def test_tokens_match_the_tokenizer(docs, empty, monkeypatch):
     assert words_of(None) == words_of("") == []
 
 
+def test_a_lost_character_is_reported(spark):
+    texts = [(0, "a b"), (1, "a\u2581b"), (2, ""), (3, None), (4, " \u2581"), (5, "日本 語")]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = encoding.decode_ids(encoding.encode_texts(frame)).collect()
+    assert {r.doc_id: r.exact for r in got} == {i: "\u2581" not in (t or "") for i, t in texts}
+    assert all(r.round_trip and r.exact == ((r.decoded or "") == (r.text or "")) for r in got)
+
+
 def test_no_piece_crosses_a_cut():
     pieces = load_pieces()
     cutter, longest = Cutter(pieces), pieces.longest
