@@ -8,11 +8,14 @@ from sluice.llm.encoding import encode_texts
 from sluice.llm.language import identify
 from sluice.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES, license_scan
 from sluice.llm.minhash import near_duplicate_groups
+from sluice.llm.negatives import hard_negatives
+from sluice.llm.prefixes import conversation_trie
 from sluice.llm.registry import register
 from sluice.llm.scoring import language_scores
 from sluice.llm.sharding import LIMIT, with_shards
 from sluice.llm.substrings import without_repeats
 from sluice.llm.token_counts import with_token_counts
+from sluice.llm.urls import SITE_RULES, site_verdicts
 from sluice.llm.vectors import near_duplicate_vectors
 
 #: Components of a link table ``links(a, b)`` over ``nodes(id)``: smallest id reachable.
@@ -233,3 +236,134 @@ register(
     ),
     OP1,
 )
+
+#: The page rules of op11 as expressions over the address, in the order in which they win.
+_BREAK = r"(?:[^0-9A-Za-z_.%-]|$)"
+_PAGE_SQL = [
+    (rf"^(?:[^/?]*\.)?blog\..*/de/.*utm_source=feed{_BREAK}", "||blog.*/de/*utm_source=feed^", "allow"),
+    (r"^(?:[^/?]*\.)?m\..*\.org/fr/.*\.html$", "||m.*.org/fr/*.html|", "block"),
+    (rf"{_BREAK}replytocom=", "^replytocom=", "block"),
+    (rf"{_BREAK}page=.*{_BREAK}ref=x{_BREAK}", "^page=*^ref=x^", "allow"),
+    (r"^(?:[^/?]*\.)?blog\..*/de/", "||blog.*/de/", "block"),
+    (r"^(?:[^/?]*\.)?tracker\.", "||tracker.*", "block"),
+    (rf"{_BREAK}phpsessid=", "^phpsessid=", "block"),
+    (rf"{_BREAK}sessionid=", "^sessionid=", "block"),
+    (r"^(?:[^/?]*\.)?casino.*\.", "||casino*.", "block"),
+    (rf"/checkout{_BREAK}", "/checkout^", "block"),
+    (r"/wp-admin/", "/wp-admin/", "block"),
+    (r"/cgi-bin/", "/cgi-bin/", "block"),
+    (rf"{_BREAK}print=1{_BREAK}", "^print=1^", "block"),
+    (rf"/signup{_BREAK}", "/signup^", "block"),
+    (r"viagra", "*viagra*", "block"),
+    (rf"/login{_BREAK}", "/login^", "block"),
+    (r"^(?:[^/?]*\.)?ads\.", "||ads.*", "block"),
+    (r"/feed/$", "/feed/|", "block"),
+    (rf"{_BREAK}page=", "^page=", "block"),
+    (rf"/cart{_BREAK}", "/cart^", "block"),
+    (r"\.rss$", ".rss|", "block"),
+    (r"\.xml$", ".xml|", "block"),
+]
+_SITE_ROWS = ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in SITE_RULES)
+_PAGE_CASE = " ".join(
+    f"WHEN regexp_matches(address, '{regex}', 'si') THEN {{{{'pattern': '{p}', 'verdict': '{v}'}}}}"
+    for regex, p, v in _PAGE_SQL
+).replace("{{", "{").replace("}}", "}")
+OP11 = f"""
+WITH rules(rule, verdict) AS (VALUES {_SITE_ROWS}),
+parted AS (
+  SELECT page_id, CASE WHEN url IS NOT NULL AND contains(url, '://')
+    THEN split_part(substr(url, instr(url, '://') + 3), '#', 1) END AS rest FROM pages
+), split AS (
+  SELECT page_id, rest,
+    translate(regexp_extract(rest, '^([^/?]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?]*(.*)$', 1, 's') AS tail FROM parted
+), placed AS (
+  SELECT page_id, coalesce(host, '') AS host, coalesce(split_part(tail, '?', 1), '') AS path,
+    host || tail AS address FROM split
+), sites AS (
+  SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(verdict, length(rule)) AS verdict
+  FROM placed JOIN rules ON starts_with(path, substr(rule, instr(rule, '/')))
+    AND (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+  GROUP BY page_id
+), judged AS (
+  SELECT p.page_id, host, path, s.rule, s.verdict AS site,
+    CASE WHEN address IS NULL THEN NULL {_PAGE_CASE} END AS page
+  FROM placed p LEFT JOIN sites s USING (page_id)
+)
+SELECT page_id, host, path, rule, coalesce(site, page.verdict, 'allow') AS verdict,
+  CASE WHEN rule IS NOT NULL THEN '||' || rule ELSE page.pattern END AS pattern
+FROM judged
+"""
+register("op11_url_filters", lambda s, d: site_verdicts(table(s, d, "pages")), OP11)
+
+OP12 = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other, a.label = r.label AS same,
+    CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM usable a JOIN usable r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id AND len(a.v) = len(r.v)
+), positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+), found AS (
+  SELECT p.anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  WHERE 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM found WHERE rank <= 3
+"""
+register("op12_hard_negatives", lambda s, d: hard_negatives(table(s, d, "embeddings")), OP12)
+
+#: CRC-32 of a number's decimal digits, bit by bit.
+_CRC32 = """
+xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+  list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+  lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))))
+"""
+OP13 = f"""
+WITH named AS (
+  SELECT conv_id, turn, sha256(length(r) || ':' || r || t) AS tid, length(t) AS chars
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+    WHERE conv_id IS NOT NULL)
+), own AS (
+  SELECT conv_id, list({{'tid': tid, 'chars': chars}} ORDER BY turn NULLS FIRST, tid) AS seq,
+    CAST({_CRC32} % 6 AS INT) AS h FROM named GROUP BY conv_id
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.seq[1:o.h], []), coalesce(o.seq[o.h + 1:], [])) AS seq
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100
+), members AS (
+  SELECT conv_id, depth, sha256(array_to_string(list_transform(seq[1:depth], lambda x: x.tid), ','))
+      AS node,
+    CASE WHEN depth > 0 THEN
+      sha256(array_to_string(list_transform(seq[1:depth - 1], lambda x: x.tid), ',')) END AS above,
+    CASE WHEN depth > 0 THEN seq[depth].chars ELSE 0 END AS chars, depth = len(seq) AS ends
+  FROM (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS depth FROM rebuilt)
+), nodes AS (
+  SELECT depth, node, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * any_value(chars) AS own_saved,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+      FILTER (WHERE ends), '')) AS ends_sha256
+  FROM members GROUP BY depth, node
+), children AS (
+  SELECT above AS node, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), whole AS (
+  SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c USING (node, depth)
+), below AS (
+  SELECT m.node, m.depth, count(*) FILTER (WHERE x.n_children = 0) AS n_leaves,
+    CAST(sum(x.own_saved) AS BIGINT) AS saved_tokens
+  FROM whole x JOIN members m ON m.conv_id = x.conv_id AND m.depth <= x.depth GROUP BY ALL
+)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, b.n_leaves,
+  b.saved_tokens, w.ends_sha256
+FROM whole w JOIN below b ON b.node = w.node AND b.depth = w.depth
+LEFT JOIN nodes p ON p.node = w.above AND p.depth = w.depth - 1
+"""
+register("op13_conversation_trie", lambda s, d: conversation_trie(table(s, d, "conversations")), OP13)
