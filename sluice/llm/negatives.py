@@ -10,20 +10,22 @@ Two scans: the first finds the ``POSITIVES`` best rows of an anchor's own label
 label), the second the ``NEGATIVES`` best rows of other labels in the window below each of them.
 
 Rows with a null label, vector or vec_id, or with a null or non-finite component (or one whose
-256-fold no double holds), take no part. Rows that share a vec_id are one row, the smallest by label and components. Only vectors of equal length
-are compared; empty vectors score 0. Equal scores are ordered by vec_id. An anchor without another
-row of its label, or whose windows are empty, has no row in the result; so has an empty table.
-Scores beyond a long are given as the nearest long. Input columns other than the three are ignored.
+256-fold no double holds), take no part. Rows that share a vec_id are one row, the smallest by label
+and components. Only vectors of equal length are compared; empty vectors score 0. Equal scores are
+ordered by vec_id. An anchor without another row of its label, or whose windows are empty, has no row
+in the result; so has an empty table. Scores beyond a long are given as the nearest long, and are
+compared exactly up to 38 digits. Input columns other than the three are ignored.
 """
 
 from __future__ import annotations
 
+import decimal
 import math
 from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -39,7 +41,9 @@ ROWS = 2048
 ANCHOR_ROWS = 4096
 STEP = 8
 _EXACT = 1 << 53
-_LONG = (-(1 << 63), (1 << 63) - 1)
+#: Scores between the two scans are exact up to this many digits.
+_DIGITS = 38
+_SCORE = pa.decimal128(_DIGITS, 0)
 
 
 def quantized(embeddings: DataFrame) -> DataFrame:
@@ -147,10 +151,6 @@ def window_of(positive_score: int) -> tuple[int, int]:
     return -(-LOWEST * positive_score // 100), HIGHEST * positive_score // 100
 
 
-def _long(value: int) -> int:
-    return min(max(value, _LONG[0]), _LONG[1])
-
-
 def _positives(anchors: pa.Table, rows: pa.Table) -> pa.Table:
     found: list[tuple] = []
     if anchors.num_rows and rows.num_rows:
@@ -159,7 +159,7 @@ def _positives(anchors: pa.Table, rows: pa.Table) -> pa.Table:
             others = np.flatnonzero(block.ids != anchor)
             kept, scores = block.scan(vector, others, _reaches(POSITIVES))
             best = _best(block.ids[kept], scores, POSITIVES)
-            found += [(anchor, i, _long(s)) for i, s in best]
+            found += [(anchor, i, s) for i, s in best]
     return _table(found, ("anchor_id", "positive_id", "positive_score"))
 
 
@@ -174,23 +174,34 @@ def _negatives(anchors: pa.Table, rows: pa.Table) -> pa.Table:
             _matrix(anchors),
         )
         for anchor, label, positives, vector in wanted:
-            windows = {p["positive_id"]: window_of(p["positive_score"]) for p in positives}
+            windows = {p["positive_id"]: window_of(int(p["positive_score"])) for p in positives}
             others = np.flatnonzero(block.labels != label)
             kept, scores = block.scan(vector, others, _meets(windows.values(), NEGATIVES))
             for p in positives:
                 low, high = windows[p["positive_id"]]
                 inside = ((scores >= low) & (scores <= high)).astype(bool)
                 best = _best(block.ids[kept][inside], scores[inside], NEGATIVES)
-                found += [
-                    (anchor, p["positive_id"], p["positive_score"], i, _long(s)) for i, s in best
-                ]
+                found += [(anchor, p["positive_id"], p["positive_score"], i, s) for i, s in best]
     names = ("anchor_id", "positive_id", "positive_score", "negative_id", "negative_score")
     return _table(found, names)
 
 
 def _table(rows: list[tuple], names: tuple[str, ...]) -> pa.Table:
-    columns = zip(*rows) if rows else ([] for _ in names)
-    return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns)})
+    columns = {}
+    most = 10**_DIGITS - 1
+    for name, column in zip(names, zip(*rows) if rows else ([] for _ in names)):
+        if name.endswith("score"):
+            whole = (decimal.Decimal(min(max(int(x), -most), most)) for x in column)
+            columns[name] = pa.array(whole, _SCORE)
+        else:
+            columns[name] = pa.array(column, pa.int64())
+    return pa.table(columns)
+
+
+def _as_long(column: str) -> Column:
+    """The nearest long."""
+    low, high = (F.lit(decimal.Decimal(x)) for x in (-(1 << 63), (1 << 63) - 1))
+    return F.least(F.greatest(F.col(column), low), high).cast("bigint").alias(column)
 
 
 def _meet(asks: DataFrame, meets: DataFrame, key: list[str], scan: Callable, schema: str) -> DataFrame:
@@ -226,7 +237,7 @@ def positives(rows: DataFrame) -> DataFrame:
     asks = sized.where(anchor).select(
         "*", _each("bs", "b"), F.expr("pmod(xxhash64(vec_id), as)").cast("int").alias("a")
     ).select(*key, "vec_id", "v")
-    schema = "anchor_id bigint, positive_id bigint, positive_score bigint"
+    schema = f"anchor_id bigint, positive_id bigint, positive_score decimal({_DIGITS}, 0)"
     found = _meet(asks, meets, key, _positives, schema)
     best = Window.partitionBy("anchor_id").orderBy(F.desc("positive_score"), "positive_id")
     return found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= POSITIVES)
@@ -255,8 +266,8 @@ def hard_negatives(embeddings: DataFrame) -> DataFrame:
         F.size("v").alias("dim"), block(as_).alias("a"), _each(str(bs), "b"), *asking.columns
     )
     schema = (
-        "anchor_id bigint, positive_id bigint, positive_score bigint, negative_id bigint, "
-        "negative_score bigint"
+        f"anchor_id bigint, positive_id bigint, positive_score decimal({_DIGITS}, 0), "
+        f"negative_id bigint, negative_score decimal({_DIGITS}, 0)"
     )
     pairs = _meet(asks, meets, key, _negatives, schema)
     order = Window.partitionBy("anchor_id", "positive_id").orderBy(
@@ -266,6 +277,11 @@ def hard_negatives(embeddings: DataFrame) -> DataFrame:
         pairs.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= NEGATIVES)
         .select(
-            "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"
+            "anchor_id",
+            "positive_id",
+            "rank",
+            "negative_id",
+            _as_long("positive_score"),
+            _as_long("negative_score"),
         )
     )
