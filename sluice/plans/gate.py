@@ -219,12 +219,7 @@ def run_gate(
     """
     checked_at = as_of or datetime.now(timezone.utc)
     lake.ensure_table(CONTROL_LAYER, METRICS_TABLE, METRICS_SCHEMA)
-    lake.ensure_table(
-        CONTROL_LAYER,
-        APPROVAL_TABLE,
-        APPROVAL_SCHEMA,
-        partition_by=() if lake.fmt == "delta" else APPROVAL_KEYS,
-    )
+    lake.ensure_keyed(CONTROL_LAYER, APPROVAL_TABLE, APPROVAL_SCHEMA)
     verdicts = [
         check_table(lake, stage, entity, odate, run_id, checked_at, as_of) for entity in ENTITIES
     ]
@@ -254,7 +249,8 @@ def record_approval(
 
 def approvals(lake: Lake) -> DataFrame:
     """Valid approvals, one row per (stage, date)."""
-    stored = lake.read(CONTROL_LAYER, APPROVAL_TABLE).where(F.col("approved_at").isNotNull())
+    latest = lake.current(CONTROL_LAYER, APPROVAL_TABLE, APPROVAL_KEYS)
+    stored = latest.where(F.col("approved_at").isNotNull())
     return stored.select("dq_stage", "odate", "dq_run_id", "approved_at")
 
 

@@ -1,21 +1,32 @@
-"""Layered tables: scans of one date, partition replacement, append, upsert."""
+"""Layered tables: scans of one date, partition replacement, append, keyed versions.
+
+Writes of plain file tables go beside the stored rows, into a fresh folder, and become visible by
+pointing partitions at it. A failing or empty write therefore leaves everything as it was, running
+reads keep their files, and no session setting is involved. Folders that no partition points at any
+more are left to the storage's own expiry.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+import time
+import uuid
+from collections.abc import Sequence
 from datetime import date
-from threading import Lock
-from weakref import WeakKeyDictionary
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from sluice.model import BUSINESS_DATE
 
 OUTSIDE = "rows outside the target partition"
+# Names that a table has for the moment in which its schema changes.
+FRESH, OLD = "__fresh", "__old"
+# Columns of keyed tables, and the slices above which an upsert merges them.
+VERSION, SLICE = "_version", "_slice"
+VERSION_FIELDS = (StructField(VERSION, LongType()), StructField(SLICE, StringType()))
+SLICES = 32
 
 
 class EmptyPartition(RuntimeError):
@@ -29,16 +40,29 @@ class PartitionContract(RuntimeError):
 class Lake:
     """Name resolution and writes for ``<catalog>.<layer>.<table>``."""
 
-    def __init__(self, spark: SparkSession, catalog: str | None = None, fmt: str = "parquet"):
+    def __init__(
+        self,
+        spark: SparkSession,
+        catalog: str | None = None,
+        fmt: str = "parquet",
+        root: str | None = None,
+        prefix: str = "",
+    ):
+        """``root`` is the folder of new layers, else the warehouse; ``prefix`` starts their names."""
         self.spark = spark
         self.catalog = catalog
         self.fmt = fmt
+        self.root = root
+        self.prefix = prefix
 
     # -- names and reads ---------------------------------------------------
 
+    def _layer(self, layer: str) -> str:
+        own = f"{self.prefix}{layer}"
+        return own if self.catalog is None else f"{self.catalog}.{own}"
+
     def name(self, layer: str, table: str) -> str:
-        parts = [layer, table] if self.catalog is None else [self.catalog, layer, table]
-        return ".".join(parts)
+        return f"{self._layer(layer)}.{table}"
 
     def exists(self, layer: str, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(layer, table))
@@ -51,8 +75,8 @@ class Lake:
         return self.read(layer, table).where(F.col(BUSINESS_DATE) == F.lit(odate))
 
     def ensure_layer(self, layer: str) -> None:
-        schema = layer if self.catalog is None else f"{self.catalog}.{layer}"
-        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+        place = "" if self.root is None else f" LOCATION '{self.root}/{layer}'"
+        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self._layer(layer)}{place}")
 
     # -- replace one date --------------------------------------------------
 
@@ -66,12 +90,13 @@ class Lake:
     ) -> int:
         """Replace exactly the ``odate`` partition; returns the rows written.
 
-        The rows are computed once: a row of another date raises inside the write
-        job, before anything is committed, and an empty result replaces nothing
-        and is reported afterwards. Other dates are never touched. Only a schema
-        change, possible while no other date is stored, checks the rows beforehand.
+        The rows are computed once, into a folder of their own: a row of another
+        date raises inside that job, and an empty result replaces nothing. Other
+        dates are never touched. The schema may change while no other date is
+        stored; the new table then takes the name of the old one when it is whole.
         """
         target = self.name(layer, table)
+        self._finish_swap(layer, table)
         existed = self.exists(layer, table)
         recreate = False
         if existed:
@@ -81,37 +106,31 @@ class Lake:
                 raise PartitionContract(
                     f"refusing to change the schema of {target}: other dates are present"
                 )
-        if existed and (recreate or self.fmt == "delta"):
-            # These writes drop old rows before the new ones are known to be good.
-            _check_first(frame, target, odate)
-
+        self.ensure_layer(layer)
         written = Observation()
         rows = _clustered(_only_date(frame, target, odate), cluster_by)
         rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
         try:
-            if recreate or not existed:
-                self._create(rows, layer, target)
-            elif self.fmt == "delta":
-                (
-                    rows.write.format("delta")
-                    .mode("overwrite")
-                    .option("replaceWhere", f"{BUSINESS_DATE} = DATE '{odate.isoformat()}'")
-                    .saveAsTable(target)
-                )
+            if self.fmt == "delta":
+                self._replace_where(frame, rows, target, odate, existed, recreate)
             else:
-                self._insert(rows, target, overwrite=True)
+                beside = self._write_beside(rows, layer, table, [BUSINESS_DATE])
         except PySparkException as error:
-            if not existed:
-                self.spark.sql(f"DROP TABLE IF EXISTS {target}")
             if OUTSIDE in str(error):
                 raise PartitionContract(f"refusing to write {target}: {OUTSIDE}") from error
             raise
         # Retried tasks may be counted twice, so this is only tested against zero.
         count = written.get["rows"]
         if count == 0:
-            if not existed:
-                self.spark.sql(f"DROP TABLE IF EXISTS {target}")
             raise EmptyPartition(f"{target} has no rows for odate={odate.isoformat()}")
+        if self.fmt != "delta":
+            day = {BUSINESS_DATE: odate}
+            if recreate:
+                self._swap_table(frame.schema, layer, table, day, beside)
+            else:
+                if not existed:
+                    self._create(frame.schema, target, [BUSINESS_DATE])
+                self._point(target, day, beside)
         return count
 
     def _check_partitioning(self, target: str) -> None:
@@ -129,27 +148,120 @@ class Lake:
         others = self.spark.read.table(target).select(BUSINESS_DATE)
         return others.where(stored.isNull() | (stored != F.lit(odate))).isEmpty()
 
-    def _create(self, rows: DataFrame, layer: str, target: str) -> None:
-        self.ensure_layer(layer)
+    def _replace_where(
+        self,
+        frame: DataFrame,
+        rows: DataFrame,
+        target: str,
+        odate: date,
+        existed: bool,
+        recreate: bool,
+    ) -> None:
+        """The same with a format whose commits replace a part of a table."""
+        if existed:
+            # Committed as a whole, so the rows are known to be good beforehand.
+            _check_first(frame, target, odate)
         writer = rows.write.format(self.fmt).mode("overwrite").partitionBy(BUSINESS_DATE)
-        if self.fmt == "delta":
+        if existed and not recreate:
+            only = f"{BUSINESS_DATE} = DATE '{odate.isoformat()}'"
+            writer = writer.option("replaceWhere", only)
+        else:
             writer = writer.option("overwriteSchema", "true")
         writer.saveAsTable(target)
 
-    def _insert(self, rows: DataFrame, target: str, overwrite: bool) -> None:
-        """Insert by name; overwriting replaces only the partitions that get rows."""
-        columns = self.spark.read.table(target).columns
-        with _dynamic_overwrite(self.spark):
-            rows.select(*columns).write.insertInto(target, overwrite=overwrite)
+    # -- folders beside, and the partitions that point at them -------------
+
+    def _write_beside(
+        self, rows: DataFrame, layer: str, table: str, partition_by: Sequence[str]
+    ) -> str:
+        place = self.spark.catalog.getDatabase(self._layer(layer)).locationUri
+        folder = f"{place.rstrip('/')}/_versions/{table}/{uuid.uuid4().hex}"
+        rows.write.format(self.fmt).partitionBy(*partition_by).save(folder)
+        return folder
+
+    def _create(self, schema: StructType, target: str, partition_by: Sequence[str]) -> None:
+        last = [f for f in schema.fields if f.name in partition_by]
+        first = [f for f in schema.fields if f.name not in partition_by]
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*first, *last])
+        by = ", ".join(f"`{name}`" for name in partition_by)
+        self.spark.sql(f"CREATE TABLE {target} ({columns}) USING {self.fmt} PARTITIONED BY ({by})")
+
+    def _point(self, target: str, values: dict[str, object], folder: str) -> None:
+        """Let one partition of ``target`` be what was written into ``folder``."""
+        spec = ", ".join(f"`{name}` = {_literal(value)}" for name, value in values.items())
+        path = "/".join([folder, *(f"{name}={value}" for name, value in values.items())])
+        there = f"PARTITION ({spec})"
+        self.spark.sql(f"ALTER TABLE {target} ADD IF NOT EXISTS {there} LOCATION '{path}'")
+        self.spark.sql(f"ALTER TABLE {target} {there} SET LOCATION '{path}'")
+
+    def _swap_table(
+        self, schema: StructType, layer: str, table: str, values: dict[str, object], folder: str
+    ) -> None:
+        """A table of another schema under the same name; the old one goes last."""
+        target, fresh, old = (self.name(layer, table + end) for end in ("", FRESH, OLD))
+        self.spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        self._create(schema, fresh, list(values))
+        self._point(fresh, values, folder)
+        self.spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
+        try:
+            self.spark.sql(f"ALTER TABLE {fresh} RENAME TO {target}")
+        except PySparkException:
+            self.spark.sql(f"ALTER TABLE {old} RENAME TO {target}")
+            raise
+        self.spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+    def _finish_swap(self, layer: str, table: str) -> None:
+        """What a writer that was lost between two renames has left to do."""
+        if self.exists(layer, table + OLD):
+            target, old = self.name(layer, table), self.name(layer, table + OLD)
+            if self.exists(layer, table):
+                self.spark.sql(f"DROP TABLE {old}")
+            else:
+                self.spark.sql(f"ALTER TABLE {old} RENAME TO {target}")
+
+    def replace_slices(
+        self, rows: DataFrame, layer: str, table: str, by: Sequence[str]
+    ) -> list[dict[str, object]]:
+        """Replace the partitions (of the columns ``by``) that get rows; returns which.
 
-    def replace_days(self, rows: DataFrame, layer: str, table: str, day: str) -> None:
-        """Write rows partitioned by ``day``; the days that get rows are replaced."""
+        Their number is that of the days or batches of one write. Values are dates or numbers.
+        """
+        self.ensure_layer(layer)
         target = self.name(layer, table)
-        if self.exists(layer, table):
-            self._insert(rows, target, overwrite=True)
-        else:
-            self.ensure_layer(layer)
-            rows.write.format(self.fmt).partitionBy(day).saveAsTable(target)
+        if self.fmt == "delta":
+            return self._overwrite_slices(rows, layer, table, by)
+        written = Observation()
+        folder = self._write_beside(
+            rows.observe(written, F.count(F.lit(1)).alias("rows")), layer, table, by
+        )
+        if not self.exists(layer, table):
+            self._create(rows.schema, target, by)
+        if written.get["rows"] == 0:
+            return []
+        stored = self.spark.read.schema(rows.schema).format(self.fmt).load(folder)
+        slices = [row.asDict() for row in stored.select(*by).distinct().collect()]
+        for values in slices:
+            self._point(target, values, folder)
+        return slices
+
+    def _overwrite_slices(
+        self, rows: DataFrame, layer: str, table: str, by: Sequence[str]
+    ) -> list[dict[str, object]]:
+        target = self.name(layer, table)
+        if not self.exists(layer, table):
+            rows.write.format(self.fmt).partitionBy(*by).saveAsTable(target)
+            rows = self.spark.read.table(target)
+            return [row.asDict() for row in rows.select(*by).distinct().collect()]
+        slices = [row.asDict() for row in rows.select(*by).distinct().collect()]
+        if slices:
+            only = " OR ".join(
+                "(" + " AND ".join(f"`{n}` = {_literal(v)}" for n, v in values.items()) + ")"
+                for values in slices
+            )
+            rows.write.format(self.fmt).mode("overwrite").option("replaceWhere", only).saveAsTable(
+                target
+            )
+        return slices
 
     # -- append and upsert -------------------------------------------------
 
@@ -181,19 +293,36 @@ class Lake:
                 for f in fields
             )
         )
-        self._insert(filled, target, overwrite=False)
+        filled.write.insertInto(target)
+
+    def ensure_keyed(self, layer: str, table: str, schema: StructType) -> None:
+        """Create a table for ``upsert`` if absent, add columns it lacks."""
+        versioned = StructType([*schema.fields, *VERSION_FIELDS])
+        if self.fmt == "delta":
+            self.ensure_table(layer, table, schema)
+        elif self.exists(layer, table):
+            self.ensure_table(layer, table, versioned)
+        else:
+            self.ensure_layer(layer)
+            self._create(versioned, self.name(layer, table), [SLICE])
 
     def upsert(
-        self, frame: DataFrame, layer: str, table: str, keys: Sequence[str], schema: StructType
+        self,
+        frame: DataFrame,
+        layer: str,
+        table: str,
+        keys: Sequence[str],
+        schema: StructType,
+        at: int | None = None,
     ) -> None:
         """Insert or replace the row of each key.
 
-        Plain files have no MERGE: the table is partitioned by the key and the
-        partitions of the incoming keys are replaced. Meant for small control tables.
+        Plain files have no MERGE: every upsert adds a slice of versioned rows, and
+        ``current`` reads the latest version of each key. Writers never touch each
+        other's slices, so none can undo another; of two versions the later ``at``
+        (microseconds, now by default) wins, then the larger slice name.
         """
-        self.ensure_table(
-            layer, table, schema, partition_by=() if self.fmt == "delta" else tuple(keys)
-        )
+        self.ensure_keyed(layer, table, schema)
         target = self.name(layer, table)
         if self.fmt == "delta":
             frame.createOrReplaceTempView("__incoming")
@@ -202,36 +331,61 @@ class Lake:
                 f"MERGE INTO {target} t USING __incoming s ON {same} "
                 "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
             )
-        else:
-            self._insert(frame, target, overwrite=True)
-
-
-# Writes that are under way in each session, and the setting to return to after the last one.
-_WRITES: WeakKeyDictionary[SparkSession, tuple[int, str]] = WeakKeyDictionary()
-_WRITES_LOCK = Lock()
-
+            return
+        stamp = time.time_ns() // 1000 if at is None else at
+        rows = frame.select(*schema.names).withColumn(VERSION, F.lit(stamp).cast("bigint"))
+        self._add_slice(rows, layer, table, f"u{uuid.uuid4().hex}")
+        if len(self._slices(target)) > SLICES:
+            self.compact(layer, table, keys)
+
+    def current(self, layer: str, table: str, keys: Sequence[str]) -> DataFrame:
+        """The latest version of each key of a table that is written by ``upsert``."""
+        stored = self.read(layer, table)
+        if self.fmt == "delta":
+            return stored
+        return _latest(stored, keys).drop(VERSION, SLICE)
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """``insertInto`` ignores the writer option, so the session setting is used.
+    def compact(self, layer: str, table: str, keys: Sequence[str]) -> int:
+        """Merge the slices of a keyed table into one; returns how many there were.
 
-    It stays until the last of several writes at once has ended, then returns to what it was.
-    """
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    with _WRITES_LOCK:
-        count, before = _WRITES.get(spark, (0, ""))
-        if not count:
-            before = spark.conf.get(setting)
-            spark.conf.set(setting, "dynamic")
-        _WRITES[spark] = (count + 1, before)
-    try:
-        yield
-    finally:
-        with _WRITES_LOCK:
-            count, before = _WRITES[spark]
-            _WRITES[spark] = (count - 1, before)
-            if count == 1:
-                spark.conf.set(setting, before)
+        The merged slice is added before its parts go. A reader in between meets a
+        version twice, which changes nothing, and a slice added meanwhile stays.
+        """
+        target = self.name(layer, table)
+        merged = self._slices(target)
+        if len(merged) > 1:
+            parts = self.read(layer, table).where(F.col(SLICE).isin(*merged))
+            latest = _latest(parts, keys).drop(SLICE)
+            self._add_slice(latest, layer, table, f"c{uuid.uuid4().hex}")
+            gone = ", ".join(f"PARTITION (`{SLICE}` = '{name}')" for name in merged)
+            self.spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {gone}")
+        return len(merged)
+
+    def _add_slice(self, rows: DataFrame, layer: str, table: str, name: str) -> None:
+        """Rows become visible all at once, as one new partition."""
+        named = rows.withColumn(SLICE, F.lit(name))
+        folder = self._write_beside(named, layer, table, [SLICE])
+        self._point(self.name(layer, table), {SLICE: name}, folder)
+
+    def _slices(self, target: str) -> list[str]:
+        shown = self.spark.sql(f"SHOW PARTITIONS {target}").collect()
+        return [row["partition"].split("=", 1)[1] for row in shown]
+
+
+def _latest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row of each key. NULLs are one key; rows of one version are ordered by all columns."""
+    others = [name for name in rows.columns if name not in (*keys, VERSION, SLICE)]
+    newest = F.max(F.struct(VERSION, SLICE, *others)).alias("newest")
+    found = rows.groupBy(*keys).agg(newest)
+    return found.select(
+        *(F.col(n) if n in keys else F.col(f"newest.{n}").alias(n) for n in rows.columns)
+    )
+
+
+def _literal(value: object) -> str:
+    if isinstance(value, date):
+        return f"DATE '{value.isoformat()}'"
+    return str(value) if isinstance(value, int) else f"'{value}'"
 
 
 def _check_first(frame: DataFrame, target: str, odate: date) -> None:

@@ -105,7 +105,7 @@ class VitalStream:
 
     def _replace_days(self, rows: DataFrame, target: tuple[str, str]) -> None:
         dated = rows.withColumn("window_date", F.col("window_start").cast("date"))
-        self.lake.replace_days(dated, *target, day="window_date")
+        self.lake.replace_slices(dated, *target, by=["window_date"])
 
     def run(self, records: DataFrame, as_of=None) -> str:
         """A whole update; returns its id.

@@ -1,16 +1,13 @@
-"""Counters of long updates, writes at once, UTC texts and the landing of one date."""
+"""Counters of long updates, UTC texts and the landing of one date."""
 
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from sluice.session import scratch_path
 from sluice.sources.raw import list_landed
-from sluice.sources.tables import _dynamic_overwrite
 from sluice.streaming.journal import drained
 from sluice.streaming.publish import to_records
 
 RETAINED = "spark.sql.streaming.numRecentProgressUpdates"
-OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def test_progress_of_more_batches_than_the_query_retains(spark):
@@ -33,24 +30,6 @@ def test_progress_of_more_batches_than_the_query_retains(spark):
     assert sum(b["numInputRows"] for b in batches) == 120 == spark.read.parquet(f"{target}/rows").count()
 
 
-def test_overwrite_setting_returns_after_the_last_of_several_writes(spark):
-    before = spark.conf.get(OVERWRITE)
-    seen = []
-
-    def write(number):
-        with _dynamic_overwrite(spark):
-            seen.append(spark.conf.get(OVERWRITE))
-
-    with ThreadPoolExecutor(5) as pool:
-        list(pool.map(write, range(50)))
-    with _dynamic_overwrite(spark):
-        with _dynamic_overwrite(spark):
-            pass
-        assert spark.conf.get(OVERWRITE).lower() == "dynamic"
-    assert {s.lower() for s in seen} == {"dynamic"}
-    assert spark.conf.get(OVERWRITE) == before
-
-
 def test_record_times_do_not_depend_on_the_session_zone(spark):
     rows = spark.sql(
         "SELECT 1 AS patient_id, timestamp_micros(1704110400000000) AS a, "
