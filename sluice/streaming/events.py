@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.clock import instant
@@ -23,7 +25,8 @@ from sluice.streaming.contract import (
 )
 
 FATAL = "events violate the contract"
-LANES = 8
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def bronze_rows(records: DataFrame, as_of: datetime | Column | None = None) -> DataFrame:
@@ -86,31 +89,40 @@ def all_valid_or_fail(bronze: DataFrame) -> DataFrame:
     return parsed_rows(bronze).where(clean).select(*SILVER_FIELDS)
 
 
-def first_copies(events: DataFrame, lanes: int = LANES) -> DataFrame:
+def _without_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each Arrow batch with the first of the rows that agree in id and time."""
+    for batch in batches:
+        places = pa.array(range(batch.num_rows), pa.int64())
+        keys = pa.table([batch["event_id"], batch["event_time"], places], ["id", "time", "place"])
+        first = keys.group_by(["id", "time"], use_threads=False).aggregate([("place", "min")])
+        yield batch.take(first["place_min"].combine_chunks().sort())
+
+
+def first_copies(events: DataFrame, thin: bool = True) -> DataFrame:
     """The first copy per event id within the watermark (streaming only).
 
-    A streaming deduplication has no partial step before its shuffle. With
-    ``lanes > 1`` copies are first reduced per (id, input task modulo lanes), so
-    an id that fills a third of a micro-batch is spread over that many tasks and
-    the final step sees at most ``lanes`` copies of it.
+    One stateful step. It has no partial step before its shuffle, so a stateless one
+    goes ahead: of a batch of rows inside a task only one copy is sent on, and an id
+    that fills a third of a micro-batch costs its receiver one row for each of them.
     """
-    timed = events.withWatermark("event_time", WATERMARK)
-    if lanes > 1:
-        timed = (
-            timed.withColumn("_lane", F.pmod(F.spark_partition_id(), F.lit(lanes)))
-            .dropDuplicatesWithinWatermark(["event_id", "_lane"])
-            .drop("_lane")
-        )
-    return timed.dropDuplicatesWithinWatermark(["event_id"])
+    thinned = events.mapInArrow(_without_copies, events.schema) if thin else events
+    return thinned.withWatermark("event_time", WATERMARK).dropDuplicatesWithinWatermark(["event_id"])
+
 
+def require_disk_state(spark: SparkSession) -> None:
+    """25 hours of event ids belong into RocksDB, not into the executors' heaps."""
+    provider = spark.conf.get(STATE_PROVIDER)
+    if not provider.endswith("RocksDBStateStoreProvider"):
+        raise RuntimeError(f"set {STATE_PROVIDER} to {ROCKSDB}")
 
-def silver_rows(bronze: DataFrame, lanes: int = LANES) -> DataFrame:
+
+def silver_rows(bronze: DataFrame) -> DataFrame:
     """Checked events without repeated copies.
 
-    The check stands before the stateful operators, so no bad event can vanish as
+    The check stands before the stateful operator, so no bad event can vanish as
     a duplicate or as late data.
     """
-    return first_copies(all_valid_or_fail(bronze), lanes)
+    return first_copies(all_valid_or_fail(bronze))
 
 
 def producer_breaches(bronze: DataFrame) -> DataFrame:
@@ -121,68 +133,3 @@ def producer_breaches(bronze: DataFrame) -> DataFrame:
 
 def with_abnormal_flag(events: DataFrame) -> DataFrame:
     return events.withColumn("is_abnormal", is_abnormal())
-
-
-def _mean(column: str) -> Column:
-    return F.round(F.avg(column), 2)
-
-
-def _abnormal() -> Column:
-    return F.sum(F.col("is_abnormal").cast("long")).alias("abnormal_count")
-
-
-def _rate(total: str) -> Column:
-    return F.round(F.col("abnormal_count") / F.col(total), 4).alias("abnormal_rate")
-
-
-def patient_5m(events: DataFrame) -> DataFrame:
-    """Readings per patient and five-minute window."""
-    grouped = with_abnormal_flag(events).groupBy("patient_id", F.window("event_time", "5 minutes"))
-    measured = grouped.agg(
-        F.count("event_id").alias("measurement_count"),
-        _mean("heart_rate_bpm").alias("avg_heart_rate_bpm"),
-        F.min("oxygen_saturation_pct").alias("min_oxygen_saturation_pct"),
-        _mean("temperature_c").alias("avg_temperature_c"),
-        _mean("blood_pressure_systolic_mmhg").alias("avg_systolic_mmhg"),
-        _mean("blood_pressure_diastolic_mmhg").alias("avg_diastolic_mmhg"),
-        _abnormal(),
-        F.max("event_time").alias("last_event_time"),
-    )
-    return measured.select(
-        "patient_id",
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        "measurement_count",
-        "avg_heart_rate_bpm",
-        "min_oxygen_saturation_pct",
-        "avg_temperature_c",
-        "avg_systolic_mmhg",
-        "avg_diastolic_mmhg",
-        "abnormal_count",
-        _rate("measurement_count"),
-        "last_event_time",
-    )
-
-
-def population_hourly(events: DataFrame) -> DataFrame:
-    """Readings of all patients per hour, without any patient identifier."""
-    grouped = with_abnormal_flag(events).groupBy(F.window("event_time", "1 hour"))
-    measured = grouped.agg(
-        F.count("event_id").alias("event_count"),
-        F.count_distinct("patient_id").alias("patient_count"),
-        _mean("heart_rate_bpm").alias("avg_heart_rate_bpm"),
-        _mean("oxygen_saturation_pct").alias("avg_oxygen_saturation_pct"),
-        _mean("temperature_c").alias("avg_temperature_c"),
-        _abnormal(),
-    )
-    return measured.select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        "event_count",
-        "patient_count",
-        "avg_heart_rate_bpm",
-        "avg_oxygen_saturation_pct",
-        "avg_temperature_c",
-        "abnormal_count",
-        _rate("event_count"),
-    )

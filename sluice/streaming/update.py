@@ -1,8 +1,10 @@
-"""One streaming update: drain the source into Bronze, quarantine, Silver, Gold.
+"""One streaming update: drain the source into Bronze, quarantine, Silver, late events, Gold.
 
-Bronze, quarantine and Silver are separate queries with their own checkpoints, so
-a fatal event stops Silver only. Each run takes what is available and ends; a
-restart continues from the checkpoints.
+Each is a query of its own with its own checkpoint, so a fatal event stops Silver and what follows it
+only. A run takes what is available and ends; a restart continues from the checkpoints.
+
+Late events and Gold are written per micro-batch, under the number of the batch: a batch that is run
+again replaces what it wrote the first time.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,15 +24,24 @@ from sluice.streaming.contract import QUARANTINE_FIELDS, SILVER_FIELDS, event_ru
 from sluice.streaming.events import (
     bronze_rows,
     parsed_rows,
-    patient_5m,
-    population_hourly,
+    require_disk_state,
     silver_rows,
+    valid_rows,
 )
 from sluice.streaming.journal import OUTCOMES, WRITTEN, drained, log_rows, timeline_row
+from sluice.streaming.measures import (
+    patient_5m,
+    patient_5m_of,
+    population_hourly,
+    population_hourly_of,
+    stored_partials,
+)
 
 BRONZE = ("bronze", "vital_events_raw")
 QUARANTINE = ("quarantine", "vital_events")
 SILVER = ("silver", "vital_events")
+LATE = ("quarantine", "vital_events_late")
+PARTIALS = ("gold", "vital_partials")
 PATIENT_5M = ("gold", "vital_patient_5m")
 POPULATION_HOURLY = ("gold", "vital_population_hourly")
 EVENT_LOG = ("observability", "vital_pipeline_events")
@@ -42,15 +53,24 @@ MAX_FILES = 1_000
 
 @dataclass(frozen=True)
 class VitalStream:
-    """The stream's tables in ``lake``; ``checkpoints`` is a shared folder."""
+    """The stream's tables in ``lake``; ``checkpoints`` is a shared folder.
+
+    A micro-batch takes up to ``max_files`` files or, if given, up to ``max_bytes``
+    (one file at least).
+    """
 
     lake: Lake
     checkpoints: str
     max_files: int = MAX_FILES
     pipeline_id: str = "vitals"
+    max_bytes: int | None = None
 
     def _follow(self, layer: str, table: str) -> DataFrame:
-        reader = self.lake.spark.readStream.option("maxFilesPerTrigger", self.max_files)
+        reader = self.lake.spark.readStream
+        if self.max_bytes is None:
+            reader = reader.option("maxFilesPerTrigger", self.max_files)
+        else:
+            reader = reader.option("maxBytesPerTrigger", self.max_bytes)
         return reader.table(self.lake.name(layer, table))
 
     def _start(self, rows: DataFrame, target: tuple[str, str], day: str) -> StreamingQuery:
@@ -61,7 +81,7 @@ class VitalStream:
         counted = dated.observe(WRITTEN, F.count(F.lit(1)).alias("rows"))
         return (
             counted.writeStream.queryName(flow)
-            .format("parquet")
+            .format(self.lake.fmt)
             .partitionBy(f"{day}_date")
             .outputMode("append")
             .option("checkpointLocation", f"{self.checkpoints}/{flow}")
@@ -84,6 +104,7 @@ class VitalStream:
         return self._start(bad, QUARANTINE, "eventhub_enqueued_at")
 
     def start_silver(self) -> StreamingQuery:
+        require_disk_state(self.lake.spark)
         return self._start(silver_rows(self._follow(*BRONZE)), SILVER, "event_time")
 
     def silver(self) -> DataFrame:
@@ -92,6 +113,54 @@ class VitalStream:
     def quarantine(self) -> DataFrame:
         return self.lake.read(*QUARANTINE).select(*QUARANTINE_FIELDS, ERRORS)
 
+    def late(self) -> DataFrame:
+        return self.lake.read(*LATE).select(*SILVER_FIELDS)
+
+    def _each_batch(self, rows: DataFrame, target: tuple[str, str], write) -> StreamingQuery:
+        flow = "_".join(target)
+        return (
+            rows.writeStream.queryName(flow)
+            .option("checkpointLocation", f"{self.checkpoints}/{flow}")
+            .trigger(availableNow=True)
+            .foreachBatch(write)
+            .start()
+        )
+
+    def start_late(self) -> StreamingQuery:
+        """Valid events that Silver does not hold: it met them behind its watermark.
+
+        Runs after Silver has taken all of Bronze.
+        """
+        return self._each_batch(self._follow(*BRONZE), LATE, self._keep_late)
+
+    def _keep_late(self, rows: DataFrame, batch_id: int) -> None:
+        valid = valid_rows(rows)
+        day = F.col("event_time").cast("date")
+        first, last = valid.agg(F.min(day), F.max(day)).first()
+        if first is None:
+            return
+        held = self.lake.read(*SILVER).where(F.col("event_time_date").between(first, last))
+        late = valid.join(held.select("event_id"), "event_id", "left_anti")
+        kept = late.dropDuplicates(["event_id"]).select(*SILVER_FIELDS)
+        numbered = kept.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        self.lake.replace_slices(numbered, *LATE, by=["batch_id"])
+
+    def start_gold(self) -> StreamingQuery:
+        """Both aggregates of the days that new Silver rows fall into."""
+        return self._each_batch(self._follow(*SILVER), PARTIALS, self._fold)
+
+    def _fold(self, rows: DataFrame, batch_id: int) -> None:
+        """Store the new rows' partial aggregates, then merge those of their days.
+
+        Nothing but the new rows and the touched days' partial rows is read.
+        """
+        parts = _dated(stored_partials(rows)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        slices = self.lake.replace_slices(parts, *PARTIALS, by=["window_date", "batch_id"])
+        days = sorted({values["window_date"] for values in slices})
+        if days:
+            touched = self.lake.read(*PARTIALS).where(F.col("window_date").isin(*days))
+            self._publish(patient_5m_of(touched), population_hourly_of(touched))
+
     def refresh_gold(self, since: date | None = None) -> None:
         """Recompute both aggregates from Silver, or only the days from ``since`` on.
 
@@ -100,12 +169,11 @@ class VitalStream:
         events = self.lake.read(*SILVER)
         if since is not None:
             events = events.where(F.col("event_time_date") >= F.lit(since))
-        self._replace_days(patient_5m(events), PATIENT_5M)
-        self._replace_days(population_hourly(events), POPULATION_HOURLY)
+        self._publish(patient_5m(events), population_hourly(events))
 
-    def _replace_days(self, rows: DataFrame, target: tuple[str, str]) -> None:
-        dated = rows.withColumn("window_date", F.col("window_start").cast("date"))
-        self.lake.replace_slices(dated, *target, by=["window_date"])
+    def _publish(self, patients: DataFrame, population: DataFrame) -> None:
+        for rows, target in ((patients, PATIENT_5M), (population, POPULATION_HOURLY)):
+            self.lake.replace_slices(_dated(rows), *target, by=["window_date"])
 
     def run(self, records: DataFrame, as_of=None) -> str:
         """A whole update; returns its id.
@@ -113,6 +181,7 @@ class VitalStream:
         Raises if Silver met a bad event, after quarantining it. Either way the
         update is entered into the event log and the timeline.
         """
+        _require_utc(self.lake.spark)
         update_id = uuid.uuid4().hex
         started = datetime.now(timezone.utc)
         queries: dict[str, StreamingQuery] = {}
@@ -128,7 +197,9 @@ class VitalStream:
             finish("bronze", self.start_bronze(records, as_of))
             finish("quarantine", self.start_quarantine())
             finish("silver", self.start_silver())
-            self.refresh_gold()
+            # The journal has no entries of these two; a failure of theirs is the caller's.
+            for follower in (self.start_late(), self.start_gold()):
+                follower.awaitTermination()
             state = "COMPLETED"
         finally:
             self._journal(queries, batches, update_id, started, state)
@@ -152,3 +223,14 @@ class VitalStream:
             self.lake.append(entries, *EVENT_LOG)
         slice_row = timeline_row(spark, self.pipeline_id, update_id, started, finished, state)
         self.lake.append(slice_row, *TIMELINE)
+
+
+def _dated(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("window_date", F.col("window_start").cast("date"))
+
+
+def _require_utc(spark: SparkSession) -> None:
+    """Days and windows are those of UTC."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise RuntimeError(f"the session's time zone must be UTC, not {zone}")

@@ -15,12 +15,11 @@ from sluice.sources.broker import RECORD_DDL, consumer_options, read_replay
 from sluice.sources.tables import Lake
 from sluice.streaming.contract import EVENT_TYPE, PAYLOAD_FIELDS, SILVER_FIELDS, event_rules
 from sluice.streaming.events import (
+    STATE_PROVIDER,
     bronze_rows,
     classified_rows,
     first_copies,
     parsed_rows,
-    patient_5m,
-    population_hourly,
     producer_breaches,
     quarantined_rows,
     valid_rows,
@@ -28,6 +27,7 @@ from sluice.streaming.events import (
 from sluice.streaming.publish import publish_files, to_records
 from sluice.plans.monitoring import expectation_metrics, flow_metrics, pipeline_updates
 from sluice.streaming.journal import rule_outcomes
+from sluice.streaming.measures import patient_5m, population_hourly
 from sluice.streaming.update import VitalStream
 
 QUEUED = START + timedelta(hours=1)
@@ -234,8 +234,8 @@ def test_progress_counts_rules(spark, stream):
     assert totals["source_present"] == {"passed_records": 2, "failed_records": 0}
 
 
-@pytest.mark.parametrize("lanes", [1, 8])
-def test_late_events_are_dropped_and_counted(spark, lanes):
+@pytest.mark.parametrize("thin", [False, True])
+def test_late_events_are_dropped_and_counted(spark, thin):
     folder = scratch_path(spark, "late")
     # The watermark that drops late rows is the one before the previous micro-batch.
     days = timedelta(days=3)
@@ -245,7 +245,7 @@ def test_late_events_are_dropped_and_counted(spark, lanes):
     rows = valid_rows(bronze_rows(read_replay(spark, folder, 1)))
     home = scratch_path(spark, "late-out")
     query = (
-        first_copies(rows, lanes)
+        first_copies(rows, thin)
         .writeStream.format("parquet")
         .option("checkpointLocation", f"{home}/checkpoint")
         .trigger(availableNow=True)
@@ -261,3 +261,101 @@ def test_late_events_are_dropped_and_counted(spark, lanes):
     ]
     assert sum(dropped) >= 1
     assert EVENT_TYPE == kept[0]["event_type"]
+
+
+def test_late_events_go_aside_and_gold_rewrites_its_days_only(spark, stream):
+    folder = scratch_path(spark, "landing")
+    days = [START + timedelta(days=n) for n in (0, 3, 4)]
+
+    def land_at(moment, first, count, offset):
+        seen = [moment + timedelta(minutes=3 * n) for n in range(count)]
+        land(spark, folder, [event(first + n, **at(z(t))) for n, t in enumerate(seen)], offset, queued=moment + timedelta(hours=2))
+
+    def gold():
+        found = spark.table("gold.vital_population_hourly")
+        files = {r["window_date"]: r["f"] for r in found.select("window_date", F.col("_metadata.file_path").alias("f")).collect()}
+        return files, sum(r["event_count"] for r in found.collect())
+
+    land_at(days[0], 0, 20, 0)
+    land_at(days[1], 100, 20, 100)
+    stream.run(read_replay(spark, folder, 1))
+    before, events = gold()
+    assert events == 40 and len(before) == 2
+
+    # One new day, one more event of the last day, one copy, and two events of the first day: too late.
+    land_at(days[2], 200, 5, 200)
+    land_at(days[1], 100, 1, 300)
+    land_at(days[1] + timedelta(hours=5), 300, 1, 400)
+    land_at(days[0], 400, 2, 500)
+    stream.run(read_replay(spark, folder, 1))
+    after, events = gold()
+    assert events == 46 and stream.silver().count() == 46
+    assert sorted(r["event_id"] for r in stream.late().collect()) == sorted(event(n)["event_id"] for n in (400, 401))
+    changed = {day for day in after if after[day] != before.get(day)}
+    assert changed == {days[1].date(), days[2].date()}
+
+    # The same as a full recompute.
+    names = ("vital_patient_5m", "vital_population_hourly")
+
+    def rows():
+        return {t: sorted(map(str, spark.table(f"gold.{t}").collect())) for t in names}
+
+    merged = rows()
+    stream.refresh_gold()
+    assert rows() == merged
+
+    # A batch that is run again replaces what it wrote.
+    last = spark.table("silver.vital_events").where(F.col("event_time_date") == days[2].date())
+    stream._fold(last, 999)
+    once = rows()
+    stream._fold(last, 999)
+    assert rows() == once != merged
+
+
+def test_silver_has_one_stateful_step_on_disk(spark, stream):
+    folder = scratch_path(spark, "landing")
+    land(spark, folder, [event(i % 4) for i in range(40)], 0)
+    stream.start_bronze(read_replay(spark, folder)).awaitTermination()
+    query = stream.start_silver()
+    query.awaitTermination()
+    states = [p["stateOperators"] for p in query.recentProgress]
+    assert {len(s) for s in states} == {1}
+    assert any("rocksdb" in name for name in states[0][0]["customMetrics"])
+    # Of the copies in one task only one went through the shuffle.
+    assert max(s[0]["numRowsUpdated"] for s in states) == 4
+    assert sum(s[0]["customMetrics"]["numDroppedDuplicateRows"] for s in states) < 36
+    before = spark.conf.get(STATE_PROVIDER)
+    spark.conf.set(STATE_PROVIDER, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        with pytest.raises(RuntimeError, match="RocksDB"):
+            stream.start_silver()
+    finally:
+        spark.conf.set(STATE_PROVIDER, before)
+
+
+def test_updates_need_utc(spark, stream):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        with pytest.raises(RuntimeError, match="UTC"):
+            stream.run(None)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    folder, home = scratch_path(spark, "bytes"), scratch_path(spark, "bytes-out")
+    spark.range(0, 4000, 1, 20).selectExpr("id", "md5(CAST(id AS STRING)) AS m").write.parquet(folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
+    sizes = files.agg(F.max("length").alias("one"), F.sum("length").alias("all")).first()
+    lake = Lake(spark)
+    lake.ensure_layer("bounded")
+    spark.sql("DROP TABLE IF EXISTS bounded.source")
+    spark.sql(f"CREATE TABLE bounded.source USING parquet LOCATION '{folder}'")
+    stream = VitalStream(lake, home, max_bytes=3 * sizes["one"])
+    query = (
+        stream._follow("bounded", "source").writeStream.option("checkpointLocation", f"{home}/c")
+        .trigger(availableNow=True).start(f"{home}/rows")
+    )
+    query.awaitTermination()
+    taken = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    assert sum(taken) == 4000 and max(taken) <= 3 * 200 and len(taken) >= 6

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.checks import ERRORS, rule_outcomes
-from sluice.operators.rules import row_failed
 from sluice.session import scratch_path
 from sluice.streaming.contract import (
     PAYLOAD_FIELDS,
@@ -14,19 +14,23 @@ from sluice.streaming.contract import (
     event_rules,
 )
 from sluice.streaming.events import (
+    ROCKSDB,
+    STATE_PROVIDER,
     bronze_rows,
     classified_rows,
-    first_copies,
     parsed_rows,
-    patient_5m,
-    population_hourly,
     producer_breaches,
     quarantined_rows,
+    silver_rows,
     valid_rows,
     with_abnormal_flag,
 )
+from sluice.streaming.journal import drained
+from sluice.streaming.measures import patient_5m, population_hourly
+from sluice.streaming.update import VitalStream
 from sluice.streaming.publish import to_records
 from workload.derive import DERIVED, Spark, frame, load, sql
+from workload.lake import fresh_lake
 from workload.registry import error_list, half_up, register
 
 
@@ -174,27 +178,25 @@ def _windowed_sql(width: str, key: str, measures: str, last: str = "") -> str:
     )
 
 
-register(
-    "vitals_patient_5m",
-    lambda s, d: patient_5m(valid_rows(bronze(s, d))),
-    _windowed_sql(
-        "5 MINUTE",
-        "patient_id, ",
-        f"n AS measurement_count, {half_up('hr', 2)} AS avg_heart_rate_bpm, "
-        f"low AS min_oxygen_saturation_pct, {half_up('temp', 2)} AS avg_temperature_c, "
-        f"{half_up('sys', 2)} AS avg_systolic_mmhg, {half_up('dia', 2)} AS avg_diastolic_mmhg",
-        ", seen AS last_event_time",
-    ),
+PATIENT_5M_SQL = _windowed_sql(
+    "5 MINUTE",
+    "patient_id, ",
+    f"n AS measurement_count, {half_up('hr', 2)} AS avg_heart_rate_bpm, "
+    f"low AS min_oxygen_saturation_pct, {half_up('temp', 2)} AS avg_temperature_c, "
+    f"{half_up('sys', 2)} AS avg_systolic_mmhg, {half_up('dia', 2)} AS avg_diastolic_mmhg",
+    ", seen AS last_event_time",
+)
+HOURLY_SQL = _windowed_sql(
+    "1 HOUR",
+    "",
+    f"n AS event_count, people AS patient_count, {half_up('hr', 2)} AS avg_heart_rate_bpm, "
+    f"{half_up('ox', 2)} AS avg_oxygen_saturation_pct, {half_up('temp', 2)} AS avg_temperature_c",
 )
+register("vitals_patient_5m", lambda s, d: patient_5m(valid_rows(bronze(s, d))), PATIENT_5M_SQL)
 register(
     "vitals_population_hourly",
     lambda s, d: population_hourly(valid_rows(bronze(s, d))),
-    _windowed_sql(
-        "1 HOUR",
-        "",
-        f"n AS event_count, people AS patient_count, {half_up('hr', 2)} AS avg_heart_rate_bpm, "
-        f"{half_up('ox', 2)} AS avg_oxygen_saturation_pct, {half_up('temp', 2)} AS avg_temperature_c",
-    ),
+    HOURLY_SQL,
 )
 register(
     "event_records",
@@ -238,11 +240,49 @@ def _drained(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(f"{home}/rows")
 
 
+def _valid_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The broker records whose events break no rule."""
+    return _as_records(classified_rows(bronze(spark, sf_dir)).where(F.size(ERRORS) == 0))
+
+
+def _as_records(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        F.col("event_key").alias("key"),
+        F.col("raw_payload").alias("value"),
+        F.col("eventhub_name").alias("topic"),
+        F.col("eventhub_partition").alias("partition"),
+        F.col("eventhub_offset").alias("offset"),
+        F.col("eventhub_enqueued_at").alias("timestamp"),
+        F.col("ingested_at").alias("arrived"),
+    )
+
+
+class _Landing:
+    """A folder of broker records that grows between updates of one stream."""
+
+    def __init__(self, spark: SparkSession, label: str, **options):
+        # The stream keeps its ids in RocksDB and does not start without it.
+        spark.conf.set(STATE_PROVIDER, ROCKSDB)
+        self.spark = spark
+        self.folder = scratch_path(spark, f"{label}-records")
+        lake = fresh_lake(spark, label)
+        self.stream = VitalStream(lake, scratch_path(spark, f"{label}-checkpoints"), **options)
+
+    def update(self, records: DataFrame) -> None:
+        records.write.mode("append").parquet(self.folder)
+        source = self.spark.readStream.schema(records.schema).parquet(self.folder)
+        self.stream.run(source, as_of=F.col("arrived"))
+
+
 def stream_silver(spark, sf_dir) -> DataFrame:
-    """Every event arrives twice; valid ones are kept once."""
-    twice = _bronze_stream(spark, sf_dir).union(_bronze_stream(spark, sf_dir))
-    valid = parsed_rows(twice).where(~row_failed(event_rules())).select(*SILVER_FIELDS)
-    return _drained(spark, first_copies(valid), "stream-silver")
+    """Every valid event arrives twice and is kept once, through the rows of a Silver update."""
+    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    folder = scratch_path(spark, "stream-silver-records")
+    records = _valid_records(spark, sf_dir)
+    records.union(records).write.parquet(folder)
+    source = spark.readStream.schema(records.schema).parquet(folder)
+    rows = silver_rows(bronze_rows(source, as_of=F.col("arrived")))
+    return _drained(spark, rows, "stream-silver")
 
 
 _FIRST_SQL = f"SELECT DISTINCT ON (event_id) * FROM ({SILVER_SQL}) f"
@@ -261,11 +301,117 @@ register(
 )
 register(
     "stream_vitals_patient_5m",
-    lambda s, d: patient_5m(stream_silver(s, d)).select(
-        "patient_id", "window_start", "measurement_count", "abnormal_count"
-    ),
-    "SELECT patient_id, time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start, "
-    "count(event_id) AS measurement_count, "
-    f"CAST(sum(CAST({_ABNORMAL} AS INT)) AS BIGINT) AS abnormal_count FROM ({_FIRST_SQL}) s "
-    "GROUP BY ALL",
+    lambda s, d: patient_5m(stream_silver(s, d)),
+    PATIENT_5M_SQL.replace(SILVER_SQL, _FIRST_SQL),
+)
+
+#: The moment that parts the updates of one stream, inside a day.
+_CUT = "TIMESTAMP '2024-01-16 15:00:00'"
+#: How long before it some events still come with the second update, within the watermark.
+_OVERLAP = "INTERVAL 20 HOUR"
+_EVENT_TIME = "CAST(get_json_object(value, '$.event_time') AS TIMESTAMP)"
+
+
+def _two_updates(spark, sf_dir, label: str) -> VitalStream:
+    """All valid events in two updates; days before the cut get rows from both."""
+    landing = _Landing(spark, label)
+    second = (
+        f"{_EVENT_TIME} >= {_CUT} OR ({_EVENT_TIME} >= {_CUT} - {_OVERLAP} AND offset % 3 = 0)"
+    )
+    records = _valid_records(spark, sf_dir)
+    landing.update(records.where(f"NOT ({second})"))
+    landing.update(records.where(second))
+    return landing.stream
+
+
+def stream_gold_patient_5m(spark, sf_dir) -> DataFrame:
+    """Gold after an update that only reads and rewrites its own days."""
+    stream = _two_updates(spark, sf_dir, "gold-patient")
+    return stream.lake.read("gold", "vital_patient_5m").drop("window_date")
+
+
+def stream_gold_hourly(spark, sf_dir) -> DataFrame:
+    stream = _two_updates(spark, sf_dir, "gold-hourly")
+    return stream.lake.read("gold", "vital_population_hourly").drop("window_date")
+
+
+register("stream_gold_patient_5m", stream_gold_patient_5m, PATIENT_5M_SQL)
+register("stream_gold_hourly", stream_gold_hourly, HOURLY_SQL)
+
+
+def stream_late_events(spark, sf_dir) -> DataFrame:
+    """Events before the cut come after those behind it: what the watermark shuts out."""
+    landing = _Landing(spark, "late")
+    records = _valid_records(spark, sf_dir)
+    landing.update(records.where(f"{_EVENT_TIME} < {_CUT}"))
+    landing.update(records.where(f"{_EVENT_TIME} >= {_CUT} AND offset % 2 = 0"))
+    # The update before has moved the watermark to 25 hours before its latest event.
+    landing.update(records.where(f"{_EVENT_TIME} >= {_CUT} AND offset % 2 = 1"))
+    return landing.stream.late()
+
+
+register(
+    "stream_late_events",
+    stream_late_events,
+    f"WITH valid AS ({SILVER_SQL}) SELECT * FROM valid WHERE event_time >= {_CUT} "
+    "AND eventhub_offset % 2 = 1 AND event_time < (SELECT max(event_time) FROM valid "
+    f"WHERE event_time >= {_CUT} AND eventhub_offset % 2 = 0) - INTERVAL 25 HOUR",
+)
+
+
+def stream_fatal_event(spark, sf_dir) -> DataFrame:
+    """Rows of each table after a good update and one with events that break rules."""
+    landing = _Landing(spark, "fatal")
+    classified = classified_rows(bronze(spark, sf_dir))
+    first = f"event_time < {_CUT}"
+    landing.update(_as_records(classified.where((F.size(ERRORS) == 0) & F.expr(first))))
+    rest = classified.where((F.size(ERRORS) > 0) | ~F.coalesce(F.expr(first), F.lit(False)))
+    try:
+        landing.update(_as_records(rest))
+    except StreamingQueryException:
+        lake = landing.stream.lake
+        counted = [
+            lake.read(layer, name).agg(F.lit(layer).alias("layer"), F.count(F.lit(1)).alias("rows"))
+            for layer, name in (
+                ("bronze", "vital_events_raw"),
+                ("quarantine", "vital_events"),
+                ("silver", "vital_events"),
+            )
+        ]
+        return counted[0].union(counted[1]).union(counted[2])
+    raise AssertionError("an update with bad events went through")
+
+
+register(
+    "stream_fatal_event",
+    stream_fatal_event,
+    f"SELECT 'bronze' AS layer, count(*) AS rows FROM ({BRONZE_SQL}) b UNION ALL "
+    f"SELECT 'quarantine', count(*) FROM ({QUARANTINE_SQL}) q UNION ALL "
+    f"SELECT 'silver', count(*) FROM ({SILVER_SQL}) s WHERE event_time < {_CUT}",
+)
+
+
+def stream_bounded_batches(spark, sf_dir) -> DataFrame:
+    """A drain of Bronze by bytes: its rows, and whether it took as many batches as the bound asks."""
+    records = _valid_records(spark, sf_dir)
+    landing = _Landing(spark, "bounded")
+    # Files well below the bound, whatever the size of the table.
+    records.repartition(64).write.parquet(landing.folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    size = files.load(landing.folder).agg(F.sum("length")).first()[0]
+    bound = size // 8
+    source = spark.readStream.schema(records.schema).option("maxBytesPerTrigger", bound)
+    batches = drained(
+        landing.stream.start_bronze(source.parquet(landing.folder), F.col("arrived"))
+    )
+    taken = [b["numInputRows"] for b in batches if b["numInputRows"]]
+    return landing.stream.lake.read("bronze", "vital_events_raw").agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(len(taken) >= 8).alias("bounded")
+    )
+
+
+register(
+    "stream_bounded_batches",
+    stream_bounded_batches,
+    f"SELECT count(*) AS rows, true AS bounded FROM ({SILVER_SQL}) s",
 )
