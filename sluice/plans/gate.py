@@ -17,7 +17,7 @@ from pyspark.sql.types import (
 )
 
 from sluice.functions.masking import mask_columns
-from sluice.model import ENTITIES
+from sluice.model import BUSINESS_DATE, ENTITIES, LINEAGE
 from sluice.operators.checks import rejected, tally
 from sluice.operators.cleaning import clean, snapshot_of
 from sluice.plans.rulebook import BEFORE_SILVER, SOURCE_LAYER, rules_for
@@ -27,6 +27,9 @@ CONTROL_LAYER = "observability"
 METRICS_TABLE = "dq_run_metrics"
 APPROVAL_TABLE = "dq_promotion_control"
 QUARANTINE_LAYER = "quarantine"
+# Cleaned rows of a date as the gate before Silver has checked them.
+STAGING_LAYER = "staging"
+RUN = "_dq_run_id"
 APPROVAL_KEYS = ("dq_stage", "odate")
 
 METRICS_SCHEMA = StructType(
@@ -97,9 +100,28 @@ def gate_input(lake: Lake, stage: str, entity: str, odate: date) -> DataFrame:
     return lake.partition(layer, entity, odate)
 
 
-def checked_rows(source: DataFrame, stage: str, entity: str) -> DataFrame:
-    """What the rules see: cleaned rows before Silver, stored rows before Gold."""
-    return clean(source, entity, for_gate=True) if stage == BEFORE_SILVER else source
+def stage_rows(
+    lake: Lake, source: DataFrame, entity: str, odate: date, run_id: str
+) -> DataFrame | None:
+    """The cleaned rows of a date, written once; None if cleaning leaves nothing.
+
+    The counters, the quarantine and the promotion all read them, so a snapshot is
+    deduplicated and typed once, and what is promoted is what was checked.
+    """
+    cleaned = clean(source, entity, for_gate=True).withColumn(RUN, F.lit(run_id))
+    lake.drop_if_other(cleaned.schema, STAGING_LAYER, entity)
+    if not lake.replace_slices(cleaned, STAGING_LAYER, entity, by=[BUSINESS_DATE]):
+        return None
+    return lake.partition(STAGING_LAYER, entity, odate).drop(RUN)
+
+
+def staged_rows(lake: Lake, entity: str, odate: date, run_id: str) -> DataFrame | None:
+    """The Silver columns of the rows that ``run_id`` has checked, None if they are gone."""
+    if not lake.exists(STAGING_LAYER, entity):
+        return None
+    rows = lake.partition(STAGING_LAYER, entity, odate).where(F.col(RUN) == run_id)
+    typed = [name for name, _, _ in ENTITIES[entity].typed]
+    return None if rows.isEmpty() else rows.select(*typed, BUSINESS_DATE, *LINEAGE)
 
 
 def check_table(
@@ -113,8 +135,8 @@ def check_table(
 ) -> TableVerdict:
     """Count, check and, only if rows are bad, quarantine one table.
 
-    The input count reads no column; one aggregate gives all other counters; bad
-    rows are written by name of the run, masked.
+    The input count reads no column; one aggregate over the staged rows gives all
+    other counters; bad rows are written by name of the run, masked.
     """
     source_name = lake.name(SOURCE_LAYER[stage], entity)
     quarantine = f"{stage}_{entity}"
@@ -136,10 +158,12 @@ def check_table(
         return verdict(0, 0, 0, f"no rows found for odate={odate.isoformat()}")
 
     rules = rules_for(stage, entity, as_of)
-    checked = checked_rows(source, stage, entity)
-    counts = tally(checked, rules).first()
-    if counts["checked_rows"] == 0:
+    checked = source
+    if stage == BEFORE_SILVER:
+        checked = stage_rows(lake, source, entity, odate, run_id)
+    if checked is None:
         return verdict(input_rows, 0, 0, "cleaning produced an empty snapshot")
+    counts = tally(checked, rules).first()
     if counts["quarantined_rows"]:
         bad = rejected(checked, rules, repeated=counts["repeated_keys"])
         labels = {
@@ -254,11 +278,15 @@ def approvals(lake: Lake) -> DataFrame:
     return stored.select("dq_stage", "odate", "dq_run_id", "approved_at")
 
 
-def require_approval(lake: Lake, stage: str, odate: date) -> None:
+def require_approval(lake: Lake, stage: str, odate: date) -> str:
+    """The run that has approved the date, or an error."""
     if not lake.exists(CONTROL_LAYER, APPROVAL_TABLE):
         raise NotApproved(
             f"control table {lake.name(CONTROL_LAYER, APPROVAL_TABLE)} does not exist"
         )
     wanted = (F.col("dq_stage") == stage) & (F.col("odate") == F.lit(odate))
-    if approvals(lake).where(wanted).isEmpty():
+    # One row at most: the table is keyed by stage and date.
+    found = approvals(lake).where(wanted).first()
+    if found is None:
         raise NotApproved(f"odate={odate.isoformat()} is not approved for stage {stage}")
+    return found["dq_run_id"]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from sluice.model import ENTITIES
 from sluice.operators.cleaning import clean, snapshot_of
 from sluice.operators.kpi import daily_kpi
-from sluice.plans.gate import require_approval, run_gate
+from sluice.plans.gate import require_approval, run_gate, staged_rows
 from sluice.plans.rulebook import BEFORE_GOLD, BEFORE_SILVER
 from sluice.sources.raw import read_raw_csv
 from sluice.sources.tables import Lake
@@ -28,9 +28,13 @@ def silver_rows(lake: Lake, entity: str, odate: date) -> DataFrame:
 
 
 def promote_silver(lake: Lake, odate: date) -> None:
-    require_approval(lake, BEFORE_SILVER, odate)
+    """The rows that the approving run has checked; cleaned again if a later run replaced them."""
+    run_id = require_approval(lake, BEFORE_SILVER, odate)
     for entity in ENTITIES:
-        lake.replace_partition(silver_rows(lake, entity, odate), "silver", entity, odate)
+        rows = staged_rows(lake, entity, odate, run_id)
+        if rows is None:
+            rows = silver_rows(lake, entity, odate)
+        lake.replace_partition(rows, "silver", entity, odate)
 
 
 def gold_rows(lake: Lake, entity: str, odate: date) -> DataFrame:

@@ -219,6 +219,14 @@ class Lake:
             else:
                 self.spark.sql(f"ALTER TABLE {old} RENAME TO {target}")
 
+    def drop_if_other(self, schema: StructType, layer: str, table: str) -> None:
+        """Drop a table of working rows that an older release has written in another shape."""
+        target = self.name(layer, table)
+        if self.exists(layer, table) and _shape(self.spark.read.table(target).schema) != _shape(
+            schema
+        ):
+            self.spark.sql(f"DROP TABLE {target}")
+
     def replace_slices(
         self, rows: DataFrame, layer: str, table: str, by: Sequence[str]
     ) -> list[dict[str, object]]:

@@ -207,3 +207,20 @@ def test_silver_reads_one_bronze_partition(lake, root):
     assert plan.count("WindowGroupLimit") == 2
     files = rows.select(F.col("_source_file")).distinct().count()
     assert files == 1
+
+
+def test_silver_is_what_the_gate_has_checked(lake, root):
+    write_raw(root, ODATE, GOOD)
+    medallion.ingest_bronze(lake, root, ODATE, AS_OF)
+    gate.run_gate(lake, BEFORE_SILVER, ODATE, "r1", AS_OF)
+    # Bronze changes after the approval; the promotion publishes the rows of the approved run.
+    write_raw(root, ODATE, broken("hospitals", "3,Zero,Public,PE,Recife,0,2026-01-01"))
+    medallion.ingest_bronze(lake, root, ODATE, AS_OF)
+    plan = gate.staged_rows(lake, "hospitals", ODATE, "r1")._jdf.queryExecution().executedPlan()
+    assert "Exchange" not in plan.toString() and "Window" not in plan.toString()
+    medallion.promote_silver(lake, ODATE)
+    assert lake.partition("silver", "hospitals", ODATE).count() == 2
+    # The rows of another run are not taken for those of the approved one.
+    assert gate.staged_rows(lake, "hospitals", ODATE, "r2") is None
+    expected = medallion.silver_rows(lake, "doctors", ODATE)
+    assert sorted(lake.read("silver", "doctors").columns) == sorted(expected.columns)
