@@ -50,18 +50,29 @@ def roll_up_slices(slices: DataFrame, keys: Sequence[str], as_of: AsOf = None) -
     return recent.groupBy(*keys).agg(*measures)
 
 
+def _inside(timeline: DataFrame, workspace_id: str | None) -> DataFrame:
+    """The rows of one workspace; run timelines hold those of all that share an account."""
+    if workspace_id is None:
+        return timeline
+    return timeline.where(F.col("workspace_id") == workspace_id)
+
+
 def _newest(run_key: str) -> list[Column]:
     """Newest first; the id keeps runs of one instant apart when sorting by range."""
     return [F.col("started_at").desc(), F.col(run_key)]
 
 
-def pipeline_updates(timeline: DataFrame, pipeline_id: str, as_of: AsOf = None) -> DataFrame:
-    mine = timeline.where(F.col("pipeline_id") == pipeline_id).drop("termination_code")
+def pipeline_updates(
+    timeline: DataFrame, pipeline_id: str, as_of: AsOf = None, workspace_id: str | None = None
+) -> DataFrame:
+    mine = _inside(timeline, workspace_id).where(F.col("pipeline_id") == pipeline_id).drop("termination_code")
     return roll_up_slices(mine, ["update_id"], as_of).orderBy(*_newest("update_id"))
 
 
-def job_runs(timeline: DataFrame, job_id: str, as_of: AsOf = None) -> DataFrame:
-    mine = timeline.where(F.col("job_id") == job_id)
+def job_runs(
+    timeline: DataFrame, job_id: str, as_of: AsOf = None, workspace_id: str | None = None
+) -> DataFrame:
+    mine = _inside(timeline, workspace_id).where(F.col("job_id") == job_id)
     return roll_up_slices(mine, ["run_id"], as_of).orderBy(*_newest("run_id"))
 
 
@@ -80,8 +91,9 @@ def batch_runs(
     job_ids: Sequence[str],
     labels: Mapping[str, str],
     as_of: AsOf = None,
+    workspace_id: str | None = None,
 ) -> DataFrame:
-    mine = timeline.where(F.col("job_id").isin(*job_ids))
+    mine = _inside(timeline, workspace_id).where(F.col("job_id").isin(*job_ids))
     return (
         roll_up_slices(mine, ["job_id", "run_id"], as_of)
         .select(
@@ -103,9 +115,15 @@ def _latest_duration(run_key: str) -> Column:
     return F.max_by("duration_seconds", F.struct("started_at", run_key))
 
 
-def batch_health(timeline: DataFrame, job_ids: Sequence[str], as_of: AsOf = None) -> DataFrame:
+def batch_health(
+    timeline: DataFrame,
+    job_ids: Sequence[str],
+    as_of: AsOf = None,
+    workspace_id: str | None = None,
+) -> DataFrame:
     """Always one row, also when there are no runs."""
-    runs = roll_up_slices(timeline.where(F.col("job_id").isin(*job_ids)), ["run_id"], as_of)
+    mine = _inside(timeline, workspace_id).where(F.col("job_id").isin(*job_ids))
+    runs = roll_up_slices(mine, ["run_id"], as_of)
     return runs.agg(
         F.count_if(is_failed()).alias("failed_runs"),
         F.count_if(F.upper(F.col("result_state")) == "RUNNING").alias("running_runs"),
@@ -119,11 +137,13 @@ def streaming_health(
     jobs: DataFrame,
     job_id: str,
     as_of: AsOf = None,
+    workspace_id: str | None = None,
 ) -> DataFrame:
     """Always one row: failed updates, last update duration, failed runs."""
-    own = updates.where(F.col("pipeline_id") == pipeline_id)
+    own = _inside(updates, workspace_id).where(F.col("pipeline_id") == pipeline_id)
+    runs = _inside(jobs, workspace_id).where(F.col("job_id") == job_id)
     by_update = roll_up_slices(own, ["update_id"], as_of)
-    by_run = roll_up_slices(jobs.where(F.col("job_id") == job_id), ["run_id"], as_of)
+    by_run = roll_up_slices(runs, ["run_id"], as_of)
     failed_runs = by_run.agg(F.count_if(is_failed()).alias("n"))
     return by_update.agg(
         F.count_if(is_failed()).alias("failed_updates"),

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sluice.operators.checks import ERRORS, rejected
+from sluice.operators.checks import ERRORS, rejected, rule_outcomes
 from sluice.operators.rules import row_rules
 from sluice.sources.tables import Lake
 from sluice.streaming.contract import QUARANTINE_FIELDS, SILVER_FIELDS, event_rules
@@ -44,6 +44,7 @@ LATE = ("quarantine", "vital_events_late")
 PARTIALS = ("gold", "vital_partials")
 PATIENT_5M = ("gold", "vital_patient_5m")
 POPULATION_HOURLY = ("gold", "vital_population_hourly")
+RULE_COUNTS = ("observability", "vital_rule_counts")
 EVENT_LOG = ("observability", "vital_pipeline_events")
 TIMELINE = ("observability", "pipeline_update_timeline")
 
@@ -103,6 +104,24 @@ class VitalStream:
         bad = rejected(counted, rules).select(*QUARANTINE_FIELDS, ERRORS)
         return self._start(bad, QUARANTINE, "eventhub_enqueued_at")
 
+    def start_rule_counts(self) -> StreamingQuery:
+        """Passed and failed events of each rule, kept under the number of the micro-batch.
+
+        A batch that is run again replaces its counts, so they are exact.
+        """
+        return self._each_batch(self._follow(*BRONZE), RULE_COUNTS, self._count_rules)
+
+    def _count_rules(self, rows: DataFrame, batch_id: int) -> None:
+        counts = rule_outcomes(parsed_rows(rows), event_rules())
+        numbered = counts.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        self.lake.replace_slices(numbered, *RULE_COUNTS, by=["batch_id"])
+
+    def rule_counts(self) -> DataFrame:
+        """Passed and failed events of each rule since the stream began."""
+        stored = self.lake.read(*RULE_COUNTS)
+        names = ("passed_records", "failed_records")
+        return stored.groupBy("dq_rule").agg(*(F.sum(n).alias(n) for n in names))
+
     def start_silver(self) -> StreamingQuery:
         require_disk_state(self.lake.spark)
         return self._start(silver_rows(self._follow(*BRONZE)), SILVER, "event_time")
@@ -196,8 +215,9 @@ class VitalStream:
         try:
             finish("bronze", self.start_bronze(records, as_of))
             finish("quarantine", self.start_quarantine())
+            self.start_rule_counts().awaitTermination()
             finish("silver", self.start_silver())
-            # The journal has no entries of these two; a failure of theirs is the caller's.
+            # The journal has no entries of these; a failure of theirs is the caller's.
             for follower in (self.start_late(), self.start_gold()):
                 follower.awaitTermination()
             state = "COMPLETED"

@@ -261,6 +261,7 @@ def records(d) -> tuple[str, dict[str, str]]:
 def slices(d) -> tuple[str, dict[str, str]]:
     """Events as time slices of runs: a user's events of one day form one run."""
     return "events", {
+        "workspace_id": "CASE WHEN event_type = 'signup' THEN 'w2' ELSE 'w1' END",
         "job_id": f"CAST(length({text('user_id')}) AS STRING)",
         "pipeline_id": f"'p' || CAST(length({text('user_id')}) AS STRING)",
         "run_id": f"{text('user_id')} || '-' || {text('CAST(ts AS DATE)')}",

@@ -134,14 +134,15 @@ register(
 )
 register("event_quarantine", lambda s, d: _named(quarantined_rows(bronze(s, d))), QUARANTINE_SQL)
 register("event_silver", lambda s, d: valid_rows(bronze(s, d)), SILVER_SQL)
+OUTCOMES_SQL = " UNION ALL ".join(
+    f"SELECT '{n}' AS dq_rule, count(*) FILTER (WHERE coalesce({p}, false)) AS passed_records, "
+    f"count(*) FILTER (WHERE NOT coalesce({p}, false)) AS failed_records FROM ({PARSED_SQL}) p"
+    for n, p in EVENT_RULES_SQL.items()
+)
 register(
     "event_rule_outcomes",
     lambda s, d: rule_outcomes(parsed_rows(bronze(s, d)), event_rules()),
-    " UNION ALL ".join(
-        f"SELECT '{n}' AS dq_rule, count(*) FILTER (WHERE coalesce({p}, false)) AS passed_records, "
-        f"count(*) FILTER (WHERE NOT coalesce({p}, false)) AS failed_records FROM ({PARSED_SQL}) p"
-        for n, p in EVENT_RULES_SQL.items()
-    ),
+    OUTCOMES_SQL,
 )
 _PRODUCER_SQL = {
     "heart_rate_produced": "heart_rate_bpm BETWEEN 40 AND 180",
@@ -415,3 +416,21 @@ register(
     stream_bounded_batches,
     f"SELECT count(*) AS rows, true AS bounded FROM ({SILVER_SQL}) s",
 )
+
+
+def stream_rule_outcomes(spark, sf_dir) -> DataFrame:
+    """Rule counters of a stream in several micro-batches, one of them run twice."""
+    landing = _Landing(spark, "outcomes", max_files=60)
+    stream = landing.stream
+    _as_records(bronze(spark, sf_dir)).repartition(6).write.parquet(landing.folder)
+    records = spark.read.parquet(landing.folder)
+    source = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 2)
+    stream.start_bronze(source.parquet(landing.folder), F.col("arrived")).awaitTermination()
+    stream.start_rule_counts().awaitTermination()
+    counts = stream.lake.read("observability", "vital_rule_counts")
+    again = counts.where("batch_id = 0")
+    stream.lake.replace_slices(again, "observability", "vital_rule_counts", by=["batch_id"])
+    return stream.rule_counts()
+
+
+register("stream_rule_outcomes", stream_rule_outcomes, OUTCOMES_SQL)

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from sluice.model import CORRUPT, ENTITIES
 from sluice.session import scratch_path
+from sluice.sources.raw import partition_path, read_raw_csv
 from sluice.sources.tables import Lake, PartitionContract
-from workload.derive import ODATE, load
+from workload.derive import AS_OF, DAY_SQL, NOW_SQL, ODATE, frame, load, sql
 from workload.registry import register
 
 NEXT = ODATE + timedelta(days=1)
@@ -146,3 +148,51 @@ register(
     "SELECT o_orderkey, o_custkey, NULL AS o_orderstatus FROM orders UNION ALL "
     "SELECT o_orderkey, NULL, o_orderstatus FROM orders",
 )
+
+
+#: Lines of the landed files that do not fit: too short, too long.
+_SHORT, _LONG = "p_partkey % 7 = 0", "p_partkey % 11 = 0"
+_RAW = ENTITIES["doctors"].raw
+
+
+def _line(columns) -> str:
+    return "concat_ws(',', " + ", ".join(f"coalesce({c}, '')" for c in columns) + ")"
+
+
+def _lines(short: str, long: str) -> str:
+    return (
+        f"CASE WHEN {short} THEN {_line(_RAW[:2])} WHEN {long} THEN {_line(_RAW)} || ',more' "
+        f"ELSE {_line(_RAW)} END"
+    )
+
+
+def csv_bronze(spark, sf_dir) -> DataFrame:
+    """Doctors landed as CSV with broken lines, ingested into Bronze and read back."""
+    root = scratch_path(spark, "landing")
+    number = "CAST(doctor_id AS BIGINT) AS p_partkey"
+    lines = frame(spark, sf_dir, "doctors").selectExpr("*", number)
+    # One column that is named like the header; no value holds the separator.
+    landed = lines.selectExpr(f"{_lines(_SHORT, _LONG)} AS `{','.join(_RAW)}`")
+    landed.write.options(header=True, sep="\u0001").csv(partition_path(root, "doctors", ODATE))
+    lake = fresh_lake(spark, "csv")
+    lake.replace_partition(
+        read_raw_csv(spark, root, "doctors", ODATE, AS_OF), "bronze", "doctors", ODATE
+    )
+    folder = F.regexp_extract("_source_file", "/(doctors/odate=[0-9-]+)/[^/]+[.]csv$", 1)
+    return lake.partition("bronze", "doctors", ODATE).withColumn("_source_file", folder)
+
+
+def _read_back(column: str) -> str:
+    value = f"nullif({column}, '')"
+    return value if column in _RAW[:2] else f"CASE WHEN NOT {_SHORT} THEN {value} END"
+
+
+register(
+    "csv_bronze",
+    csv_bronze,
+    "SELECT "
+    + ", ".join(f"{_read_back(c)} AS {c}" for c in _RAW)
+    + f", CASE WHEN {_SHORT} OR {_LONG} THEN {_lines(_SHORT, _LONG)} END AS {CORRUPT}, "
+    f"'doctors/odate={ODATE}' AS _source_file, {NOW_SQL} AS _ingested_at, {DAY_SQL} AS odate "
+    f"FROM (SELECT *, CAST(doctor_id AS BIGINT) AS p_partkey FROM ({sql('doctors')}) d) r",
+)

@@ -21,6 +21,7 @@ PIPELINE = "vitals"
 JOBS = ("1", "2", "3")
 LABELS = {"1": "Medallion", "2": "Gate"}
 STREAM_JOB = "3"
+WORKSPACE = "w1"
 UPDATES_OF = "p2"
 _BAD = "upper(result_state) IN ('FAILED', 'CANCELED', 'CANCELLED', 'TIMED_OUT', 'ERROR')"
 
@@ -44,9 +45,12 @@ def _rolled_sql(keys: str, where: str, termination: bool = True) -> str:
     )
 
 
-_UPDATES_SQL = _rolled_sql("update_id", f"pipeline_id = '{UPDATES_OF}'", termination=False)
-_JOB_SQL = _rolled_sql("run_id", f"job_id = '{STREAM_JOB}'")
-_BATCH_SLICES_SQL = _rolled_sql("job_id, run_id", "job_id IN ('1', '2', '3')")
+_HERE = f"workspace_id = '{WORKSPACE}' AND "
+_UPDATES_SQL = _rolled_sql(
+    "update_id", f"{_HERE}pipeline_id = '{UPDATES_OF}'", termination=False
+)
+_JOB_SQL = _rolled_sql("run_id", f"{_HERE}job_id = '{STREAM_JOB}'")
+_BATCH_SLICES_SQL = _rolled_sql("job_id, run_id", f"{_HERE}job_id IN ('1', '2', '3')")
 _BATCH_SQL = (
     "SELECT CASE job_id WHEN '1' THEN 'Medallion' WHEN '2' THEN 'Gate' ELSE 'Job ' || job_id END "
     "AS job_name, run_id, CAST(started_at AS DATE) AS run_date, started_at, finished_at, "
@@ -56,7 +60,7 @@ _BATCH_HEALTH_SQL = (
     f"SELECT count(*) FILTER (WHERE {_BAD}) AS failed_runs, "
     "count(*) FILTER (WHERE upper(result_state) = 'RUNNING') AS running_runs, "
     "arg_max(duration_seconds, (started_at, run_id)) AS last_duration_seconds "
-    f"FROM ({_rolled_sql('run_id', 'job_id IN (' + repr(JOBS)[1:-1] + ')')}) r"
+    f"FROM ({_rolled_sql('run_id', _HERE + 'job_id IN (' + repr(JOBS)[1:-1] + ')')}) r"
 )
 _STREAM_HEALTH_SQL = (
     f"SELECT count(*) FILTER (WHERE {_BAD}) AS failed_updates, "
@@ -67,23 +71,23 @@ _STREAM_HEALTH_SQL = (
 
 
 def _updates(s, d):
-    return m.pipeline_updates(_slices(s, d), UPDATES_OF, AS_OF)
+    return m.pipeline_updates(_slices(s, d), UPDATES_OF, AS_OF, WORKSPACE)
 
 
 def _job_runs(s, d):
-    return m.job_runs(_slices(s, d), STREAM_JOB, AS_OF)
+    return m.job_runs(_slices(s, d), STREAM_JOB, AS_OF, WORKSPACE)
 
 
 def _batch_runs(s, d):
-    return m.batch_runs(_slices(s, d), JOBS, LABELS, AS_OF)
+    return m.batch_runs(_slices(s, d), JOBS, LABELS, AS_OF, WORKSPACE)
 
 
 def _batch_health(s, d):
-    return m.batch_health(_slices(s, d), JOBS, AS_OF)
+    return m.batch_health(_slices(s, d), JOBS, AS_OF, WORKSPACE)
 
 
 def _stream_health(s, d):
-    return m.streaming_health(_slices(s, d), UPDATES_OF, _slices(s, d), STREAM_JOB, AS_OF)
+    return m.streaming_health(_slices(s, d), UPDATES_OF, _slices(s, d), STREAM_JOB, AS_OF, WORKSPACE)
 
 
 register("pipeline_updates", _updates, _UPDATES_SQL)

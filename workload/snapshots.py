@@ -37,7 +37,7 @@ from sluice.operators.snapshots import (
 )
 from sluice.plans.monitoring import gold_freshness
 from sluice.plans.rulebook import BEFORE_GOLD, BEFORE_SILVER, rules_for
-from workload.derive import AS_OF, NOW_SQL, columns_of, frame, load, sql
+from workload.derive import AS_OF, NOW_SQL, Duck, Spark, columns_of, frame, load, sql
 from workload.registry import error_list, half_up, register
 
 # -- cleaning --------------------------------------------------------------
@@ -478,26 +478,31 @@ register(
     "SELECT count(*) AS attendance_rows FROM lineitem",
 )
 
+#: Dates of the six published tables: a test table and an expression over it.
 _DATED = {
-    "attendance": ("lineitem", "l_shipdate"),
-    "patients": ("orders", "o_orderdate"),
-    "events": ("events", "ts"),
+    "attendance": ("lineitem", lambda d: "CAST(l_shipdate AS DATE)"),
+    "patients": ("orders", lambda d: "CAST(o_orderdate AS DATE)"),
+    "hospitals": ("supplier", lambda d: d.plus_days("DATE '2023-11-01'", "s_nationkey")),
+    "doctors": ("part", lambda d: d.plus_days("DATE '2023-12-01'", "p_size")),
+    "diseases": ("documents", lambda d: d.plus_days("DATE '2023-12-15'", "n_chars % 40")),
+    "kpi_hospital_daily": ("events", lambda d: "CAST(ts AS DATE)"),
 }
 
 
 def _gold_freshness(spark, sf_dir) -> DataFrame:
     tables = {
-        name: load(spark, sf_dir, table).select(F.col(column).cast("date").alias("odate"))
-        for name, (table, column) in _DATED.items()
+        name: load(spark, sf_dir, table).selectExpr(f"{day(Spark)} AS odate")
+        for name, (table, day) in _DATED.items()
     }
     return gold_freshness(tables, AS_OF)
 
 
 _FRESHNESS_SQL = " UNION ALL ".join(
-    f"SELECT '{name}' AS table_name, max(CAST({c} AS DATE)) AS latest_odate, "
-    f"count(DISTINCT CAST({c} AS DATE)) AS partition_count, count(*) AS historical_rows, "
-    f"date_diff('day', max(CAST({c} AS DATE)), CAST({NOW_SQL} AS DATE)) AS age_days FROM {t}"
-    for name, (t, c) in _DATED.items()
+    f"SELECT '{name}' AS table_name, max(odate) AS latest_odate, "
+    "count(DISTINCT odate) AS partition_count, count(*) AS historical_rows, "
+    f"date_diff('day', max(odate), CAST({NOW_SQL} AS DATE)) AS age_days "
+    f"FROM (SELECT {day(Duck)} AS odate FROM {t}) t"
+    for name, (t, day) in _DATED.items()
 )
 register("gold_freshness", _gold_freshness, _FRESHNESS_SQL)
 
