@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
@@ -15,13 +17,14 @@ from sluice.session import scratch_path
 #: ``bytes.split()`` cuts at exactly these bytes: space and 0x09-0x0D.
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_STEP = 0xD6E8FEB86659FD93
-_STEP_INVERSE = pow(_STEP, -1, 1 << 64)
+_START = np.uint64(0x9E3779B97F4A7C15)
+_FACTOR = np.uint64(0xD6E8FEB86659FD93)
+#: Masks of the first 0 to 8 bytes of a little-endian number.
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+#: Longer words are hashed one by one.
+_LONG_WORD = 4096
 #: A text is hashed in pieces of about this many bytes, so arrays stay small.
 _PIECE = 1 << 22
-_POWERS: dict[int, np.ndarray] = {}
 
 
 def staged(frame: DataFrame, label: str) -> DataFrame:
@@ -35,6 +38,13 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def unused(columns: Iterable[str], count: int) -> list[str]:
+    """Column names that none of ``columns`` has, in any case of letters."""
+    taken = {name.lower() for name in columns}
+    free = (name for n in itertools.count() if (name := f"_own{n}") not in taken)
+    return list(itertools.islice(free, count))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -106,17 +116,6 @@ def flat(parts: list[np.ndarray], dtype) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype=dtype)
 
 
-def powers(base: int, length: int) -> np.ndarray:
-    known = _POWERS.get(base)
-    if known is None or len(known) < length:
-        size = max(1024, 1 << (length - 1).bit_length())
-        known = np.full(size, base, dtype=np.uint64)
-        known[0] = 1
-        known = np.multiply.accumulate(known)
-        _POWERS[base] = known
-    return known[:length]
-
-
 def mixed(values: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser, so that low and high bits are usable on their own."""
     values = values ^ (values >> np.uint64(30))
@@ -146,12 +145,24 @@ def _word_hashes(text: bytes) -> np.ndarray:
     inside[1:-1] = ~_SPACE[data]
     steps = np.diff(inside)
     starts, ends = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
+    lengths = ends - starts
+    found = mixed(lengths.astype(np.uint64) + _START)
     if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(data)), out=sums[1:])
-    back = powers(_BASE_INVERSE, len(data))[starts]
-    return mixed((sums[ends] - sums[starts]) * back)
+        return found
+    # The eight bytes from every place on, as one number.
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    eight = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    open_ = np.flatnonzero(lengths <= _LONG_WORD)
+    at, left = starts[open_], lengths[open_]
+    while len(open_):
+        chunk = eight[at] & _MASKS[np.minimum(left, 8)]
+        found[open_] = mixed((found[open_] ^ chunk) * _FACTOR + _START)
+        more = left > 8
+        open_, at, left = open_[more], at[more] + 8, left[more] - 8
+    for place in np.flatnonzero(lengths > _LONG_WORD).tolist():
+        word = hashlib.blake2b(text[starts[place] : ends[place]], digest_size=8).digest()
+        found[place] = int.from_bytes(word, "little")
+    return found
 
 
 def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
@@ -159,14 +170,39 @@ def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     count = len(hashes) - length + 1
     if count <= 0:
         return np.zeros(0, dtype=np.uint64)
-    return spans_hash(hashes, np.arange(count), np.arange(count) + length)
+    found = np.full(count, mixed(np.array([length], dtype=np.uint64) + _START)[0])
+    at = 0
+    for size, blocks in _blocks(hashes, length):
+        if length & size:
+            found = _followed(found, blocks[at : at + count])
+            at += size
+    return found
 
 
 def spans_hash(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of each run of words ``[start, end)``, equal for equal word sequences."""
-    sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
-    np.cumsum(hashes * powers(_STEP, len(hashes)), out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * powers(_STEP_INVERSE, len(hashes) + 1)[starts])
+    lengths = ends - starts
+    found = mixed(lengths.astype(np.uint64) + _START)
+    at = starts.copy()
+    for size, blocks in _blocks(hashes, int(lengths.max(initial=0))):
+        taken = np.flatnonzero(lengths & size)
+        found[taken] = _followed(found[taken], blocks[at[taken]])
+        at[taken] += size
+    return found
+
+
+def _followed(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """A hash of two runs, the second behind the first. No polynomial: every step is mixed."""
+    return mixed(mixed(before + _START) * _FACTOR + after)
+
+
+def _blocks(hashes: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Hashes of all runs of 1, 2, 4, ... words up to ``longest``."""
+    size, blocks = 1, hashes
+    while size <= longest:
+        yield size, blocks
+        blocks = _followed(blocks[:-size], blocks[size:])
+        size *= 2
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:

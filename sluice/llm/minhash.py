@@ -35,6 +35,7 @@ from sluice.llm.common import (
     run_hashes,
     staged,
     text_bytes,
+    unused,
     word_hashes,
 )
 
@@ -295,5 +296,6 @@ def one_per_group(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PE
     """The rows of ``docs`` without those that another document of their group represents."""
     gone = near_duplicate_groups(docs, words, percent).where("NOT kept")
     # Written first: its size is then known when the join with the texts is planned.
-    gone = staged(gone.select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, F.col("_gone") == docs["doc_id"].cast("bigint"), "left_anti")
+    (name,) = unused(docs.columns, 1)
+    gone = staged(gone.select(F.col("doc_id").alias(name)).distinct(), "gone")
+    return docs.join(gone, gone[name] == docs["doc_id"].cast("bigint"), "left_anti")

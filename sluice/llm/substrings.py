@@ -45,6 +45,7 @@ from sluice.llm.common import (
     spans_hash,
     staged,
     text_bytes,
+    unused,
     word_hashes,
 )
 
@@ -358,26 +359,26 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     one space. Texts without a repeated passage are returned unchanged.
     """
     added = ["n_words", "n_removed", "kept_sha256"]
+    rows = docs.drop(*added)
+    kept = rows.columns
+    doc, key, marks = unused(kept, 3)
     spans = (
         repeated_windows(docs, width)
-        .groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"))
-        .agg(F.collect_list(F.struct("start", "windows")).alias("_spans"))
+        .groupBy(F.col("doc_id").alias(doc), F.col("key").alias(key))
+        .agg(F.collect_list(F.struct("start", "windows")).alias(marks))
     )
-    rows = docs.drop(*added)
     found = rows.join(
         spans,
-        (rows["doc_id"].cast("bigint") == spans["_doc"])
-        & (F.xxhash64(rows["text"]) == spans["_key"]),
+        (rows["doc_id"].cast("bigint") == spans[doc]) & (F.xxhash64(rows["text"]) == spans[key]),
         "left",
-    ).drop("_doc", "_key")
-    kept = rows.columns
+    ).drop(doc, key)
 
     def run(batches):
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
                 texts, words, removed, digests = [], [], [], []
-                for text, spans in zip(text_bytes(batch["text"]), batch["_spans"].to_pylist()):
+                for text, spans in zip(text_bytes(batch["text"]), batch[marks].to_pylist()):
                     if spans:
                         new, left, total = _cut(text, spans, width)
                     else:
