@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.operators.checks import ERRORS, rejected, rule_outcomes
+from sluice.operators.clustering import laid_out
 from sluice.operators.rules import row_rules
 from sluice.sources.tables import Lake
 from sluice.streaming.contract import QUARANTINE_FIELDS, SILVER_FIELDS, event_rules
@@ -48,6 +49,15 @@ RULE_COUNTS = ("observability", "vital_rule_counts")
 EVENT_LOG = ("observability", "vital_pipeline_events")
 TIMELINE = ("observability", "pipeline_update_timeline")
 
+# The columns that each table is laid out by.
+LAYOUT = {
+    BRONZE: ("eventhub_partition", "eventhub_enqueued_at"),
+    SILVER: ("event_time", "patient_id"),
+}
+DAY = {BRONZE: "eventhub_enqueued_at_date", SILVER: "event_time_date"}
+COPY = "_laid_out"
+ROWS_PER_FILE = 1_000_000
+
 # Upper bound of files per micro-batch; it also bounds the rows of one hot event id.
 MAX_FILES = 1_000
 
@@ -194,6 +204,51 @@ class VitalStream:
         for rows, target in ((patients, PATIENT_5M), (population, POPULATION_HOURLY)):
             self.lake.replace_slices(_dated(rows), *target, by=["window_date"])
 
+    # -- layout of closed days ---------------------------------------------
+
+    def lay_out(
+        self, table: tuple[str, str], before: date, rows_per_file: int = ROWS_PER_FILE
+    ) -> list[date]:
+        """Copies of a table's days before ``before``, in files with narrow ranges.
+
+        The stream keeps writing its own files in the order of arrival. Days whose copy
+        is up to date are left alone; returns the days that were copied. Files are only
+        skipped by time if ``spark.sql.parquet.outputTimestampType`` is not INT96.
+        """
+        layer, name = table
+        day = DAY[table]
+        stored = self.lake.read(layer, name)
+        counts = {d: n for d, n in _by_day(stored, day) if d is not None and d < before}
+        copied = self._copied(table)
+        changed = sorted(d for d, n in counts.items() if copied.get(d) != n)
+        for when in changed:
+            rows = stored.where(F.col(day) == F.lit(when))
+            files = max(1, -(-counts[when] // rows_per_file))
+            self.lake.replace_slices(
+                laid_out(rows, LAYOUT[table], files), layer, name + COPY, by=[day]
+            )
+        return changed
+
+    def _copied(self, table: tuple[str, str]) -> dict[date, int]:
+        layer, name = table
+        if not self.lake.exists(layer, name + COPY):
+            return {}
+        return dict(_by_day(self.lake.read(layer, name + COPY), DAY[table]))
+
+    def history(self, table: tuple[str, str]) -> DataFrame:
+        """All rows of a table, days with an up-to-date copy from there."""
+        layer, name = table
+        day = DAY[table]
+        stored = self.lake.read(layer, name)
+        copied = self._copied(table)
+        counts = dict(_by_day(stored.where(F.col(day).isin(*copied)), day)) if copied else {}
+        current = [d for d, n in copied.items() if counts.get(d) == n]
+        if not current:
+            return stored
+        rest = stored.where(F.col(day).isNull() | ~F.col(day).isin(*current))
+        copies = self.lake.read(layer, name + COPY).where(F.col(day).isin(*current))
+        return rest.unionByName(copies)
+
     def run(self, records: DataFrame, as_of=None) -> str:
         """A whole update; returns its id.
 
@@ -245,6 +300,11 @@ class VitalStream:
         self.lake.append(slice_row, *TIMELINE)
 
 
+def _by_day(rows: DataFrame, day: str) -> list[tuple[date, int]]:
+    """Rows of each day, a partition column; rows are only added, so a count shows a change."""
+    return [tuple(r) for r in rows.groupBy(day).agg(F.count(F.lit(1)).alias("n")).collect()]
+
+
 def _dated(rows: DataFrame) -> DataFrame:
     return rows.withColumn("window_date", F.col("window_start").cast("date"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +29,7 @@ from sluice.streaming.events import (
 )
 from sluice.streaming.journal import drained
 from sluice.streaming.measures import patient_5m, population_hourly
-from sluice.streaming.update import VitalStream
+from sluice.streaming.update import SILVER, VitalStream
 from sluice.streaming.publish import to_records
 from workload.derive import DERIVED, Spark, frame, load, sql
 from workload.lake import fresh_lake
@@ -269,10 +271,20 @@ class _Landing:
         lake = fresh_lake(spark, label)
         self.stream = VitalStream(lake, scratch_path(spark, f"{label}-checkpoints"), **options)
 
-    def update(self, records: DataFrame) -> None:
+    def land(self, records: DataFrame) -> DataFrame:
+        """The stream of all that has landed, these records included."""
         records.write.mode("append").parquet(self.folder)
-        source = self.spark.readStream.schema(records.schema).parquet(self.folder)
-        self.stream.run(source, as_of=F.col("arrived"))
+        return self.spark.readStream.schema(records.schema).parquet(self.folder)
+
+    def run(self, records: DataFrame) -> None:
+        self.stream.run(self.land(records), as_of=F.col("arrived"))
+
+    def drain(self, records: DataFrame, follow) -> None:
+        """Bronze, Silver and one flow behind them."""
+        self.stream.start_bronze(self.land(records), F.col("arrived")).awaitTermination()
+        self.stream.start_silver().awaitTermination()
+        if follow is not None:
+            follow().awaitTermination()
 
 
 def stream_silver(spark, sf_dir) -> DataFrame:
@@ -320,8 +332,8 @@ def _two_updates(spark, sf_dir, label: str) -> VitalStream:
         f"{_EVENT_TIME} >= {_CUT} OR ({_EVENT_TIME} >= {_CUT} - {_OVERLAP} AND offset % 3 = 0)"
     )
     records = _valid_records(spark, sf_dir)
-    landing.update(records.where(f"NOT ({second})"))
-    landing.update(records.where(second))
+    for part in (f"NOT ({second})", second):
+        landing.drain(records.where(part), landing.stream.start_gold)
     return landing.stream
 
 
@@ -344,10 +356,11 @@ def stream_late_events(spark, sf_dir) -> DataFrame:
     """Events before the cut come after those behind it: what the watermark shuts out."""
     landing = _Landing(spark, "late")
     records = _valid_records(spark, sf_dir)
-    landing.update(records.where(f"{_EVENT_TIME} < {_CUT}"))
-    landing.update(records.where(f"{_EVENT_TIME} >= {_CUT} AND offset % 2 = 0"))
+    late = landing.stream.start_late
+    landing.drain(records.where(f"{_EVENT_TIME} < {_CUT}"), late)
+    landing.drain(records.where(f"{_EVENT_TIME} >= {_CUT} AND offset % 2 = 0"), late)
     # The update before has moved the watermark to 25 hours before its latest event.
-    landing.update(records.where(f"{_EVENT_TIME} >= {_CUT} AND offset % 2 = 1"))
+    landing.drain(records.where(f"{_EVENT_TIME} >= {_CUT} AND offset % 2 = 1"), late)
     return landing.stream.late()
 
 
@@ -365,10 +378,10 @@ def stream_fatal_event(spark, sf_dir) -> DataFrame:
     landing = _Landing(spark, "fatal")
     classified = classified_rows(bronze(spark, sf_dir))
     first = f"event_time < {_CUT}"
-    landing.update(_as_records(classified.where((F.size(ERRORS) == 0) & F.expr(first))))
+    landing.run(_as_records(classified.where((F.size(ERRORS) == 0) & F.expr(first))))
     rest = classified.where((F.size(ERRORS) > 0) | ~F.coalesce(F.expr(first), F.lit(False)))
     try:
-        landing.update(_as_records(rest))
+        landing.run(_as_records(rest))
     except StreamingQueryException:
         lake = landing.stream.lake
         counted = [
@@ -434,3 +447,16 @@ def stream_rule_outcomes(spark, sf_dir) -> DataFrame:
 
 
 register("stream_rule_outcomes", stream_rule_outcomes, OUTCOMES_SQL)
+
+
+def stream_history_silver(spark, sf_dir) -> DataFrame:
+    """Silver read through the laid out copies of its first days and the stream's own files."""
+    landing = _Landing(spark, "history")
+    landing.drain(_valid_records(spark, sf_dir), None)
+    copied = landing.stream.lay_out(SILVER, date(2024, 1, 4), rows_per_file=100)
+    if not copied:
+        raise AssertionError("no day was laid out")
+    return landing.stream.history(SILVER).select(*SILVER_FIELDS)
+
+
+register("stream_history_silver", stream_history_silver, SILVER_SQL)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.operators.dedup import keep_latest
@@ -263,6 +263,41 @@ register(
     _CONTROL_SQL,
 )
 
+# -- order of the sorted results -------------------------------------------
+
+
+def _in_order(rows: DataFrame, *key: str) -> DataFrame:
+    """The key columns with the place at which the result has the row; results are of panel size."""
+    numbered = rows.withColumn("_at", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.orderBy("_at")).cast("bigint")
+    return numbered.select(*key, place.alias("place"))
+
+
+def _order_sql(text: str, key: str, order: str) -> str:
+    return f"SELECT {key}, row_number() OVER (ORDER BY {order}) AS place FROM ({text}) o"
+
+
+register(
+    "pipeline_updates_in_order",
+    lambda s, d: _in_order(_updates(s, d), "update_id"),
+    _order_sql(_UPDATES_SQL, "update_id", "started_at DESC, update_id"),
+)
+register(
+    "batch_job_runs_in_order",
+    lambda s, d: _in_order(_batch_runs(s, d), "job_name", "run_id"),
+    _order_sql(_BATCH_SQL, "job_name, run_id", "started_at DESC, run_id"),
+)
+register(
+    "approvals_in_order",
+    lambda s, d: _in_order(m.approvals_sorted(_control(s, d)), "dq_stage", "odate", "dq_run_id"),
+    _order_sql(_CONTROL_SQL, "dq_stage, odate, dq_run_id", "dq_stage, odate DESC, dq_run_id"),
+)
+register(
+    "gold_freshness_in_order",
+    lambda s, d: _in_order(_gold_freshness(s, d), "table_name"),
+    _order_sql(_FRESHNESS_SQL, "table_name", "table_name"),
+)
+
 # -- charts ----------------------------------------------------------------
 
 _CHARTS = {

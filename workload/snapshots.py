@@ -29,6 +29,7 @@ from sluice.operators.reconcile import (
     sanitize_snapshots,
     with_contract,
 )
+from sluice.operators.rules import sql_rule
 from sluice.operators.snapshots import (
     key_changes,
     previous_snapshot,
@@ -357,6 +358,28 @@ register(
 )
 
 
+#: Rules as SQL text over the cleaned visits; unknown counts as broken.
+_SQL_RULES = {
+    "expensive_or_quick": "cost > 30000 OR wait_time_minutes < 120",
+    "seen_when_created": "attendance_timestamp <= created_at",
+    "severe_if_discharged": "NOT is_discharged OR severity_score > 1",
+}
+
+
+def _sql_rules(spark, sf_dir) -> DataFrame:
+    rules = [sql_rule(name, text) for name, text in _SQL_RULES.items()]
+    noted = annotate(_checked(spark, sf_dir, BEFORE_SILVER, "attendance"), rules)
+    return _joined(noted).select("attendance_id", "hospital_id", ERRORS)
+
+
+register(
+    "dq_sql_rules",
+    _sql_rules,
+    f"SELECT attendance_id, hospital_id, {error_list(_SQL_RULES)} AS _dq_errors "
+    f"FROM ({cleaned_sql('attendance', True)}) c",
+)
+
+
 def _row_rule_outcomes(spark, sf_dir) -> DataFrame:
     checked = _checked(spark, sf_dir, BEFORE_SILVER, "attendance")
     return rule_outcomes(checked, rules_for(BEFORE_SILVER, "attendance", AS_OF))
