@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -209,16 +209,20 @@ def sanitize_snapshots(
     snapshots: Mapping[str, DataFrame],
     position: Sequence[str] = ("created_at",),
     as_of: datetime | Column | None = None,
+    keep: Callable[[DataFrame, str], DataFrame] = lambda rows, name: rows,
 ) -> dict[str, DataFrame]:
     """All five entities with valid values and closed references.
 
+    ``keep`` gets each entity once, parents first, and returns the rows to go on with:
+    one that stores them saves computing a parent again for every table that refers to it.
+
     References are checked before deduplication, so an invalid late copy never
     hides a valid earlier one. Attendance takes the hospital of its doctor: one
     join with the valid doctors both checks the doctor and supplies a hospital
     that is known to be valid.
     """
     plain = {
-        name: sanitize_entity(snapshots[name], name, position, as_of)
+        name: keep(sanitize_entity(snapshots[name], name, position, as_of), name)
         for name in ("patients", "hospitals", "diseases")
     }
 
@@ -231,6 +235,7 @@ def sanitize_snapshots(
         "doctor_id",
         position,
     ).select(*ENTITIES["doctors"].raw)
+    doctors = keep(doctors, "doctors")
 
     seen = existing(rows("attendance"), "disease_id", plain["diseases"], "disease_id")
     seen = existing(seen, "patient_id", plain["patients"], "patient_id")
@@ -243,4 +248,4 @@ def sanitize_snapshots(
         .drop("__doctor", "__home")
     )
     attendance = keep_last(placed, "attendance_id", position).select(*ENTITIES["attendance"].raw)
-    return {**plain, "doctors": doctors, "attendance": attendance}
+    return {**plain, "doctors": doctors, "attendance": keep(attendance, "attendance")}

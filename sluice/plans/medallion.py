@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from sluice.model import ENTITIES
+from sluice.model import BUSINESS_DATE, ENTITIES
 from sluice.operators.cleaning import clean, snapshot_of
 from sluice.operators.kpi import daily_kpi
+from sluice.operators.reconcile import sanitize_snapshots
 from sluice.plans.gate import require_approval, run_gate, staged_rows
 from sluice.plans.rulebook import BEFORE_GOLD, BEFORE_SILVER
 from sluice.sources.raw import read_raw_csv
@@ -56,6 +59,24 @@ def publish_gold(lake: Lake, odate: date) -> None:
     lake.replace_partition(kpi_rows(lake, odate), "gold", KPI_TABLE, odate)
 
 
+def sanitize_into(
+    lake: Lake,
+    snapshots: Mapping[str, DataFrame],
+    odate: date,
+    position: Sequence[str] = ("created_at",),
+    as_of: datetime | None = None,
+    layer: str = "sanitized",
+) -> None:
+    """The five sanitised snapshots of one date, each written once and read by those behind it."""
+
+    def keep(rows: DataFrame, name: str) -> DataFrame:
+        dated = rows.withColumn(BUSINESS_DATE, F.lit(odate).cast("date"))
+        lake.replace_partition(dated, layer, name, odate)
+        return lake.partition(layer, name, odate).drop(BUSINESS_DATE)
+
+    sanitize_snapshots(snapshots, position, as_of, keep)
+
+
 def refresh(
     lake: Lake, raw_root: str, odate: date, run_id: str, as_of: datetime | None = None
 ) -> None:

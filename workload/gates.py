@@ -16,12 +16,12 @@ from sluice.plans.gate import (
     approvals,
     run_gate,
 )
-from sluice.plans.medallion import KPI_TABLE, promote_silver, publish_gold
+from sluice.plans.medallion import KPI_TABLE, promote_silver, publish_gold, sanitize_into
 from sluice.plans.rulebook import BEFORE_GOLD, BEFORE_SILVER, rules_for
 from sluice.sources.tables import Lake
 from workload.derive import AS_OF, DAY_SQL, NOW_SQL, ODATE, frame, sql
 from workload.lake import NEXT, fresh_lake
-from workload.registry import register
+from workload.registry import ORACLE, register
 from workload.snapshots import _checked_sql, cleaned, cleaned_sql, kpi_sql, published_sql
 
 RUN_ID = "run-1"
@@ -182,3 +182,14 @@ register(
     lambda s, d: _published(s, d, "refresh-kpi").read("gold", KPI_TABLE),
     kpi_sql(_gold_sql("attendance"), _gold_sql("hospitals")),
 )
+
+
+def sanitize_stored(spark, sf_dir) -> DataFrame:
+    """Sanitised visits whose parents are written once and read back."""
+    lake = fresh_lake(spark, "sanitize")
+    raw = {name: frame(spark, sf_dir, name) for name in ENTITIES}
+    sanitize_into(lake, raw, ODATE, position=("_ingested_at", "_source_file"), as_of=AS_OF)
+    return lake.read("sanitized", "attendance").drop("odate")
+
+
+register("sanitize_stored_attendance", sanitize_stored, ORACLE["sanitize_attendance"])
