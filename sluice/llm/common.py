@@ -19,6 +19,9 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _START = np.uint64(0x9E3779B97F4A7C15)
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
+_PRIME = np.uint64((1 << 31) - 1)
+_BASES = (1_103_515_245, 862_048_943)
+_POWERS: dict[int, np.ndarray] = {}
 #: Masks of the first 0 to 8 bytes of a little-endian number.
 _MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 #: Longer words are hashed one by one.
@@ -116,6 +119,16 @@ def flat(parts: list[np.ndarray], dtype) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype=dtype)
 
 
+def powers(base: int, length: int) -> np.ndarray:
+    """``base ** n`` in the field, for n below ``length``."""
+    known = _POWERS.get(base, np.ones(1, dtype=np.uint64))
+    while len(known) < length:
+        step = np.uint64(pow(base, len(known), int(_PRIME)))
+        known = np.concatenate([known, known * step % _PRIME])
+    _POWERS[base] = known
+    return known[:length]
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser, so that low and high bits are usable on their own."""
     values = values ^ (values >> np.uint64(30))
@@ -170,39 +183,36 @@ def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     count = len(hashes) - length + 1
     if count <= 0:
         return np.zeros(0, dtype=np.uint64)
-    found = np.full(count, mixed(np.array([length], dtype=np.uint64) + _START)[0])
-    at = 0
-    for size, blocks in _blocks(hashes, length):
-        if length & size:
-            found = _followed(found, blocks[at : at + count])
-            at += size
-    return found
+    parts = []
+    for sums, back in _prefix_sums(hashes):
+        part = (sums[length:] - sums[:count]) % _PRIME
+        parts.append(part * back[:count] % _PRIME)
+    return _named(parts, np.full(1, length, dtype=np.uint64))
 
 
 def spans_hash(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of each run of words ``[start, end)``, equal for equal word sequences."""
-    lengths = ends - starts
-    found = mixed(lengths.astype(np.uint64) + _START)
-    at = starts.copy()
-    for size, blocks in _blocks(hashes, int(lengths.max(initial=0))):
-        taken = np.flatnonzero(lengths & size)
-        found[taken] = _followed(found[taken], blocks[at[taken]])
-        at[taken] += size
-    return found
+    parts = []
+    for sums, back in _prefix_sums(hashes):
+        parts.append((sums[ends] - sums[starts]) % _PRIME * back[starts] % _PRIME)
+    return _named(parts, (ends - starts).astype(np.uint64))
+
 
+def _prefix_sums(hashes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Two polynomials over a prime field: sums up to every place, and factors that shift back.
 
-def _followed(before: np.ndarray, after: np.ndarray) -> np.ndarray:
-    """A hash of two runs, the second behind the first. No polynomial: every step is mixed."""
-    return mixed(mixed(before + _START) * _FACTOR + after)
+    Modulo a power of two such sums of long regular runs can all vanish; in a field they do not.
+    """
+    for shift, base in zip((0, 33), _BASES):
+        terms = ((hashes >> np.uint64(shift)) & _PRIME) * powers(base, len(hashes)) % _PRIME
+        sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
+        # Less than 2 ** 31 each, so no sum of a text's words overflows.
+        np.cumsum(terms, out=sums[1:])
+        yield sums, powers(pow(base, -1, int(_PRIME)), len(hashes) + 1)
 
 
-def _blocks(hashes: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Hashes of all runs of 1, 2, 4, ... words up to ``longest``."""
-    size, blocks = 1, hashes
-    while size <= longest:
-        yield size, blocks
-        blocks = _followed(blocks[:-size], blocks[size:])
-        size *= 2
+def _named(parts: list[np.ndarray], lengths: np.ndarray) -> np.ndarray:
+    return mixed((parts[0] << np.uint64(31) | parts[1]) + lengths * _FACTOR + _START)
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
