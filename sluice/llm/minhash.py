@@ -7,9 +7,12 @@ pairs clearly below the threshold end there, all others are confirmed on their f
 
 Equal sets are collapsed first. Candidates of a band are then compared in three steps: every row
 with the band's smallest id; the rows outside the band's largest component with a few rows of it;
-and what is still outside with every row of another component. Rows already known to be connected
-need no comparison, because only the component is asked for, so a large group costs a few pairs a
-row while no candidate pair of different components goes unchecked.
+and what is still outside with every row of another component that its size and its shared shingles
+allow. Rows already known to be connected need no comparison, because only the component is asked
+for, so a large group costs a few pairs a row while no candidate pair of different components goes
+unchecked. The last two steps first count the shingles that a row has alone among all rows it could
+meet: two rows have at most the smaller of the other counts in common, so a row with many edits of
+its own can link with rows of few sizes or with none, and is joined with no others.
 
 Lower-casing is by bytes A-Z. Null, empty and blank texts have no shingles, link with nothing and
 stay. Texts shorter than a shingle have their whole word sequence as only shingle. Rows with a null
@@ -50,6 +53,8 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 #: Rows of a component that rows outside it, but in a band with it, meet before all others.
 PIVOTS = 12
+#: Sizes of sets fall into classes that grow by this factor.
+CLASS_RATIO = 1.05
 
 _random = np.random.default_rng(7)
 _FACTOR = _random.integers(0, 2**32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
@@ -223,6 +228,125 @@ class _Candidates:
         return staged(placed.join(homes, "band"), "unsettled")
 
 
+    def shared(self, open_rows: DataFrame) -> DataFrame:
+        """(home, doc_id, size, shared) of the rows of ``open_rows``, once for each text of an id.
+
+        ``shared`` counts the shingles that some other row of the same home has too.
+        """
+        homes = open_rows.groupBy("doc_id").agg(F.collect_set("home").alias("homes"))
+        words = self.words
+
+        def rows(batch: pa.RecordBatch):
+            sets = [shingle_set(text, words) for text in text_bytes(batch["text"])]
+            yield {
+                "doc_id": batch["doc_id"],
+                "homes": batch["homes"],
+                "size": [len(own) for own in sets],
+                "key": [int(as_signed(own.sum(keepdims=True))[0]) for own in sets],
+                "shingles": [as_signed(own) for own in sets],
+            }
+
+        schema = "doc_id bigint, homes array<bigint>, size bigint, key bigint"
+        sets = staged(
+            mapped(
+                self.texts.join(homes, "doc_id").select("doc_id", "text", "homes"),
+                rows,
+                f"{schema}, shingles array<bigint>",
+            ).select(F.explode("homes").alias("home"), "doc_id", "key", "size", "shingles"),
+            "open-sets",
+        )
+        alone = (
+            sets.select("home", "doc_id", "key", F.explode("shingles").alias("shingle"))
+            .groupBy("home", "shingle")
+            .agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.count("*").alias("n"))
+            .where("n = 1")
+            .groupBy("home", "doc_id", "key")
+            .agg(F.count("*").alias("alone"))
+        )
+        return (
+            sets.drop("shingles")
+            .join(alone, ["home", "doc_id", "key"], "left")
+            .select(
+                "home", "doc_id", "size",
+                (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared"),
+            )
+        )
+
+    def _enough(self, common: Column, sizes: Column) -> Column:
+        """n and m shingles with k in common: 100 k >= percent (n + m - k)."""
+        return common * (100 + self.percent) >= sizes * self.percent
+
+    def _allowed(self) -> Column:
+        return self._enough(F.least("shared_x", "shared_y"), F.col("size_x") + F.col("size_y"))
+
+    def near_home(self, open_rows: DataFrame, shared: DataFrame) -> DataFrame:
+        """Pairs (x, y) of rows outside a home with up to ``PIVOTS`` rows y of that home.
+
+        Half of them are those with the fewest shingles of their own, half are picked by a hash. The
+        same rows lie in many bands; each needs a home's pivots only once.
+        """
+        inside = shared.join(
+            open_rows.where("part = home").select("home", "doc_id").distinct(), ["home", "doc_id"]
+        )
+        pivots = None
+        for first in (F.desc(F.col("shared") / F.col("size")), F.xxhash64("doc_id")):
+            order = [first, "doc_id"]
+            place = F.row_number().over(Window.partitionBy("home").orderBy(*order))
+            taken = inside.withColumn("place", place).where(F.col("place") <= PIVOTS // 2)
+            pivots = taken if pivots is None else pivots.union(taken)
+        pivots = pivots.select(
+            "home", F.col("doc_id").alias("y"), F.col("size").alias("size_y"),
+            F.col("shared").alias("shared_y"),
+        ).distinct()
+        outside = open_rows.where("part <> home").select("home", "doc_id").distinct()
+        return (
+            outside.join(shared, ["home", "doc_id"])
+            .select(
+                "home", F.col("doc_id").alias("x"), F.col("size").alias("size_x"),
+                F.col("shared").alias("shared_x"),
+            )
+            .join(pivots, "home")
+            .where(self._allowed())
+        )
+
+    def possible(self, open_rows: DataFrame, shared: DataFrame) -> DataFrame:
+        """Pairs (x, y) of rows outside a band's home with rows of other components of the band.
+
+        Pairs that sizes and shared shingles rule out are left out, most of them before the join:
+        rows meet by band and class of sizes, and only in classes where they can link.
+        """
+        percent, size, common = self.percent, F.col("size"), F.col("shared")
+
+        def size_class(number: Column) -> Column:
+            return F.floor(F.log(number) / F.log(F.lit(CLASS_RATIO))).cast("int")
+
+        least = F.ceil(size * percent / 100)
+        able = open_rows.join(shared, ["home", "doc_id"]).where(
+            self._enough(common, size + least)
+        )
+        classes = F.sequence(size_class(least), size_class(F.floor(size * 100 / percent)))
+        # One less than the smallest size of a class, against rounding.
+        smallest = F.greatest(least, F.floor(F.pow(F.lit(CLASS_RATIO), "class")) - 1)
+        outside = (
+            able.where("part <> home")
+            .withColumn("class", F.explode(classes))
+            .where(self._enough(common, size + smallest))
+            .select(
+                "band", "class", F.col("doc_id").alias("x"), F.col("part").alias("part_x"),
+                size.alias("size_x"), common.alias("shared_x"),
+            )
+        )
+        inside = able.select(
+            "band", size_class(size).alias("class"), F.col("doc_id").alias("y"),
+            F.col("part").alias("part_y"), size.alias("size_y"), common.alias("shared_y"),
+        )
+        return (
+            outside.join(inside, ["band", "class"])
+            .where("part_x <> part_y")
+            .where(self._allowed())
+        )
+
+
 def _ordered(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -253,31 +377,12 @@ def near_duplicate_groups(
     groups = components(links, "components")
     # Then the rows outside a band's largest component: with a few rows of that component, which
     # settles almost all of a large group, and at last with every row of another component.
-    for pivots in (PIVOTS, None):
+    for step in (search.near_home, search.possible):
         open_rows = search.unsettled(groups)
         if not open_rows.limit(1).count():
             break
-        outside = open_rows.where("part <> home")
-        if pivots:
-            # The same rows lie in many bands; each needs a component's pivots only once.
-            homes = open_rows.select("home").distinct()
-            order = Window.partitionBy("home").orderBy(F.xxhash64("y"), "y")
-            pivot = (
-                groups.join(homes, groups["component"] == homes["home"])
-                .select("home", F.col("id").alias("y"))
-                .withColumn("place", F.row_number().over(order))
-                .where(F.col("place") <= pivots)
-            )
-            pairs = outside.select("home", F.col("doc_id").alias("x")).distinct().join(pivot, "home")
-        else:
-            inside = open_rows.select(
-                "band", F.col("doc_id").alias("y"), F.col("part").alias("part_y")
-            )
-            pairs = (
-                outside.select("band", F.col("doc_id").alias("x"), F.col("part").alias("part_x"))
-                .join(inside, "band")
-                .where("part_x <> part_y")
-            )
+        shared = staged(search.shared(open_rows), "shared")
+        pairs = step(open_rows, shared)
         more = search.linked(pairs.select(*_ordered("x", "y")))
         links = links.union(more)
         groups = components(links, "components")

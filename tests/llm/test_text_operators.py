@@ -143,6 +143,29 @@ def test_noisy_copies_are_one_group(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == label
 
 
+def test_noisy_cut_copies_match_brute_force(spark):
+    # Copies of several lengths, with changes from a small vocabulary, around two texts.
+    pick = random.Random(11)
+    bases = [prose(3, 150, 4000).split(), prose(4, 60, 4000).split()]
+    texts = []
+    for number in range(240):
+        copy = list(bases[number % 2])
+        for _ in range(pick.randrange(0, 12)):
+            copy[pick.randrange(len(copy))] = f"n{pick.randrange(30)}"
+        copy = copy[pick.randrange(0, 12) : len(copy) - pick.randrange(0, 12)]
+        texts.append((number, " ".join(copy)))
+    sets = {n: set(zip(t.split(), t.split()[1:])) for n, t in texts}
+    links = [
+        (a, b)
+        for a, b in itertools.combinations(sets, 2)
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    ]
+    label = reach(sets, links)
+    assert len(set(label.values())) > 20
+    found = minhash.near_duplicate_groups(spark.createDataFrame(texts, "doc_id bigint, text string"), 2)
+    assert {r.doc_id: r.component_id for r in found.collect()} == label
+
+
 @pytest.mark.parametrize("most", [500, 1])
 def test_repeated_passages(docs, empty, most, monkeypatch):
     monkeypatch.setattr(substrings, "SHARD_PASSAGES", most)
