@@ -10,7 +10,7 @@ such that every window with at most two substituted words contains a hit of one
 the places (``tests/llm`` tries all), so seeds lose nothing. Seed hashes of texts and items are
 joined; around every hit the windows that contain it are compared word by word.
 
-Seeds of items are broadcast while they are at most ``BROADCAST_SEEDS``; a larger benchmark is joined
+Seeds of items are broadcast while they are at most ``BROADCAST_SEEDS`` with ``BROADCAST_BYTES``; a larger benchmark is joined
 by shuffling text positions instead, with the same result. Null and empty texts and items match
 nothing. Repeated rows get the same result; items with one id are one item, items with a null id
 count for contamination but are not listed. Other columns of the documents are left out.
@@ -21,12 +21,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import staged
+from sluice.llm.common import staged, unused
 
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 4, 6, 9, 10))
 WINDOW = 13
 MISSES = 2
 BROADCAST_SEEDS = 500_000
+#: Every seed carries its item's words, so their bytes are bounded as well.
+BROADCAST_BYTES = 64 * 1024 * 1024
 _BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -112,7 +114,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = docs.where("text IS NOT NULL").select(
         "doc_id", F.xxhash64("text").alias("key"), words_of(F.col("text")).alias("words")
     )
-    if seeds.count() <= BROADCAST_SEEDS:
+    # A word costs its letters and the 24 bytes that an array spends on each element.
+    letters = F.octet_length(F.array_join("item_words", "")) + 24 * F.size("item_words")
+    number, held = seeds.agg(F.count("*"), F.sum(letters.cast("bigint"))).first()
+    if number <= BROADCAST_SEEDS and (held or 0) <= BROADCAST_BYTES:
         seeds = F.broadcast(seeds)
     hits = with_seeds(texts).join(seeds, "seed")
     found = hits.select(
@@ -168,13 +173,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text overlaps no item."""
     # Written first: its size is then known when the join with the texts is planned.
+    doc, key = unused(docs.columns, 2)
     bad = staged(
         overlaps(docs, benchmark)
-        .select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"))
+        .select(F.col("doc_id").alias(doc), F.col("key").alias(key))
         .distinct(),
         "contaminated",
     )
     return docs.join(
-        bad, F.col("_doc").eqNullSafe(docs["doc_id"]) & (F.xxhash64(docs["text"]) == F.col("_key")),
+        bad,
+        F.col(doc).eqNullSafe(docs["doc_id"]) & (F.xxhash64(docs["text"]) == F.col(key)),
         "left_anti",
     )

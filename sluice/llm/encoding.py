@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import counted, mapped, staged, text_bytes
+from sluice.llm.common import counted, mapped, staged, text_bytes, unused
 from sluice.llm.pieces import MODEL, SPACE, Cutter, Pieces, load_pieces
 
 FREQUENT = 200_000
@@ -277,44 +277,47 @@ def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT)
     # The bound is the number of words; the order is total, so a rerun takes the same ones.
     top = encoded.orderBy(F.desc("n"), "word").limit(frequent).select("word", "ids").toArrow()
     known = spark.sparkContext.broadcast(_packed(top))
-    texts = docs.select("text", F.xxhash64("text").alias("_key")).where("text IS NOT NULL")
+    kept = docs.drop("ids", "round_trip", "exact")
+    names = [n for n in kept.columns if n != "text"]
+    key, rare_words, small_text = unused([*kept.columns, "word", "ids"], 3)
+    texts = docs.select("text", F.xxhash64("text").alias(key)).where("text IS NOT NULL")
 
     def missing(batch: pa.RecordBatch):
         keys, words, frequent = [], [], known.value
-        for key, text in zip(batch["_key"].to_pylist(), batch["text"].to_pylist()):
+        for name, text in zip(batch[key].to_pylist(), batch["text"].to_pylist()):
             rare = [w for w in set(cutter.value.parts(text)) if w not in frequent]
-            keys.extend([key] * len(rare))
+            keys.extend([name] * len(rare))
             words.extend(rare)
-        yield {"_key": keys, "word": words}
+        yield {key: keys, "word": words}
 
     # Copies of a text ask for the same words; they are united where the word is, before they travel.
     replies = (
-        mapped(texts, missing, "_key bigint, word string")
+        mapped(texts, missing, f"{key} bigint, word string")
         .join(encoded.select("word", "ids"), "word")
-        .groupBy("_key")
-        .agg(F.collect_set(F.struct("word", "ids")).alias("_rare"))
+        .groupBy(key)
+        .agg(F.collect_set(F.struct("word", "ids")).alias(rare_words))
     )
-    kept = docs.drop("ids", "round_trip", "exact")
-    names = [n for n in kept.columns if n != "text"]
 
     def packed(batch: pa.RecordBatch):
         press = zstandard.ZstdCompressor(level=1)
         small = [None if t is None else press.compress(t) for t in text_bytes(batch["text"])]
-        yield {**{n: batch[n] for n in names}, "_key": batch["_key"], "_packed": small}
+        yield {**{n: batch[n] for n in names}, key: batch[key], small_text: small}
 
     plain = ", ".join(f"`{n}` {t}" for n, t in kept.dtypes if n != "text")
     travelling = mapped(
-        kept.withColumn("_key", F.xxhash64("text")),
+        kept.withColumn(key, F.xxhash64("text")),
         packed,
-        f"{plain}{', ' if plain else ''}_key bigint, _packed binary",
+        f"{plain}{', ' if plain else ''}{key} bigint, {small_text} binary",
     )
-    joined = travelling.join(replies, "_key", "left").drop("_key")
+    joined = travelling.join(replies, key, "left").drop(key)
     spelled = spark.sparkContext.broadcast(pieces.bytes_of())
 
     def assembled(batch: pa.RecordBatch):
         unpack = zstandard.ZstdDecompressor()
         texts, out, fine, exact = [], [], [], []
-        for small, listed in zip(batch["_packed"].to_pylist(), batch["_rare"].to_pylist()):
+        for small, listed in zip(
+            batch[small_text].to_pylist(), batch[rare_words].to_pylist()
+        ):
             text = None if small is None else unpack.decompress(small).decode("utf-8")
             own = {r["word"]: np.array(r["ids"], dtype=np.int32).tobytes() for r in listed or ()}
             table = known.value

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from sluice.llm.common import table
 from sluice.llm.contamination import contamination
 from sluice.llm.encoding import encode_texts
 from sluice.llm.language import identify
-from sluice.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES, license_scan
+from sluice.llm.licenses import CONTAINMENT, PHRASES, SLACK, TEMPLATES, license_scan
 from sluice.llm.minhash import near_duplicate_groups
 from sluice.llm.negatives import hard_negatives
 from sluice.llm.prefixes import conversation_trie
@@ -117,13 +119,15 @@ register(
 
 _PHRASE_ROWS = ", ".join(f"('{p}', '{l}', {len(p.split())})" for p, l in PHRASES.items())
 _TEMPLATE_ROWS = ", ".join(
-    f"({n}, '{label}', ['" + "', '".join(sorted(set(text.split()))) + "'])"
+    f"({n}, '{label}', ['"
+    + "', '".join(sorted(set(text.split())))
+    + f"'], {math.ceil(SLACK * len(text.split()))})"
     for n, (label, text) in enumerate(TEMPLATES)
 )
 _PARTS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 OP8 = f"""
 WITH phrases(phrase, label, n) AS (VALUES {_PHRASE_ROWS}),
-templates(id, label, t) AS (VALUES {_TEMPLATE_ROWS}),
+templates(id, label, t, run) AS (VALUES {_TEMPLATE_ROWS}),
 lowered AS (SELECT doc_id, coalesce({_LOWER}, '') AS text FROM documents),
 toks AS (SELECT doc_id, {_PARTS.format("text")} AS w FROM lowered),
 places AS (
@@ -137,9 +141,16 @@ places AS (
 ), lines AS (
   SELECT doc_id, list_distinct({_PARTS.format("line")}) AS b FROM (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM lowered)
+), able AS (
+  SELECT doc_id, label, t, run, w FROM toks
+  JOIN templates ON len(list_intersect(w, t)) >= ceil({CONTAINMENT} * len(t) - 1e-9)
 ), held AS (
   SELECT doc_id, label, len(list_intersect(b, t)) AS both_n, len(t) AS size
   FROM lines CROSS JOIN templates
+  UNION ALL
+  -- Notices that run over several lines: words from one of the template on.
+  SELECT doc_id, label, len(list_intersect(w[s:s + run - 1], t)), len(t)
+  FROM (SELECT *, unnest(range(1, len(w) + 1)) AS s FROM able) p WHERE list_contains(t, w[s])
 ), more AS (
   SELECT doc_id, list(DISTINCT label) AS labels, max(both_n / size) AS best FROM held
   WHERE both_n >= ceil({CONTAINMENT} * size - 1e-9) GROUP BY doc_id

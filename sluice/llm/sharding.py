@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import staged
+from sluice.llm.common import staged, unused
 
 BITS = 60
 #: Bits beyond log2(total / limit) at the start, and bits added to cells that are too large.
@@ -38,8 +38,8 @@ def hash_bits(key: list[str], spread: list[str]) -> Column:
     return F.shiftleft(_half(key), BITS // 2).bitwiseOR(_half([*key, *spread]))
 
 
-def _cell(depth: int) -> Column:
-    return F.shiftright("_bits", BITS - depth)
+def _cell(bits: str, depth: int) -> Column:
+    return F.shiftright(bits, BITS - depth)
 
 
 def _directory(cells: DataFrame, above: int, depth: int, limit: int) -> DataFrame:
@@ -78,37 +78,42 @@ def with_shards(
 ) -> DataFrame:
     """``rows`` with shard (its hash prefix in binary), shard_bytes and oversized."""
     kept = rows.drop("shard", "shard_bytes", "oversized")
-    hashed = kept.withColumn("_bits", hash_bits(key, spread)).withColumn(
-        "_size", F.coalesce(F.octet_length(size), F.lit(0)).cast("bigint")
+    # Three columns, and three for every round.
+    rounds = BITS // DEEPER + 2
+    bits, bytes_, used, *free = unused(kept.columns, 3 + 3 * rounds)
+    hashed = kept.withColumn(bits, hash_bits(key, spread)).withColumn(
+        bytes_, F.coalesce(F.octet_length(size), F.lit(0)).cast("bigint")
     )
-    small = hashed.select("_bits", "_size")
-    total = small.agg(F.sum("_size")).first()[0] or 0
+    small = hashed.select(bits, bytes_)
+    total = small.agg(F.sum(bytes_)).first()[0] or 0
     depth = min(BITS, max(0, math.ceil(math.log2(max(1.0, total / limit)))) + SPARE)
-    cells = small.groupBy(_cell(depth).alias("cell")).agg(F.sum("_size").alias("bytes"))
-    above, found, depths = 0, hashed, []
+    cells = small.groupBy(_cell(bits, depth).alias("cell")).agg(F.sum(bytes_).alias("bytes"))
+    above, found, depths, sums = 0, hashed, [], []
     while True:
         directory = staged(_directory(cells, above, depth, limit), "directory")
+        cell, shard_depth, shard_bytes = free[:3]
+        free = free[3:]
         here = directory.where("shard_depth IS NOT NULL").select(
-            F.col("cell").alias(f"_cell_{depth}"),
-            F.col("shard_depth").alias(f"_depth_{depth}"),
-            F.col("shard_bytes").alias(f"_bytes_{depth}"),
+            F.col("cell").alias(cell),
+            F.col("shard_depth").alias(shard_depth),
+            F.col("shard_bytes").alias(shard_bytes),
         )
-        found = found.join(here, _cell(depth) == F.col(f"_cell_{depth}"), "left")
-        depths.append(depth)
+        found = found.join(here, _cell(bits, depth) == F.col(cell), "left")
+        depths.append(shard_depth)
+        sums.append(shard_bytes)
         large = directory.where("shard_depth IS NULL").select(F.col("cell").alias("large"))
         if not large.limit(1).count():
             break
         # Only the rows of cells that are too large go one round deeper.
-        small = small.join(large, _cell(depth) == F.col("large"), "left_semi")
+        small = small.join(large, _cell(bits, depth) == F.col("large"), "left_semi")
         above, depth = depth + 1, min(BITS, depth + DEEPER)
-        cells = small.groupBy(_cell(depth).alias("cell")).agg(F.sum("_size").alias("bytes"))
-    used = F.coalesce(*(F.col(f"_depth_{d}") for d in depths))
-    bytes_ = F.coalesce(*(F.col(f"_bytes_{d}") for d in depths))
-    return found.withColumn("_used", used).select(
+        cells = small.groupBy(_cell(bits, depth).alias("cell")).agg(F.sum(bytes_).alias("bytes"))
+    total_bytes = F.coalesce(*sums)
+    return found.withColumn(used, F.coalesce(*depths)).select(
         *(F.col(f"`{c}`") for c in kept.columns),
-        F.when(F.col("_used") == 0, "")
-        .otherwise(F.expr("lpad(bin(shiftright(_bits, %d - _used)), _used, '0')" % BITS))
+        F.when(F.col(used) == 0, "")
+        .otherwise(F.expr(f"lpad(bin(shiftright({bits}, {BITS} - {used})), {used}, '0')"))
         .alias("shard"),
-        bytes_.alias("shard_bytes"),
-        (bytes_ > limit).alias("oversized"),
+        total_bytes.alias("shard_bytes"),
+        (total_bytes > limit).alias("oversized"),
     )
