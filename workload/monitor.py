@@ -49,6 +49,7 @@ _HERE = f"workspace_id = '{WORKSPACE}' AND "
 _UPDATES_SQL = _rolled_sql(
     "update_id", f"{_HERE}pipeline_id = '{UPDATES_OF}'", termination=False
 )
+_ALL_UPDATES_SQL = _UPDATES_SQL.replace(_HERE, "")
 _JOB_SQL = _rolled_sql("run_id", f"{_HERE}job_id = '{STREAM_JOB}'")
 _BATCH_SLICES_SQL = _rolled_sql("job_id, run_id", f"{_HERE}job_id IN ('1', '2', '3')")
 _BATCH_SQL = (
@@ -74,6 +75,10 @@ def _updates(s, d):
     return m.pipeline_updates(_slices(s, d), UPDATES_OF, AS_OF, WORKSPACE)
 
 
+def _all_updates(s, d):
+    return m.pipeline_updates(_slices(s, d), UPDATES_OF, AS_OF)
+
+
 def _job_runs(s, d):
     return m.job_runs(_slices(s, d), STREAM_JOB, AS_OF, WORKSPACE)
 
@@ -90,7 +95,7 @@ def _stream_health(s, d):
     return m.streaming_health(_slices(s, d), UPDATES_OF, _slices(s, d), STREAM_JOB, AS_OF, WORKSPACE)
 
 
-register("pipeline_updates", _updates, _UPDATES_SQL)
+register("pipeline_updates", _all_updates, _ALL_UPDATES_SQL)
 register("streaming_job_runs", _job_runs, _JOB_SQL)
 register("batch_job_runs", _batch_runs, _BATCH_SQL)
 register("batch_health", _batch_health, _BATCH_HEALTH_SQL)
