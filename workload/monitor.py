@@ -51,6 +51,7 @@ _UPDATES_SQL = _rolled_sql(
 )
 _ALL_UPDATES_SQL = _UPDATES_SQL.replace(_HERE, "")
 _JOB_SQL = _rolled_sql("run_id", f"{_HERE}job_id = '{STREAM_JOB}'")
+_ALL_JOB_SQL = _JOB_SQL.replace(_HERE, "")
 _BATCH_SLICES_SQL = _rolled_sql("job_id, run_id", f"{_HERE}job_id IN ('1', '2', '3')")
 _BATCH_SQL = (
     "SELECT CASE job_id WHEN '1' THEN 'Medallion' WHEN '2' THEN 'Gate' ELSE 'Job ' || job_id END "
@@ -83,6 +84,10 @@ def _job_runs(s, d):
     return m.job_runs(_slices(s, d), STREAM_JOB, AS_OF, WORKSPACE)
 
 
+def _all_job_runs(s, d):
+    return m.job_runs(_slices(s, d), STREAM_JOB, AS_OF)
+
+
 def _batch_runs(s, d):
     return m.batch_runs(_slices(s, d), JOBS, LABELS, AS_OF, WORKSPACE)
 
@@ -96,7 +101,7 @@ def _stream_health(s, d):
 
 
 register("pipeline_updates", _all_updates, _ALL_UPDATES_SQL)
-register("streaming_job_runs", _job_runs, _JOB_SQL)
+register("streaming_job_runs", _all_job_runs, _ALL_JOB_SQL)
 register("batch_job_runs", _batch_runs, _BATCH_SQL)
 register("batch_health", _batch_health, _BATCH_HEALTH_SQL)
 register("streaming_health", _stream_health, _STREAM_HEALTH_SQL)
