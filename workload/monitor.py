@@ -58,6 +58,7 @@ _BATCH_SQL = (
     "AS job_name, run_id, CAST(started_at AS DATE) AS run_date, started_at, finished_at, "
     f"result_state, termination_code, duration_seconds FROM ({_BATCH_SLICES_SQL}) r"
 )
+_ALL_BATCH_SQL = _BATCH_SQL.replace(_HERE, "")
 _BATCH_HEALTH_SQL = (
     f"SELECT count(*) FILTER (WHERE {_BAD}) AS failed_runs, "
     "count(*) FILTER (WHERE upper(result_state) = 'RUNNING') AS running_runs, "
@@ -92,6 +93,10 @@ def _batch_runs(s, d):
     return m.batch_runs(_slices(s, d), JOBS, LABELS, AS_OF, WORKSPACE)
 
 
+def _all_batch_runs(s, d):
+    return m.batch_runs(_slices(s, d), JOBS, LABELS, AS_OF)
+
+
 def _batch_health(s, d):
     return m.batch_health(_slices(s, d), JOBS, AS_OF, WORKSPACE)
 
@@ -102,7 +107,7 @@ def _stream_health(s, d):
 
 register("pipeline_updates", _all_updates, _ALL_UPDATES_SQL)
 register("streaming_job_runs", _all_job_runs, _ALL_JOB_SQL)
-register("batch_job_runs", _batch_runs, _BATCH_SQL)
+register("batch_job_runs", _all_batch_runs, _ALL_BATCH_SQL)
 register("batch_health", _batch_health, _BATCH_HEALTH_SQL)
 register("streaming_health", _stream_health, _STREAM_HEALTH_SQL)
 
