@@ -12,7 +12,12 @@ SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not mounted")
 
 #: Queries whose results depend on the slices of the second workspace.
-WHOLE = ("pipeline_updates", "streaming_job_runs", "batch_job_runs")
+WHOLE = (
+    "pipeline_updates",
+    "streaming_job_runs",
+    "batch_job_runs",
+    "batch_health",
+)
 
 
 @pytest.mark.parametrize("name", WHOLE)

@@ -65,6 +65,7 @@ _BATCH_HEALTH_SQL = (
     "arg_max(duration_seconds, (started_at, run_id)) AS last_duration_seconds "
     f"FROM ({_rolled_sql('run_id', _HERE + 'job_id IN (' + repr(JOBS)[1:-1] + ')')}) r"
 )
+_ALL_BATCH_HEALTH_SQL = _BATCH_HEALTH_SQL.replace(_HERE, "")
 _STREAM_HEALTH_SQL = (
     f"SELECT count(*) FILTER (WHERE {_BAD}) AS failed_updates, "
     "arg_max(duration_seconds, (started_at, update_id)) AS last_update_duration_seconds, "
@@ -101,6 +102,10 @@ def _batch_health(s, d):
     return m.batch_health(_slices(s, d), JOBS, AS_OF, WORKSPACE)
 
 
+def _all_batch_health(s, d):
+    return m.batch_health(_slices(s, d), JOBS, AS_OF)
+
+
 def _stream_health(s, d):
     return m.streaming_health(_slices(s, d), UPDATES_OF, _slices(s, d), STREAM_JOB, AS_OF, WORKSPACE)
 
@@ -108,7 +113,7 @@ def _stream_health(s, d):
 register("pipeline_updates", _all_updates, _ALL_UPDATES_SQL)
 register("streaming_job_runs", _all_job_runs, _ALL_JOB_SQL)
 register("batch_job_runs", _all_batch_runs, _ALL_BATCH_SQL)
-register("batch_health", _batch_health, _BATCH_HEALTH_SQL)
+register("batch_health", _all_batch_health, _ALL_BATCH_HEALTH_SQL)
 register("streaming_health", _stream_health, _STREAM_HEALTH_SQL)
 
 # -- event log -------------------------------------------------------------
