@@ -17,6 +17,7 @@ WHOLE = (
     "streaming_job_runs",
     "batch_job_runs",
     "batch_health",
+    "chart_running_runs",
 )
 
 

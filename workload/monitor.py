@@ -322,7 +322,12 @@ register(
 
 _CHARTS = {
     "failed_runs": (charts.failed_runs, _batch_health, "failed_runs", _BATCH_HEALTH_SQL),
-    "running_runs": (charts.running_runs, _batch_health, "running_runs", _BATCH_HEALTH_SQL),
+    "running_runs": (
+        charts.running_runs,
+        _all_batch_health,
+        "running_runs",
+        _ALL_BATCH_HEALTH_SQL,
+    ),
     "last_run_duration": (
         charts.last_run_duration,
         _batch_health,
