@@ -18,6 +18,7 @@ WHOLE = (
     "batch_job_runs",
     "batch_health",
     "chart_running_runs",
+    "chart_duration_by_day_and_job",
 )
 
 

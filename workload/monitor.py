@@ -336,9 +336,9 @@ _CHARTS = {
     ),
     "duration_by_day_and_job": (
         charts.duration_by_day_and_job,
-        _batch_runs,
+        _all_batch_runs,
         "run_date, job_name, avg(duration_seconds) AS avg_duration_seconds",
-        f"{_BATCH_SQL}) q GROUP BY run_date, job_name --",
+        f"{_ALL_BATCH_SQL}) q GROUP BY run_date, job_name --",
     ),
     "failures_by_job": (
         charts.failures_by_job,
