@@ -19,6 +19,7 @@ WHOLE = (
     "batch_health",
     "chart_running_runs",
     "chart_duration_by_day_and_job",
+    "chart_batch_run_durations",
 )
 
 

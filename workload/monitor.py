@@ -348,9 +348,9 @@ _CHARTS = {
     ),
     "batch_run_durations": (
         charts.run_durations,
-        _batch_runs,
+        _all_batch_runs,
         "started_at, duration_seconds, result_state",
-        _BATCH_SQL,
+        _ALL_BATCH_SQL,
     ),
     "quarantined_by_date_and_stage": (
         charts.quarantined_by_date_and_stage,
