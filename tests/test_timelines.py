@@ -20,6 +20,7 @@ WHOLE = (
     "chart_running_runs",
     "chart_duration_by_day_and_job",
     "chart_batch_run_durations",
+    "chart_update_durations",
 )
 
 

@@ -374,9 +374,9 @@ _CHARTS = {
     ),
     "update_durations": (
         charts.run_durations,
-        _updates,
+        _all_updates,
         "started_at, duration_seconds, result_state",
-        _UPDATES_SQL,
+        _ALL_UPDATES_SQL,
     ),
     "output_by_flow": (
         charts.output_by_flow,
