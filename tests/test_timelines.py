@@ -21,6 +21,7 @@ WHOLE = (
     "chart_duration_by_day_and_job",
     "chart_batch_run_durations",
     "chart_update_durations",
+    "chart_stream_run_durations",
 )
 
 

@@ -392,9 +392,9 @@ _CHARTS = {
     ),
     "stream_run_durations": (
         charts.run_durations,
-        _job_runs,
+        _all_job_runs,
         "started_at, duration_seconds, result_state",
-        _JOB_SQL,
+        _ALL_JOB_SQL,
     ),
     "event_age": (
         charts.event_age,
