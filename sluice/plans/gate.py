@@ -21,7 +21,7 @@ from sluice.model import BUSINESS_DATE, ENTITIES, LINEAGE
 from sluice.operators.checks import rejected, tally
 from sluice.operators.cleaning import clean, snapshot_of
 from sluice.plans.rulebook import BEFORE_SILVER, SOURCE_LAYER, rules_for
-from sluice.sources.tables import Lake
+from sluice.sources.tables import EmptyPartition, Lake
 
 CONTROL_LAYER = "observability"
 METRICS_TABLE = "dq_run_metrics"
@@ -110,7 +110,9 @@ def stage_rows(
     """
     cleaned = clean(source, entity, for_gate=True).withColumn(RUN, F.lit(run_id))
     lake.drop_if_other(cleaned.schema, STAGING_LAYER, entity)
-    if not lake.replace_slices(cleaned, STAGING_LAYER, entity, by=[BUSINESS_DATE]):
+    try:
+        lake.replace_partition(cleaned, STAGING_LAYER, entity, odate)
+    except EmptyPartition:
         return None
     return lake.partition(STAGING_LAYER, entity, odate).drop(RUN)
 

@@ -114,7 +114,7 @@ class Lake:
             if self.fmt == "delta":
                 self._replace_where(frame, rows, target, odate, existed, recreate)
             else:
-                beside = self._write_beside(rows, layer, table, [BUSINESS_DATE])
+                beside = self._write_one(rows, layer, table, {BUSINESS_DATE: odate})
         except PySparkException as error:
             if OUTSIDE in str(error):
                 raise PartitionContract(f"refusing to write {target}: {OUTSIDE}") from error
@@ -171,14 +171,28 @@ class Lake:
 
     # -- folders beside, and the partitions that point at them -------------
 
+    def _beside(self, layer: str, table: str) -> str:
+        place = self.spark.catalog.getDatabase(self._layer(layer)).locationUri
+        return f"{place.rstrip('/')}/_versions/{table}/{uuid.uuid4().hex}"
+
     def _write_beside(
         self, rows: DataFrame, layer: str, table: str, partition_by: Sequence[str]
     ) -> str:
-        place = self.spark.catalog.getDatabase(self._layer(layer)).locationUri
-        folder = f"{place.rstrip('/')}/_versions/{table}/{uuid.uuid4().hex}"
+        folder = self._beside(layer, table)
         rows.write.format(self.fmt).partitionBy(*partition_by).save(folder)
         return folder
 
+    def _write_one(
+        self, rows: DataFrame, layer: str, table: str, values: dict[str, object]
+    ) -> str:
+        """The same for rows of one partition.
+
+        A partitioned write sorts its rows by the partition columns, here for nothing.
+        """
+        folder = self._beside(layer, table)
+        rows.drop(*values).write.format(self.fmt).save(_part(folder, values))
+        return folder
+
     def _create(self, schema: StructType, target: str, partition_by: Sequence[str]) -> None:
         last = [f for f in schema.fields if f.name in partition_by]
         first = [f for f in schema.fields if f.name not in partition_by]
@@ -189,7 +203,7 @@ class Lake:
     def _point(self, target: str, values: dict[str, object], folder: str) -> None:
         """Let one partition of ``target`` be what was written into ``folder``."""
         spec = ", ".join(f"`{name}` = {_literal(value)}" for name, value in values.items())
-        path = "/".join([folder, *(f"{name}={value}" for name, value in values.items())])
+        path = _part(folder, values)
         there = f"PARTITION ({spec})"
         self.spark.sql(f"ALTER TABLE {target} ADD IF NOT EXISTS {there} LOCATION '{path}'")
         self.spark.sql(f"ALTER TABLE {target} {there} SET LOCATION '{path}'")
@@ -371,8 +385,7 @@ class Lake:
 
     def _add_slice(self, rows: DataFrame, layer: str, table: str, name: str) -> None:
         """Rows become visible all at once, as one new partition."""
-        named = rows.withColumn(SLICE, F.lit(name))
-        folder = self._write_beside(named, layer, table, [SLICE])
+        folder = self._write_one(rows, layer, table, {SLICE: name})
         self._point(self.name(layer, table), {SLICE: name}, folder)
 
     def _slices(self, target: str) -> list[str]:
@@ -390,6 +403,10 @@ def _latest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _part(folder: str, values: dict[str, object]) -> str:
+    return "/".join([folder, *(f"{name}={value}" for name, value in values.items())])
+
+
 def _literal(value: object) -> str:
     if isinstance(value, date):
         return f"DATE '{value.isoformat()}'"
