@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.casts import whole_number
 from sluice.model import ENTITIES
-from sluice.operators.checks import ERRORS, accepted
+from sluice.operators.checks import ERRORS, accepted_keys
 from sluice.plans.gate import (
     CONTROL_LAYER,
     METRICS_TABLE,
@@ -141,7 +141,8 @@ def _published(spark, sf_dir, label: str) -> Lake:
     lake = fresh_lake(spark, label)
     for entity, contract in ENTITIES.items():
         key = contract.key
-        good = accepted(cleaned(spark, sf_dir, entity, True), rules_for(BEFORE_SILVER, entity, AS_OF))
+        rules = rules_for(BEFORE_SILVER, entity, AS_OF)
+        good = accepted_keys(cleaned(spark, sf_dir, entity, True), rules)
         known = good.select(F.col(key).alias("_good"))
         raw = frame(spark, sf_dir, entity)
         passing = raw.join(known, whole_number(key) == F.col("_good"), "left_semi")
