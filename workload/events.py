@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.checks import ERRORS, rule_outcomes
@@ -243,12 +243,36 @@ def _drained(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(f"{home}/rows")
 
 
-def _valid_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The broker records whose events break no rule."""
-    return _as_records(classified_rows(bronze(spark, sf_dir)).where(F.size(ERRORS) == 0))
+#: Files per core that a landing of records has: enough for all cores to end at about the same time.
+_FILES_PER_CORE = 4
 
 
-def _as_records(rows: DataFrame) -> DataFrame:
+def _spread_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``bronze``, made by all cores from a few files with few row groups.
+
+    The events are dealt out, by a hash of all columns that needs no sort, before the texts are made.
+    """
+    columns = DERIVED["records"](Spark)[1]
+    events = load(spark, sf_dir, "events")
+    parts = _FILES_PER_CORE * spark.sparkContext.defaultParallelism
+    dealt = events.repartition(parts, *events.columns)
+    records = dealt.selectExpr(*(f"{e} AS `{c}`" for c, e in columns.items()))
+    return bronze_rows(records, as_of=F.col("arrived"))
+
+
+def _valid_records(spark: SparkSession, sf_dir: str, update: str = "0") -> DataFrame:
+    """The broker records whose events break no rule, made and checked once and stored.
+
+    ``update`` is an expression over the checked event: the number of the update it comes with.
+    """
+    folder = scratch_path(spark, "valid-records")
+    valid = classified_rows(_spread_bronze(spark, sf_dir)).where(F.size(ERRORS) == 0)
+    records = _as_records(valid, F.expr(update).cast("int").alias("update"))
+    records.write.parquet(folder)
+    return spark.read.schema(records.schema).parquet(folder)
+
+
+def _as_records(rows: DataFrame, *more: Column) -> DataFrame:
     return rows.select(
         F.col("event_key").alias("key"),
         F.col("raw_payload").alias("value"),
@@ -257,9 +281,14 @@ def _as_records(rows: DataFrame) -> DataFrame:
         F.col("eventhub_offset").alias("offset"),
         F.col("eventhub_enqueued_at").alias("timestamp"),
         F.col("ingested_at").alias("arrived"),
+        *more,
     )
 
 
+def _of_update(records: DataFrame, number: int) -> DataFrame:
+    return records.where(F.col("update") == number).drop("update")
+
+
 class _Landing:
     """A folder of broker records that grows between updates of one stream."""
 
@@ -291,7 +320,7 @@ def stream_silver(spark, sf_dir) -> DataFrame:
     """Every valid event arrives twice and is kept once, through the rows of a Silver update."""
     spark.conf.set(STATE_PROVIDER, ROCKSDB)
     folder = scratch_path(spark, "stream-silver-records")
-    records = _valid_records(spark, sf_dir)
+    records = _valid_records(spark, sf_dir).drop("update")
     records.union(records).write.parquet(folder)
     source = spark.readStream.schema(records.schema).parquet(folder)
     rows = silver_rows(bronze_rows(source, as_of=F.col("arrived")))
@@ -322,18 +351,17 @@ register(
 _CUT = "TIMESTAMP '2024-01-16 15:00:00'"
 #: How long before it some events still come with the second update, within the watermark.
 _OVERLAP = "INTERVAL 20 HOUR"
-_EVENT_TIME = "CAST(get_json_object(value, '$.event_time') AS TIMESTAMP)"
 
 
 def _two_updates(spark, sf_dir, label: str) -> VitalStream:
     """All valid events in two updates; days before the cut get rows from both."""
     landing = _Landing(spark, label)
     second = (
-        f"{_EVENT_TIME} >= {_CUT} OR ({_EVENT_TIME} >= {_CUT} - {_OVERLAP} AND offset % 3 = 0)"
+        f"event_time >= {_CUT} OR (event_time >= {_CUT} - {_OVERLAP} AND eventhub_offset % 3 = 0)"
     )
-    records = _valid_records(spark, sf_dir)
-    for part in (f"NOT ({second})", second):
-        landing.drain(records.where(part), landing.stream.start_gold)
+    records = _valid_records(spark, sf_dir, f"CASE WHEN {second} THEN 1 ELSE 0 END")
+    for number in range(2):
+        landing.drain(_of_update(records, number), landing.stream.start_gold)
     return landing.stream
 
 
@@ -355,12 +383,11 @@ register("stream_gold_hourly", stream_gold_hourly, HOURLY_SQL)
 def stream_late_events(spark, sf_dir) -> DataFrame:
     """Events before the cut come after those behind it: what the watermark shuts out."""
     landing = _Landing(spark, "late")
-    records = _valid_records(spark, sf_dir)
-    late = landing.stream.start_late
-    landing.drain(records.where(f"{_EVENT_TIME} < {_CUT}"), late)
-    landing.drain(records.where(f"{_EVENT_TIME} >= {_CUT} AND offset % 2 = 0"), late)
-    # The update before has moved the watermark to 25 hours before its latest event.
-    landing.drain(records.where(f"{_EVENT_TIME} >= {_CUT} AND offset % 2 = 1"), late)
+    update = f"CASE WHEN event_time < {_CUT} THEN 0 ELSE 1 + eventhub_offset % 2 END"
+    records = _valid_records(spark, sf_dir, update)
+    # The second update moves the watermark to 25 hours before its latest event.
+    for number in range(3):
+        landing.drain(_of_update(records, number), landing.stream.start_late)
     return landing.stream.late()
 
 
@@ -407,7 +434,7 @@ register(
 
 def stream_bounded_batches(spark, sf_dir) -> DataFrame:
     """A drain of Bronze by bytes: its rows, and whether it took as many batches as the bound asks."""
-    records = _valid_records(spark, sf_dir)
+    records = _valid_records(spark, sf_dir).drop("update")
     landing = _Landing(spark, "bounded")
     # Files well below the bound, whatever the size of the table.
     records.repartition(64).write.parquet(landing.folder)
@@ -452,7 +479,7 @@ register("stream_rule_outcomes", stream_rule_outcomes, OUTCOMES_SQL)
 def stream_history_silver(spark, sf_dir) -> DataFrame:
     """Silver read through the laid out copies of its first days and the stream's own files."""
     landing = _Landing(spark, "history")
-    landing.drain(_valid_records(spark, sf_dir), None)
+    landing.drain(_valid_records(spark, sf_dir).drop("update"), None)
     copied = landing.stream.lay_out(SILVER, date(2024, 1, 4), rows_per_file=100)
     if not copied:
         raise AssertionError("no day was laid out")
