@@ -183,14 +183,20 @@ class Lake:
         return folder
 
     def _write_one(
-        self, rows: DataFrame, layer: str, table: str, values: dict[str, object]
+        self,
+        rows: DataFrame,
+        layer: str,
+        table: str,
+        values: dict[str, object],
+        rows_per_file: int = 0,
     ) -> str:
         """The same for rows of one partition.
 
         A partitioned write sorts its rows by the partition columns, here for nothing.
         """
         folder = self._beside(layer, table)
-        rows.drop(*values).write.format(self.fmt).save(_part(folder, values))
+        writer = rows.drop(*values).write.format(self.fmt)
+        writer.option("maxRecordsPerFile", rows_per_file).save(_part(folder, values))
         return folder
 
     def _create(self, schema: StructType, target: str, partition_by: Sequence[str]) -> None:
@@ -266,6 +272,27 @@ class Lake:
             self._point(target, values, folder)
         return slices
 
+    def replace_slice(
+        self,
+        rows: DataFrame,
+        layer: str,
+        table: str,
+        values: dict[str, object],
+        rows_per_file: int = 0,
+    ) -> None:
+        """Replace one partition with ``rows``, which all belong to it, in the order they have.
+
+        A task starts another file after ``rows_per_file`` rows (0: never).
+        """
+        if self.fmt == "delta":
+            self.replace_slices(rows, layer, table, list(values))
+            return
+        self.ensure_layer(layer)
+        folder = self._write_one(rows, layer, table, values, rows_per_file)
+        if not self.exists(layer, table):
+            self._create(rows.schema, self.name(layer, table), list(values))
+        self._point(self.name(layer, table), values, folder)
+
     def _overwrite_slices(
         self, rows: DataFrame, layer: str, table: str, by: Sequence[str]
     ) -> list[dict[str, object]]:

@@ -57,6 +57,8 @@ LAYOUT = {
 DAY = {BRONZE: "eventhub_enqueued_at_date", SILVER: "event_time_date"}
 COPY = "_laid_out"
 ROWS_PER_FILE = 1_000_000
+# Rows below which a task that lays out rows is not worth its start.
+ROWS_PER_TASK = 20_000
 
 # Upper bound of files per micro-batch; it also bounds the rows of one hot event id.
 MAX_FILES = 1_000
@@ -223,9 +225,10 @@ class VitalStream:
         changed = sorted(d for d, n in counts.items() if copied.get(d) != n)
         for when in changed:
             rows = stored.where(F.col(day) == F.lit(when))
-            files = max(1, -(-counts[when] // rows_per_file))
-            self.lake.replace_slices(
-                laid_out(rows, LAYOUT[table], files), layer, name + COPY, by=[day]
+            # A task writes several files if they are small: their number is no number of tasks.
+            tasks = max(1, -(-counts[when] // max(rows_per_file, ROWS_PER_TASK)))
+            self.lake.replace_slice(
+                laid_out(rows, LAYOUT[table], tasks), layer, name + COPY, {day: when}, rows_per_file
             )
         return changed
 
