@@ -21,7 +21,13 @@ from sluice.operators.checks import ERRORS, rejected, rule_outcomes
 from sluice.operators.clustering import laid_out
 from sluice.operators.rules import row_rules
 from sluice.sources.tables import Lake
-from sluice.streaming.contract import QUARANTINE_FIELDS, SILVER_FIELDS, event_rules
+from sluice.streaming.contract import (
+    ACCEPTED_LATENESS,
+    CLOCK_SKEW,
+    QUARANTINE_FIELDS,
+    SILVER_FIELDS,
+    event_rules,
+)
 from sluice.streaming.events import (
     bronze_rows,
     parsed_rows,
@@ -166,8 +172,11 @@ class VitalStream:
 
     def _keep_late(self, rows: DataFrame, batch_id: int) -> None:
         valid = valid_rows(rows)
-        day = F.col("event_time").cast("date")
-        first, last = valid.agg(F.min(day), F.max(day)).first()
+        # Valid events lie this near to their arrival, so nothing is parsed to find the days.
+        queued = F.col("eventhub_enqueued_at")
+        earliest = F.min(queued - F.expr(ACCEPTED_LATENESS)).cast("date")
+        latest = F.max(queued + F.expr(CLOCK_SKEW)).cast("date")
+        first, last = rows.agg(earliest, latest).first()
         if first is None:
             return
         held = self.lake.read(*SILVER).where(F.col("event_time_date").between(first, last))

@@ -52,3 +52,31 @@ def test_small_files_are_not_a_task_each(spark, monkeypatch):
     ]
     assert len(sizes) == 30 and max(sizes) == 100
     assert stream.history(SILVER).exceptAll(lake.read(*SILVER)).isEmpty()
+
+
+def test_late_events_are_parsed_once(spark, monkeypatch):
+    home = scratch_path(spark, "late-once")
+    lake = Lake(spark, root=home, prefix=f"s{uuid.uuid4().hex[:8]}_")
+    rows = events._spread_bronze(spark, SF_DIR)
+    silver = events.valid_rows(rows).where("eventhub_offset % 2 = 0")
+    lake.ensure_layer("silver")
+    dated = silver.withColumn("event_time_date", F.col("event_time").cast("date"))
+    dated.write.partitionBy("event_time_date").saveAsTable(lake.name(*SILVER))
+    parsed, valid_rows = spark.sparkContext.accumulator(0), update.valid_rows
+
+    def counted(batches):
+        for batch in batches:
+            parsed.add(batch.num_rows)
+            yield batch
+
+    def watched(bronze):
+        valid = valid_rows(bronze)
+        return valid.mapInArrow(counted, valid.schema)
+
+    monkeypatch.setattr(update, "valid_rows", watched)
+    VitalStream(lake, f"{home}/checkpoints")._keep_late(rows, 0)
+    valid = valid_rows(rows)
+    assert parsed.value == valid.count()
+    late = lake.read(*update.LATE).select("event_id")
+    wanted = valid.where("eventhub_offset % 2 = 1").select("event_id")
+    assert late.count() > 0 and late.exceptAll(wanted).isEmpty() and wanted.exceptAll(late).isEmpty()
