@@ -7,12 +7,13 @@ pairs clearly below the threshold end there, all others are confirmed on their f
 
 Equal sets are collapsed first. Candidates of a band are then compared in three steps: every row
 with the band's smallest id; the rows outside the band's largest component with a few rows of it;
-and what is still outside with every row of another component that its size and its shared shingles
-allow. Rows already known to be connected need no comparison, because only the component is asked
+and what is still outside with every row of another component that shares a band with it and that its
+size and its shared shingles allow. Rows of that last step meet in blocks of bounded size, which
+compare them in place: rows are sent, not pairs. Rows already known to be connected need no comparison, because only the component is asked
 for, so a large group costs a few pairs a row while no candidate pair of different components goes
 unchecked. The last two steps first count the shingles that a row has alone among all rows it could
 meet: two rows have at most the smaller of the other counts in common, so a row with many edits of
-its own can link with rows of few sizes or with none, and is joined with no others.
+its own can link with rows of few sizes or with none, and meets no others.
 
 Lower-casing is by bytes A-Z. Null, empty and blank texts have no shingles, link with nothing and
 stay. Texts shorter than a shingle have their whole word sequence as only shingle. Rows with a null
@@ -53,8 +54,11 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 #: Rows of a component that rows outside it, but in a band with it, meet before all others.
 PIVOTS = 12
-#: Sizes of sets fall into classes that grow by this factor.
-CLASS_RATIO = 1.05
+#: Rows, and shingles of them, that one side of a comparison of blocks has on average at most.
+BLOCK_ROWS = 512
+BLOCK_SHINGLES = 1 << 21
+#: Shingles of a block, and pairs, that are compared at once.
+_SLICE, _PAIRS = 1 << 14, 1 << 12
 
 _random = np.random.default_rng(7)
 _FACTOR = _random.integers(0, 2**32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
@@ -176,6 +180,73 @@ def _agreeing(words: int, percent: int):
     return rows
 
 
+def _common(values: np.ndarray, lengths: np.ndarray, left: np.ndarray, right: np.ndarray):
+    """How many values each pair of rows has in common; a row's values are distinct."""
+    both = np.zeros(len(left), dtype=np.int64)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    _, place, counts = np.unique(values, return_inverse=True, return_counts=True)
+    # Values of one row alone need no place.
+    often = counts > 1
+    owner, place = owner[often[place]], (np.cumsum(often) - 1)[place[often[place]]]
+    for start in range(0, int(often.sum()), _SLICE):
+        here = (place >= start) & (place < start + _SLICE)
+        bits = np.zeros((len(lengths), _SLICE), dtype=bool)
+        bits[owner[here], place[here] - start] = True
+        packed = np.packbits(bits, axis=1).view(np.uint64)
+        for at in range(0, len(left), _PAIRS):
+            part = slice(at, at + _PAIRS)
+            both[part] += np.bitwise_count(packed[left[part]] & packed[right[part]]).sum(axis=1, dtype=np.int64)
+    return both
+
+
+def _joining(left: np.ndarray, right: np.ndarray) -> list[int]:
+    """The places of pairs that join two parts not joined by an earlier pair."""
+    above: dict[int, int] = {}
+
+    def top(part: int) -> int:
+        while part in above:
+            part = above[part]
+        return part
+
+    places = []
+    for place, (a, b) in enumerate(zip(left.tolist(), right.tolist())):
+        a, b = top(a), top(b)
+        if a != b:
+            above[max(a, b)] = min(a, b)
+            places.append(place)
+    return places
+
+
+def _block_links(percent: int):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def links(group: pa.Table) -> pa.Table:
+        ids, part, size, shared = (
+            group[n].to_numpy() for n in ("doc_id", "part", "size", "shared")
+        )
+        outside = group["outside"].to_numpy()
+        x, y = np.flatnonzero(outside), np.flatnonzero(~outside)
+        bands, shingles = (group[n].combine_chunks() for n in ("bands", "shingles"))
+        bands = bands.flatten().to_numpy().reshape(group.num_rows, -1)
+        near = np.zeros((len(x), len(y)), dtype=bool)
+        for band in bands.T:
+            near |= band[x][:, None] == band[y]
+        near &= part[x][:, None] != part[y]
+        most = np.minimum(shared[x][:, None], shared[y])
+        near &= most * (100 + percent) >= (size[x][:, None] + size[y]) * percent
+        i, j = np.nonzero(near)
+        left, right = x[i], y[j]
+        lengths = shingles.value_lengths().to_numpy()
+        both = _common(shingles.flatten().to_numpy(), lengths, left, right)
+        fine = (both > 0) & (100 * both >= percent * (size[left] + size[right] - both))
+        left, right = left[fine], right[fine]
+        # Only components are asked for.
+        told = _joining(part[left], part[right])
+        return pa.Table.from_arrays([ids[left[told]], ids[right[told]]], schema=schema)
+
+    return links
+
+
 class _Candidates:
     """Rows that share a band with another row, and what is needed to compare them."""
 
@@ -191,6 +262,7 @@ class _Candidates:
         self.bands = staged(keyed.join(centres, "band"), "bands")
         ids = self.bands.select("doc_id").distinct()
         self.signatures = reps.select("doc_id", "signature")
+        self.keys = reps.select("doc_id", "bands")
         texts = docs.select(F.col("doc_id").cast("bigint"), "text").where("doc_id IS NOT NULL")
         self.texts = staged(texts.join(ids, "doc_id"), "texts")
 
@@ -229,7 +301,7 @@ class _Candidates:
 
 
     def shared(self, open_rows: DataFrame) -> DataFrame:
-        """(home, doc_id, size, shared) of the rows of ``open_rows``, once for each text of an id.
+        """(home, doc_id, size, shared, shingles) of ``open_rows``, once for each text of an id.
 
         ``shared`` counts the shingles that some other row of the same home has too.
         """
@@ -264,11 +336,11 @@ class _Candidates:
             .agg(F.count("*").alias("alone"))
         )
         return (
-            sets.drop("shingles")
-            .join(alone, ["home", "doc_id", "key"], "left")
+            sets.join(alone, ["home", "doc_id", "key"], "left")
             .select(
                 "home", "doc_id", "size",
                 (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared"),
+                "shingles",
             )
         )
 
@@ -310,41 +382,47 @@ class _Candidates:
         )
 
     def possible(self, open_rows: DataFrame, shared: DataFrame) -> DataFrame:
-        """Pairs (x, y) of rows outside a band's home with rows of other components of the band.
+        """Links (a, b) of rows outside a home with rows of other components of its bands.
 
-        Pairs that sizes and shared shingles rule out are left out, most of them before the join:
-        rows meet by band and class of sizes, and only in classes where they can link.
+        Each block of a home's outside rows meets each block of all its rows. Whatever sizes and
+        shared shingles rule out is left out before; of the links of two blocks those are returned
+        that their components need.
         """
-        percent, size, common = self.percent, F.col("size"), F.col("shared")
+        size, rows = F.col("size"), F.count("*")
+        least = F.ceil(size * self.percent / 100)
+        able = staged(
+            open_rows.select("home", "doc_id", "part")
+            .distinct()
+            .join(shared.where(self._enough(F.col("shared"), size + least)), ["home", "doc_id"])
+            .join(self.keys, "doc_id"),
+            "able",
+        )
 
-        def size_class(number: Column) -> Column:
-            return F.floor(F.log(number) / F.log(F.lit(CLASS_RATIO))).cast("int")
+        def blocks(number: Column, shingles: Column) -> Column:
+            return F.ceil(F.greatest(number / BLOCK_ROWS, shingles / BLOCK_SHINGLES)).cast("int")
 
-        least = F.ceil(size * percent / 100)
-        able = open_rows.join(shared, ["home", "doc_id"]).where(
-            self._enough(common, size + least)
+        out = F.col("part") != F.col("home")
+        counts = able.groupBy("home").agg(
+            blocks(F.count_if(out), F.sum(F.when(out, size))).alias("n_x"),
+            blocks(rows, F.sum("size")).alias("n_y"),
         )
-        classes = F.sequence(size_class(least), size_class(F.floor(size * 100 / percent)))
-        # One less than the smallest size of a class, against rounding.
-        smallest = F.greatest(least, F.floor(F.pow(F.lit(CLASS_RATIO), "class")) - 1)
-        outside = (
-            able.where("part <> home")
-            .withColumn("class", F.explode(classes))
-            .where(self._enough(common, size + smallest))
+        dealt = able.join(counts.where("n_x > 0"), "home")
+        own = F.xxhash64("doc_id", "size")
+        others = {
+            True: {"x": F.pmod(own, "n_x").cast("int"), "y": F.explode(F.expr("sequence(0, n_y - 1)"))},
+            False: {"y": F.pmod(own, "n_y").cast("int"), "x": F.explode(F.expr("sequence(0, n_x - 1)"))},
+        }
+        sides = [
+            (dealt.where(out) if outside else dealt)
+            .withColumns(placed)
             .select(
-                "band", "class", F.col("doc_id").alias("x"), F.col("part").alias("part_x"),
-                size.alias("size_x"), common.alias("shared_x"),
+                "home", "x", "y", F.lit(outside).alias("outside"),
+                "doc_id", "part", "size", "shared", "bands", "shingles",
             )
-        )
-        inside = able.select(
-            "band", size_class(size).alias("class"), F.col("doc_id").alias("y"),
-            F.col("part").alias("part_y"), size.alias("size_y"), common.alias("shared_y"),
-        )
-        return (
-            outside.join(inside, ["band", "class"])
-            .where("part_x <> part_y")
-            .where(self._allowed())
-        )
+            for outside, placed in others.items()
+        ]
+        found = sides[0].union(sides[1]).groupBy("home", "x", "y")
+        return staged(found.applyInArrow(_block_links(self.percent), "a bigint, b bigint"), "links")
 
 
 def _ordered(x: str, y: str) -> list[Column]:
@@ -377,13 +455,16 @@ def near_duplicate_groups(
     groups = components(links, "components")
     # Then the rows outside a band's largest component: with a few rows of that component, which
     # settles almost all of a large group, and at last with every row of another component.
-    for step in (search.near_home, search.possible):
+    for last in (False, True):
         open_rows = search.unsettled(groups)
         if not open_rows.limit(1).count():
             break
         shared = staged(search.shared(open_rows), "shared")
-        pairs = step(open_rows, shared)
-        more = search.linked(pairs.select(*_ordered("x", "y")))
+        if last:
+            more = search.possible(open_rows, shared)
+        else:
+            pairs = search.near_home(open_rows, shared.drop("shingles"))
+            more = search.linked(pairs.select(*_ordered("x", "y")))
         links = links.union(more)
         groups = components(links, "components")
     reached = by_set.select(
