@@ -26,11 +26,12 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import counted, mapped, staged, text_bytes, unused
+from sluice.llm.common import counted, freed, mapped, staged, text_bytes, unused
 from sluice.llm.pieces import MODEL, SPACE, Cutter, Pieces, load_pieces
 
 FREQUENT = 200_000
@@ -39,6 +40,8 @@ TASK_CHARACTERS = 300_000
 #: Back pointers are collected in blocks of this size, so a long word is not copied at each step; up
 #: to this length whole paths are carried instead.
 _BLOCK = 256
+#: Bytes of an id where ids travel packed.
+_ID_BYTES = 4
 
 
 def piece_table(spark, pieces: Pieces) -> DataFrame:
@@ -46,6 +49,15 @@ def piece_table(spark, pieces: Pieces) -> DataFrame:
     return spark.createDataFrame(rows, "piece string, score double, id int")
 
 
+def reach_table(spark, pieces: Pieces) -> DataFrame:
+    """The length of the longest piece that begins with each three characters."""
+    reach: dict[str, int] = {}
+    for piece in pieces.scores:
+        if len(piece) >= 3:
+            reach[piece[:3]] = max(len(piece), reach.get(piece[:3], 0))
+    return spark.createDataFrame(list(reach.items()), "head string, reach int")
+
+
 def _appended(cur: Column, done: Column, item: Column) -> tuple[Column, Column]:
     """A list kept as full blocks and a current block, with one more item."""
     full = F.size(cur) >= _BLOCK
@@ -181,16 +193,18 @@ def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     """``words`` with their ids; words are distinct and should be partitioned by word."""
     named = words.columns
     table = piece_table(words.sparkSession, pieces)
+    heads = reach_table(words.sparkSession, pieces)
     window = pieces.longest
+    # The tables are as large as the vocabulary file. Only pieces of up to two characters begin with
+    # a head that no longer one has.
+    longest = F.least(F.coalesce("reach", F.lit(2)), F.length("word") - F.col("start"))
     substrings = (
         words.withColumn("start", F.explode(F.sequence(F.lit(0), F.length("word") - 1)))
-        .withColumn(
-            "len",
-            F.explode(F.sequence(F.lit(1), F.least(F.lit(window), F.length("word") - F.col("start")))),
-        )
+        .withColumn("head", F.expr("substring(word, start + 1, 3)"))
+        .join(F.broadcast(heads), "head", "left")
+        .withColumn("len", F.explode(F.sequence(F.lit(1), longest)))
         .withColumn("piece", F.expr("substring(word, start + 1, len)"))
     )
-    # The table is as large as the vocabulary file.
     edges = substrings.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR len = 1")
     # A character without a piece is noted as its code point, below zero.
     edges = edges.select(
@@ -270,13 +284,21 @@ def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT)
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
     )
-    counts = staged(counts, "distinct-words")
+    counts = staged(counts, "distinct-words", free=True)
     characters = counts.agg(F.sum(F.length("word"))).first()[0] or 0
     tasks = max(1, ceil(characters / TASK_CHARACTERS))
-    encoded = staged(encode_words(counts.repartition(tasks, "word"), pieces), "encoded-words")
+    found = encode_words(counts.repartition(tasks, "word"), pieces)
+    encoded = staged(
+        mapped(found.select("word", "n", "ids"), _with_bytes, "word string, n bigint, ids binary"),
+        "encoded-words",
+        free=True,
+    )
     # The bound is the number of words; the order is total, so a rerun takes the same ones.
-    top = encoded.orderBy(F.desc("n"), "word").limit(frequent).select("word", "ids").toArrow()
-    known = spark.sparkContext.broadcast(_packed(top))
+    with freed(spark):
+        top = encoded.orderBy(F.desc("n"), "word").limit(frequent).select("word", "ids").toArrow()
+    known = spark.sparkContext.broadcast(
+        dict(zip(top["word"].to_pylist(), top["ids"].to_pylist()))
+    )
     kept = docs.drop("ids", "round_trip", "exact")
     names = [n for n in kept.columns if n != "text"]
     key, rare_words, small_text = unused([*kept.columns, "word", "ids"], 3)
@@ -315,20 +337,30 @@ def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT)
     def assembled(batch: pa.RecordBatch):
         unpack = zstandard.ZstdDecompressor()
         texts, out, fine, exact = [], [], [], []
+        lists = batch[rare_words]
+        rare = dict(zip(("word", "ids"), (c.to_pylist() for c in lists.flatten().flatten())))
+        end = 0
         for small, listed in zip(
-            batch[small_text].to_pylist(), batch[rare_words].to_pylist()
+            batch[small_text].to_pylist(), pc.list_value_length(lists).to_pylist()
         ):
             text = None if small is None else unpack.decompress(small).decode("utf-8")
-            own = {r["word"]: np.array(r["ids"], dtype=np.int32).tobytes() for r in listed or ()}
+            start, end = end, end + (listed or 0)
+            own = dict(zip(rare["word"][start:end], rare["ids"][start:end]))
             table = known.value
-            parts = [table.get(w) or own[w] for w in cutter.value.parts(text)]
-            ids = np.frombuffer(b"".join(parts), dtype=np.int32)
+            joined = b"".join([table.get(w) or own[w] for w in cutter.value.parts(text)])
             texts.append(text)
-            out.append(None if text is None else ids)
-            decoded = _decoded(ids.tolist(), spelled.value) if text else text
+            out.append(joined)
+            ids = np.frombuffer(joined, dtype=np.int32).tolist()
+            decoded = _decoded(ids, spelled.value) if text else text
             fine.append(not text or decoded == text.replace(SPACE, " "))
             exact.append(decoded == text)
-        added = {"text": texts, "ids": out, "round_trip": fine, "exact": exact}
+        edges = np.cumsum([0, *(len(b) // _ID_BYTES for b in out)], dtype=np.int32)
+        ids = pa.ListArray.from_arrays(
+            pa.array(edges),
+            pa.array(np.frombuffer(b"".join(out), dtype=np.int32)),
+            mask=pa.array([t is None for t in texts], pa.bool_()),
+        )
+        added = {"text": texts, "ids": ids, "round_trip": fine, "exact": exact}
         yield {**{n: batch[n] for n in names}, **added}
 
     added = "ids array<int>, round_trip boolean, exact boolean"
@@ -336,8 +368,13 @@ def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT)
     return mapped(joined, assembled, types)
 
 
-def _packed(table: pa.Table) -> dict[str, bytes]:
-    return {
-        word: np.array(ids, dtype=np.int32).tobytes()
-        for word, ids in zip(table["word"].to_pylist(), table["ids"].to_pylist())
-    }
+def _with_bytes(batch: pa.RecordBatch):
+    """Encoded words with their ids as bytes."""
+    ids = batch["ids"]
+    lengths = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int32)
+    edges = np.cumsum([0, *(lengths * _ID_BYTES)], dtype=np.int32)
+    values = ids.flatten().to_numpy().astype(np.int32).tobytes()
+    small = pa.BinaryArray.from_buffers(
+        pa.binary(), len(ids), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(values)]
+    )
+    yield {"word": batch["word"], "n": batch["n"], "ids": small}
