@@ -11,7 +11,8 @@ because the words are already partitioned by word.
 Texts are put together from the encoded words. The ``FREQUENT`` most frequent words, a bounded
 number, are broadcast; for the rest each text's rare words are joined with the encoded words and come
 back to it. A rare word is at most every ``FREQUENT``-th of all words, so the join has no hot key.
-Texts travel to their rare words compressed. All words are encoded by the lattice.
+Texts travel to their rare words compressed, words with their ids as bytes; the shuffle files of each
+step are deleted once its table is written. All words are encoded by the lattice.
 
 Null and empty texts have no ids. A literal U+2581 decodes to a space, as in the tokenizer; that is
 no fault of the encoding, so ``round_trip`` allows for it, but ``exact`` is false there. Other
@@ -40,8 +41,6 @@ TASK_CHARACTERS = 300_000
 #: Back pointers are collected in blocks of this size, so a long word is not copied at each step; up
 #: to this length whole paths are carried instead.
 _BLOCK = 256
-#: Bytes of an id where ids travel packed.
-_ID_BYTES = 4
 
 
 def piece_table(spark, pieces: Pieces) -> DataFrame:
@@ -49,15 +48,6 @@ def piece_table(spark, pieces: Pieces) -> DataFrame:
     return spark.createDataFrame(rows, "piece string, score double, id int")
 
 
-def reach_table(spark, pieces: Pieces) -> DataFrame:
-    """The length of the longest piece that begins with each three characters."""
-    reach: dict[str, int] = {}
-    for piece in pieces.scores:
-        if len(piece) >= 3:
-            reach[piece[:3]] = max(len(piece), reach.get(piece[:3], 0))
-    return spark.createDataFrame(list(reach.items()), "head string, reach int")
-
-
 def _appended(cur: Column, done: Column, item: Column) -> tuple[Column, Column]:
     """A list kept as full blocks and a current block, with one more item."""
     full = F.size(cur) >= _BLOCK
@@ -193,18 +183,16 @@ def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     """``words`` with their ids; words are distinct and should be partitioned by word."""
     named = words.columns
     table = piece_table(words.sparkSession, pieces)
-    heads = reach_table(words.sparkSession, pieces)
     window = pieces.longest
-    # The tables are as large as the vocabulary file. Only pieces of up to two characters begin with
-    # a head that no longer one has.
-    longest = F.least(F.coalesce("reach", F.lit(2)), F.length("word") - F.col("start"))
     substrings = (
         words.withColumn("start", F.explode(F.sequence(F.lit(0), F.length("word") - 1)))
-        .withColumn("head", F.expr("substring(word, start + 1, 3)"))
-        .join(F.broadcast(heads), "head", "left")
-        .withColumn("len", F.explode(F.sequence(F.lit(1), longest)))
+        .withColumn(
+            "len",
+            F.explode(F.sequence(F.lit(1), F.least(F.lit(window), F.length("word") - F.col("start")))),
+        )
         .withColumn("piece", F.expr("substring(word, start + 1, len)"))
     )
+    # The table is as large as the vocabulary file.
     edges = substrings.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR len = 1")
     # A character without a piece is noted as its code point, below zero.
     edges = edges.select(
@@ -274,6 +262,9 @@ def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT)
     pieces = load_pieces(model)
     # As large as the vocabulary file, like the pieces' bytes below.
     cutter = spark.sparkContext.broadcast(Cutter(pieces))
+    # Ids of words travel as numbers of this kind.
+    small_ids = max(*pieces.ids.values(), *pieces.byte_ids) < 1 << 16
+    kind = np.dtype(np.uint16 if small_ids else np.int32)
 
     def count_words(seen, batch: pa.RecordBatch) -> None:
         for text in batch["text"].to_pylist():
@@ -288,11 +279,10 @@ def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT)
     characters = counts.agg(F.sum(F.length("word"))).first()[0] or 0
     tasks = max(1, ceil(characters / TASK_CHARACTERS))
     found = encode_words(counts.repartition(tasks, "word"), pieces)
-    encoded = staged(
-        mapped(found.select("word", "n", "ids"), _with_bytes, "word string, n bigint, ids binary"),
-        "encoded-words",
-        free=True,
+    packed_words = mapped(
+        found.select("word", "n", "ids"), _with_bytes(kind), "word string, n bigint, ids binary"
     )
+    encoded = staged(packed_words, "encoded-words", free=True)
     # The bound is the number of words; the order is total, so a rerun takes the same ones.
     with freed(spark):
         top = encoded.orderBy(F.desc("n"), "word").limit(frequent).select("word", "ids").toArrow()
@@ -313,11 +303,14 @@ def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT)
         yield {key: keys, "word": words}
 
     # Copies of a text ask for the same words; they are united where the word is, before they travel.
-    replies = (
+    # A reply is the word's length in bytes, the word and its ids.
+    replies = staged(
         mapped(texts, missing, f"{key} bigint, word string")
         .join(encoded.select("word", "ids"), "word")
         .groupBy(key)
-        .agg(F.collect_set(F.struct("word", "ids")).alias(rare_words))
+        .agg(F.collect_set(F.concat(_length_bytes(F.col("word")), "ids")).alias(rare_words)),
+        "rare-words",
+        free=True,
     )
 
     def packed(batch: pa.RecordBatch):
@@ -338,26 +331,26 @@ def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT)
         unpack = zstandard.ZstdDecompressor()
         texts, out, fine, exact = [], [], [], []
         lists = batch[rare_words]
-        rare = dict(zip(("word", "ids"), (c.to_pylist() for c in lists.flatten().flatten())))
+        rare = lists.flatten().to_pylist()
         end = 0
         for small, listed in zip(
             batch[small_text].to_pylist(), pc.list_value_length(lists).to_pylist()
         ):
             text = None if small is None else unpack.decompress(small).decode("utf-8")
             start, end = end, end + (listed or 0)
-            own = dict(zip(rare["word"][start:end], rare["ids"][start:end]))
+            own = dict(map(_reply, rare[start:end]))
             table = known.value
             joined = b"".join([table.get(w) or own[w] for w in cutter.value.parts(text)])
             texts.append(text)
             out.append(joined)
-            ids = np.frombuffer(joined, dtype=np.int32).tolist()
+            ids = np.frombuffer(joined, dtype=kind).tolist()
             decoded = _decoded(ids, spelled.value) if text else text
             fine.append(not text or decoded == text.replace(SPACE, " "))
             exact.append(decoded == text)
-        edges = np.cumsum([0, *(len(b) // _ID_BYTES for b in out)], dtype=np.int32)
+        edges = np.cumsum([0, *(len(b) // kind.itemsize for b in out)], dtype=np.int32)
         ids = pa.ListArray.from_arrays(
             pa.array(edges),
-            pa.array(np.frombuffer(b"".join(out), dtype=np.int32)),
+            pa.array(np.frombuffer(b"".join(out), dtype=kind).astype(np.int32)),
             mask=pa.array([t is None for t in texts], pa.bool_()),
         )
         added = {"text": texts, "ids": ids, "round_trip": fine, "exact": exact}
@@ -368,13 +361,27 @@ def encode_texts(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT)
     return mapped(joined, assembled, types)
 
 
-def _with_bytes(batch: pa.RecordBatch):
+def _length_bytes(word: Column) -> Column:
+    """A word's bytes behind their number as four bytes."""
+    return F.concat(F.unhex(F.lpad(F.hex(F.octet_length(word)), 8, "0")), word.cast("binary"))
+
+
+def _reply(packed: bytes) -> tuple[str, bytes]:
+    end = 4 + int.from_bytes(packed[:4], "big")
+    return packed[4:end].decode("utf-8"), packed[end:]
+
+
+def _with_bytes(kind: np.dtype):
     """Encoded words with their ids as bytes."""
-    ids = batch["ids"]
-    lengths = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int32)
-    edges = np.cumsum([0, *(lengths * _ID_BYTES)], dtype=np.int32)
-    values = ids.flatten().to_numpy().astype(np.int32).tobytes()
-    small = pa.BinaryArray.from_buffers(
-        pa.binary(), len(ids), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(values)]
-    )
-    yield {"word": batch["word"], "n": batch["n"], "ids": small}
+
+    def rows(batch: pa.RecordBatch):
+        ids = batch["ids"]
+        lengths = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int32)
+        edges = np.cumsum([0, *(lengths * kind.itemsize)], dtype=np.int32)
+        values = ids.flatten().to_numpy().astype(kind).tobytes()
+        small = pa.BinaryArray.from_buffers(
+            pa.binary(), len(ids), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(values)]
+        )
+        yield {"word": batch["word"], "n": batch["n"], "ids": small}
+
+    return rows
