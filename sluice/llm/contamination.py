@@ -7,17 +7,25 @@ fewer than six words (the weight of a seed) are too short to be told from prose
 
 A seed is a fixed mask over a few words that ignores the positions between. The two masks below are
 such that every window with at most two substituted words contains a hit of one of them, whatever
-the places (``tests/llm`` tries all), so seeds lose nothing. Seed hashes of texts and items are
+the places (``tests/llm`` tries all), so seeds lose nothing. Texts and items are looked at in pieces
+that share ``WINDOW - 1`` words, so every window lies in a piece and no row grows with a text. Pieces
+of items with equal words are looked for once, as one needle. Seed hashes of texts and needles are
 joined; around every hit the windows that contain it are compared word by word.
 
-Seeds of items are broadcast while they are at most ``BROADCAST_SEEDS`` with ``BROADCAST_BYTES``; a larger benchmark is joined
-by shuffling text positions instead, with the same result. Null and empty texts and items match
-nothing. Repeated rows get the same result; items with one id are one item, items with a null id
-count for contamination but are not listed. Other columns of the documents are left out.
+Seeds (hash, needle, place) and needles are broadcast while they are at most ``BROADCAST_SEEDS`` with
+``BROADCAST_BYTES``. Up to ``SLICES`` times that, one slice of the needles is broadcast after the
+other, and each takes a pass over the texts. For a larger benchmark seeds of texts are shuffled to
+those of needles, without words; those of the texts that were hit are read again. The result is the
+same. Null and empty texts and items match nothing. Repeated rows get the same result; items with one
+id are one item, items with a null id count for contamination but are not listed. Other columns of
+the documents are left out.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +35,12 @@ MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 4, 6, 9, 10))
 WINDOW = 13
 MISSES = 2
 BROADCAST_SEEDS = 500_000
-#: Every seed carries its item's words, so their bytes are bounded as well.
+#: Words can be long, so the bytes of seeds and needles are bounded as well.
 BROADCAST_BYTES = 64 * 1024 * 1024
+SLICES = 4
+#: A piece has the words of so many windows.
+TEXT_PIECE = 1024
+ITEM_PIECE = 256
 _BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -36,6 +48,14 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), _BREAKS), "")
 
 
+def _pieces(rows: DataFrame, windows: int) -> DataFrame:
+    """``rows(words, ...)`` in pieces of so many windows; adds piece, the place of its first word."""
+    last = F.greatest(F.size("words") - WINDOW, F.lit(0))
+    # The outer form for the reason given in ``with_seeds``.
+    placed = rows.withColumn("piece", F.explode_outer(F.sequence(F.lit(0), last, F.lit(windows))))
+    return placed.withColumn("words", F.slice("words", F.col("piece") + 1, windows + WINDOW - 1))
+
+
 def _seeds(hashes: str, number: int) -> Column:
     """Hashes of one mask at every place it fits."""
     mask = MASKS[number]
@@ -93,52 +113,116 @@ def _matching_windows() -> Column:
     return F.filter(starts, agreeing)
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, key, item_id, first_word, last_word) of texts and the items they overlap.
+def _small(frame: DataFrame) -> DataFrame:
+    """A staged table of keys, broadcast if it has few rows."""
+    return F.broadcast(frame) if frame.count() <= BROADCAST_SEEDS else frame
 
-    ``key`` is the hash of the row's text, the words are those of the text that matching windows
-    cover, from the first to the last.
-    """
-    items = staged(
-        benchmark.where("text IS NOT NULL")
-        .select("item_id", words_of(F.col("text")).alias("words"))
-        .distinct(),
-        "items",
+
+def _benchmark_tables(benchmark: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """owners(needle, item_id), needles(needle, item_words) and seeds(seed, needle, item_at)."""
+    items = benchmark.where("text IS NOT NULL").select(
+        "item_id", words_of(F.col("text")).alias("words")
     )
-    seeds = staged(
-        with_seeds(items).select(
-            "seed", "item_id", F.col("words").alias("item_words"), F.col("at").alias("item_at")
-        ),
-        "seeds",
+    parts = _pieces(items, ITEM_PIECE).where(F.size("words") > MASKS[0][-1])
+    parts = staged(parts.select("item_id", "words").distinct(), "items")
+    # The numbers are written with the words, so a lost task changes none that is in use.
+    needles = staged(
+        parts.select(F.col("words").alias("item_words"))
+        .distinct()
+        .select(F.monotonically_increasing_id().alias("needle"), "item_words"),
+        "needles",
     )
-    texts = docs.where("text IS NOT NULL").select(
-        "doc_id", F.xxhash64("text").alias("key"), words_of(F.col("text")).alias("words")
+    owners = parts.join(needles, F.col("words") == F.col("item_words")).select("needle", "item_id")
+    seeds = with_seeds(needles.withColumnRenamed("item_words", "words")).select(
+        "seed", "needle", F.col("at").alias("item_at")
     )
-    # A word costs its letters and the 24 bytes that an array spends on each element.
-    letters = F.octet_length(F.array_join("item_words", "")) + 24 * F.size("item_words")
-    number, held = seeds.agg(F.count("*"), F.sum(letters.cast("bigint"))).first()
-    if number <= BROADCAST_SEEDS and (held or 0) <= BROADCAST_BYTES:
-        seeds = F.broadcast(seeds)
-    hits = with_seeds(texts).join(seeds, "seed")
+    return staged(owners, "owners"), needles, staged(seeds, "seeds")
+
+
+def _covered(hits: DataFrame) -> DataFrame:
+    """(doc_id, key, needle, first_word, last_word) of hits that have a matching window."""
     found = hits.select(
         "doc_id",
         "key",
-        "item_id",
-        (F.col("at") - F.col("item_at")).alias("shift"),
+        "needle",
+        (F.col("piece") + F.col("at") - F.col("item_at")).alias("shift"),
         F.least(F.lit(WINDOW), F.size("item_words")).alias("size"),
         _matching_windows().alias("starts"),
     )
     # Hits without a window go after the aggregate: a test before it would become part of the join
-    # and make every text position carry its text's words.
+    # and make every text position carry its piece's words.
     first = F.min(F.array_min("starts") + F.col("shift"))
     last = F.max(F.array_max("starts") + F.col("shift") + F.col("size") - 1)
     return (
-        found.groupBy("doc_id", "key", "item_id")
+        found.groupBy("doc_id", "key", "needle")
         .agg(first.cast("bigint").alias("first_word"), last.cast("bigint").alias("last_word"))
         .where("first_word IS NOT NULL")
     )
 
 
+def _hit_by_shuffle(texts: DataFrame, needles: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Hits with the words of both sides; positions of texts travel without theirs."""
+    placed = with_seeds(_pieces(_with_words(texts), TEXT_PIECE)).select(
+        "doc_id", "key", "piece", "seed", "at", "mask"
+    )
+    hits = placed.join(seeds, "seed").drop("seed").distinct()
+    hits = staged(hits, "hits", free=True)
+    named = _small(staged(hits.select("doc_id", "key").distinct(), "hit-texts"))
+    same = F.expr("t.doc_id <=> h.doc_id AND t.key = h.key")
+    # Repeated rows have the same words.
+    hit = texts.alias("t").join(named.alias("h"), same, "left_semi").dropDuplicates(["doc_id", "key"])
+    pieces = _pieces(_with_words(hit), TEXT_PIECE)
+    return (
+        pieces.alias("t")
+        .join(hits.alias("h"), same & F.expr("t.piece = h.piece"))
+        .select("t.*", "needle", "at", "item_at", "mask")
+        .join(needles, "needle")
+    )
+
+
+def _with_words(texts: DataFrame) -> DataFrame:
+    return texts.select("doc_id", "key", words_of(F.col("text")).alias("words"))
+
+
+def _matches(docs: DataFrame, needles: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(doc_id, key, needle, first_word, last_word) of texts and the needles they overlap."""
+    texts = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("key"), "text")
+    # A word costs its letters and the 24 bytes that an array spends on each element; a seed costs 72
+    # bytes in a table of hashes.
+    letters = F.octet_length(F.array_join("item_words", "")) + 24 * F.size("item_words")
+    number = seeds.count()
+    held = (needles.agg(F.sum(letters.cast("bigint"))).first()[0] or 0) + 72 * number
+    slices = max(1, ceil(held / BROADCAST_BYTES))
+    if number > BROADCAST_SEEDS:
+        slices = max(slices, ceil(number / BROADCAST_SEEDS) if BROADCAST_SEEDS else SLICES + 1)
+    if slices > SLICES:
+        return _covered(_hit_by_shuffle(texts, needles, seeds))
+    positions = with_seeds(_pieces(_with_words(texts), TEXT_PIECE))
+    found = []
+    for n in range(slices):
+        own = F.pmod("needle", F.lit(slices)) == n
+        hits = positions.join(F.broadcast(seeds.where(own)), "seed")
+        found.append(_covered(hits.join(F.broadcast(needles.where(own)), "needle")))
+        if slices > 1:  # only one slice is held at a time
+            found[-1] = staged(found[-1], "slice", free=True)
+    return reduce(DataFrame.union, found)
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, key, item_id, first_word, last_word) of texts and the items they overlap.
+
+    ``key`` is the hash of the row's text, the words are those of the text that matching windows
+    cover, from the first to the last.
+    """
+    owners, needles, seeds = _benchmark_tables(benchmark)
+    return (
+        _matches(docs, needles, seeds)
+        .join(owners, "needle")
+        .groupBy("doc_id", "key", "item_id")
+        .agg(F.min("first_word").alias("first_word"), F.max("last_word").alias("last_word"))
+    )
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per row: doc_id, contaminated, n_items, items, first_word, last_word.
 
@@ -172,10 +256,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text overlaps no item."""
-    # Written first: its size is then known when the join with the texts is planned.
+    _, needles, seeds = _benchmark_tables(benchmark)
     doc, key = unused(docs.columns, 2)
     bad = staged(
-        overlaps(docs, benchmark)
+        _matches(docs, needles, seeds)
         .select(F.col("doc_id").alias(doc), F.col("key").alias(key))
         .distinct(),
         "contaminated",
