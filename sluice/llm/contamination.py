@@ -264,8 +264,9 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .distinct(),
         "contaminated",
     )
+    # Few keys are broadcast; else whole texts would be shuffled and sorted to lose some of them.
     return docs.join(
-        bad,
+        _small(bad),
         F.col(doc).eqNullSafe(docs["doc_id"]) & (F.xxhash64(docs["text"]) == F.col(key)),
         "left_anti",
     )

@@ -89,3 +89,22 @@ def test_seeds_and_positions_travel_without_words(spark, monkeypatch):
             assert not any("array" in kind for kind in kinds["seeds"])
         assert ("hits" in kinds) == (most == 0)
     assert not any("array" in kind for kind in kinds["hits"])
+
+
+def test_texts_stay_where_they_are_for_few_contaminated_ones(spark, monkeypatch):
+    item = " ".join(prose(random.Random(1), 40, 400))
+    docs = spark.createDataFrame([(0, item), (None, item), (2, "no words of it")], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(0, item)], "item_id bigint, text string")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    try:
+        # As if the keys were more than Spark broadcasts by itself.
+        spark.conf.set(name, "-1")
+        for most, moved in ((500_000, False), (0, True)):
+            monkeypatch.setattr(contamination, "BROADCAST_SEEDS", most)
+            left = contamination.without_contaminated(docs, benchmark)
+            plan = left._jdf.queryExecution().executedPlan().toString()
+            assert ("SortMergeJoin" in plan) == moved
+            assert [r.doc_id for r in left.collect()] == [2]
+    finally:
+        spark.conf.set(name, before)
